@@ -63,21 +63,31 @@ def round6(c: Column) -> Column:
 
 # ---------------------------------------------------------------- tail probabilities
 
+# Coefficients of the Chebyshev-fitted erfc approximation.
+_ERFC_COEFS = (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806,
+               0.09678418, 0.37409196, 1.00002368, -1.26551223)
+
 def erfc_col(x: Column) -> Column:
     """Complementary error function, fractional error < 1.2e-7 everywhere
     (Chebyshev-fitted exponential form; a public textbook approximation)."""
     z = F.abs(x)
     t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * z)
     poly = F.lit(0.17087277)
-    for coef in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806,
-                 0.09678418, 0.37409196, 1.00002368, -1.26551223):
+    for coef in _ERFC_COEFS:
         poly = F.lit(coef) + t * poly
     ans = t * F.exp(-z * z + poly)
     return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
 
 
-def erfc(x: float) -> float:
-    return math.erfc(x)
+def erfc_sql(x: str) -> str:
+    """The same approximation as ``erfc_col`` as a SQL expression string (for oracles)."""
+    z = f"abs({x})"
+    t = f"(1.0 / (1.0 + 0.5 * {z}))"
+    poly = "0.17087277"
+    for coef in _ERFC_COEFS:
+        poly = f"({coef} + {t} * {poly})"
+    ans = f"({t} * exp(-{z} * {z} + {poly}))"
+    return f"(case when {x} >= 0 then {ans} else 2.0 - {ans} end)"
 
 
 def normal_two_sided_p(z: Column) -> Column:

@@ -51,11 +51,13 @@ def running_sums(
     buckets: int = 64,
     bucket_expr: Column | None = None,
     max_broadcast_rows: int = 1_000_000,
+    with_next: bool = False,
 ) -> DataFrame:
     """Append inclusive running sums ``cum_<name>`` of each ``sum_cols``
     expression, ordered by ``order_col`` (ascending unless ``descending``)
     within ``partition_cols``. ``bucket_expr`` (monotone in ``order_col``)
-    skips the quantile pass."""
+    skips the quantile pass. ``with_next`` also appends ``next_key``, the
+    following ``order_col`` value in the same order (NULL for the last)."""
     parts = list(partition_cols)
     base = df.select("*", *[e.alias(f"__v_{n}") for n, e in sum_cols.items()])
     if bucket_expr is not None:
@@ -71,8 +73,20 @@ def running_sums(
     joined = lookup_join(base, offsets, parts + [_BKT], "left", max_rows=max_broadcast_rows)
     key_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*parts, _BKT).orderBy(key_order).rowsBetween(Window.unboundedPreceding, 0)
+    extra = []
+    if with_next:
+        # next key in order: inside the bucket by ``lead``; for a bucket's last
+        # row, the first key of the following non-empty bucket (small table)
+        w_first = Window.partitionBy(*parts).orderBy(bkt_order)
+        firsts = base.groupBy(*parts, _BKT).agg(
+            (F.max(order_col) if descending else F.min(order_col)).alias("__first"))
+        firsts = firsts.select(*parts, _BKT, F.lead("__first").over(w_first).alias("__next_bkt_first"))
+        joined = lookup_join(joined, firsts, parts + [_BKT], "left", max_rows=max_broadcast_rows)
+        w_lead = Window.partitionBy(*parts, _BKT).orderBy(key_order)
+        extra.append(F.coalesce(F.lead(order_col).over(w_lead), F.col("__next_bkt_first")).alias("next_key"))
     out = joined.select(
         *df.columns,
         *[(F.col(f"__o_{n}") + F.sum(f"__v_{n}").over(w_in)).alias(f"cum_{n}") for n in sum_cols],
+        *extra,
     )
     return out
