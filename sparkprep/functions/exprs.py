@@ -100,7 +100,8 @@ def ks_asymptotic_p(d: Column, n1: Column, n2: Column, terms: int = 100) -> Colu
     usual small-sample correction of lambda:
     lambda = (sqrt(ne) + 0.12 + 0.11/sqrt(ne)) * D, ne = n1*n2/(n1+n2),
     p = 2 * sum_{k>=1} (-1)^(k-1) exp(-2 k^2 lambda^2), clipped to [0, 1]."""
-    ne = (n1 * n2).cast("double") / (n1 + n2).cast("double")
+    a, b = n1.cast("double"), n2.cast("double")
+    ne = (a * b) / (a + b)
     lam = (F.sqrt(ne) + F.lit(0.12) + F.lit(0.11) / F.sqrt(ne)) * d
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),

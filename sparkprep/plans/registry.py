@@ -33,7 +33,7 @@ def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
 
-    for name in ("q_clean", "q_profile", "q_encode", "q_features", "q_model", "q_drift", "q_io"):
+    for name in ("q_clean", "q_profile", "q_encode", "q_features", "q_model", "q_drift", "q_train", "q_io"):
         try:
             importlib.import_module(f"{__package__}.{name}")
         except ModuleNotFoundError as e:
