@@ -138,9 +138,19 @@ def drift_prop_z(spark, sf):
 _SUMMARY_COLS = ["o_totalprice", "o_custkey", "o_orderstatus", "o_orderpriority"]
 
 
-@register("drift_summary", "\nunion all\n".join(
-    [f"select * from ({wasserstein_sql(c)})" for c in ["o_totalprice", "o_custkey"]]
-    + [f"select * from ({js_sql(c)})" for c in ["o_orderstatus", "o_orderpriority"]]))
+def _by_size(small_sql: str, large_sql: str) -> str:
+    """Pick the small- or large-reference test by the reference row count."""
+    n = f"(select count(*) from {_R})"
+    return (f"select * from ({small_sql}) where {n} <= {D.SMALL_REFERENCE_ROWS} "
+            f"union all select * from ({large_sql}) where {n} > {D.SMALL_REFERENCE_ROWS}")
+
+
+_SUMMARY_SQL = "\nunion all\n".join(
+    [_by_size(ks_sql(c), wasserstein_sql(c)) for c in ["o_totalprice", "o_custkey"]]
+    + [_by_size(chi_sql(c), js_sql(c)) for c in ["o_orderstatus", "o_orderpriority"]])
+
+
+@register("drift_summary", _SUMMARY_SQL)
 def drift_summary(spark, sf):
     """DR1 + DR7: per-column test chosen by type and size (large reference:
     Wasserstein for numeric, Jensen-Shannon for categorical)."""
@@ -148,9 +158,7 @@ def drift_summary(spark, sf):
     return _rounded(D.column_drift(r, c, _SUMMARY_COLS))
 
 
-@register("drift_dataset", f"""with t as ({"union all".join(
-    [f" select drifted from ({wasserstein_sql(c)}) " for c in ["o_totalprice", "o_custkey"]]
-    + [f" select drifted from ({js_sql(c)}) " for c in ["o_orderstatus", "o_orderpriority"]])})
+@register("drift_dataset", f"""with t as ({_SUMMARY_SQL})
 select count(*) as number_of_columns, count(*) filter (where drifted) as number_of_drifted_columns,
   round(cast(count(*) filter (where drifted) as double) / count(*), 6) as share_of_drifted_columns,
   cast(count(*) filter (where drifted) as double) / count(*) >= 0.5 as dataset_drift from t""")
