@@ -24,7 +24,19 @@ PANDAS_NULL_TOKENS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Input parallelism guard: a scan of one unsplittable file (a single
+    row group) is one task, so every operator before the first shuffle would
+    run serially. When the scan has fewer partitions than the session's
+    parallelism, round-robin it over that many; on real inputs (many files)
+    this is a no-op. Filters and column pruning still reach the scan."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def null_tokens_to_null(df: DataFrame, tokens=PANDAS_NULL_TOKENS, cols=None) -> DataFrame:

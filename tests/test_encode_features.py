@@ -100,3 +100,17 @@ def test_presets_build():
     for k in ("canonical", "full_preprocess", "table_job", "minimal"):
         assert lead_preset(k).target
     assert len(lead_preset("canonical").drop_cols) == 20
+
+
+def test_two_pass_and_multipass_fits_agree(spark, frame, monkeypatch):
+    import sparkprep.plans.features as FM
+
+    spec = _spec()
+    spec.rare_min_share = 0.2
+    a = FeatureEngineer(spec).fit(frame)
+    monkeypatch.setattr(FM, "LEVEL_TABLE_ROWS", 0)
+    b = FeatureEngineer(spec).fit(frame)
+    assert a.state.rare_levels == b.state.rare_levels and a.state.one_hot_levels == b.state.one_hot_levels
+    ra = sorted(map(tuple, a.transform(frame).collect()))
+    rb = sorted(map(tuple, b.transform(frame).collect()))
+    assert ra == rb
