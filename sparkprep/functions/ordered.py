@@ -21,9 +21,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import lookup_join, row_count_at_most
 
 _BKT = "__bkt"
+# Up to this many (pre-aggregated) rows, one ordered window in one task is
+# cheaper than the bucketed scheme; the bound keeps that task small.
+SMALL_WINDOW_ROWS = 200_000
 
 
 def quantile_buckets(df: DataFrame, order_col: str, buckets: int, accuracy: int = 10_000) -> DataFrame:
@@ -52,6 +55,7 @@ def running_sums(
     bucket_expr: Column | None = None,
     max_broadcast_rows: int = 1_000_000,
     with_next: bool = False,
+    small_rows: int = SMALL_WINDOW_ROWS,
 ) -> DataFrame:
     """Append inclusive running sums ``cum_<name>`` of each ``sum_cols``
     expression, ordered by ``order_col`` (ascending unless ``descending``)
@@ -59,6 +63,13 @@ def running_sums(
     skips the quantile pass. ``with_next`` also appends ``next_key``, the
     following ``order_col`` value in the same order (NULL for the last)."""
     parts = list(partition_cols)
+    key_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if small_rows and row_count_at_most(df, small_rows):
+        w = Window.partitionBy(*parts).orderBy(key_order)
+        cols = [(F.sum(e).over(w.rowsBetween(Window.unboundedPreceding, 0))).alias(f"cum_{n}") for n, e in sum_cols.items()]
+        if with_next:
+            cols.append(F.lead(order_col).over(w).alias("next_key"))
+        return df.select(*df.columns, *cols)
     base = df.select("*", *[e.alias(f"__v_{n}") for n, e in sum_cols.items()])
     if bucket_expr is not None:
         base = base.withColumn(_BKT, bucket_expr)
@@ -71,7 +82,6 @@ def running_sums(
         *parts, _BKT, *[F.coalesce(F.sum(f"__t_{n}").over(w_off), F.lit(0)).alias(f"__o_{n}") for n in sum_cols]
     )
     joined = lookup_join(base, offsets, parts + [_BKT], "left", max_rows=max_broadcast_rows)
-    key_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*parts, _BKT).orderBy(key_order).rowsBetween(Window.unboundedPreceding, 0)
     extra = []
     if with_next:

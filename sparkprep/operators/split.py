@@ -32,7 +32,7 @@ def hash_split(df: DataFrame, key_cols: list[str], test_frac: float = 0.2, seed:
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_frac: float = 0.2, seed: int = 42,
-                     flag: str = "is_test") -> DataFrame:
+                     flag: str = "is_test", small_rows: int | None = None) -> DataFrame:
     """MO1, exact per-class quota: within each class, the ``round(test_frac *
     n_class)`` rows with the smallest key hash are test rows.
 
@@ -45,7 +45,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_frac:
     n = df.count()
     digits = min(8, max(2, math.ceil(math.log(max(n, 1) / 200_000.0, 16)) if n > 200_000 else 2))
     bucket = F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("bigint")
-    ranked = running_sums(x, h, {"rank": F.lit(1)}, partition_cols=[label], bucket_expr=bucket)
+    extra = {} if small_rows is None else {"small_rows": small_rows}
+    ranked = running_sums(x, h, {"rank": F.lit(1)}, partition_cols=[label], bucket_expr=bucket, **extra)
     quotas = df.groupBy(q(label).alias(label)).agg(F.count(F.lit(1)).alias("__n")).select(
         label, F.floor(F.col("__n") * F.lit(float(test_frac)) + F.lit(0.5)).alias("__quota"))
     out = lookup_join(ranked, quotas, [label], "left")

@@ -15,7 +15,7 @@ def test_stratified_split_exact_quota_and_partition_invariant(spark):
     rows = [(i, 1 if i % 3 == 0 else 0) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, y int")
     a = S.stratified_split(df, "y", ["k"], 0.2)
-    b = S.stratified_split(df.repartition(7), "y", ["k"], 0.2)
+    b = S.stratified_split(df.repartition(7), "y", ["k"], 0.2, small_rows=0)  # bucketed path
     got = {r.y: r.n for r in a.filter("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert got == {1: 200, 0: 400}
     assert a.count() == 3000
@@ -87,3 +87,18 @@ def test_shapley_additivity(spark):
     scored = V.positive_probability(model.transform(df)).select("k", "p1")
     diff = total.join(scored, "k").select(F.max(F.abs(F.col("s") - F.col("p1"))).alias("d")).first().d
     assert diff < 1e-9
+
+
+def test_running_sums_bucketed_equals_single_window(spark):
+    from sparkprep.functions.ordered import running_sums
+
+    rows = [(float(v), v % 3, 1) for v in range(2000)]
+    df = spark.createDataFrame(rows, "v double, g int, one int")
+    for desc in (False, True):
+        a = running_sums(df, "v", {"c": F.col("one"), "s": F.col("v")}, partition_cols=["g"], descending=desc,
+                         with_next=True, small_rows=0, buckets=16)
+        b = running_sums(df, "v", {"c": F.col("one"), "s": F.col("v")}, partition_cols=["g"], descending=desc,
+                         with_next=True)
+        ra = sorted(map(tuple, a.select("v", "g", "cum_c", "cum_s", "next_key").collect()))
+        rb = sorted(map(tuple, b.select("v", "g", "cum_c", "cum_s", "next_key").collect()))
+        assert ra == rb
