@@ -102,3 +102,14 @@ def test_running_sums_bucketed_equals_single_window(spark):
         ra = sorted(map(tuple, a.select("v", "g", "cum_c", "cum_s", "next_key").collect()))
         rb = sorted(map(tuple, b.select("v", "g", "cum_c", "cum_s", "next_key").collect()))
         assert ra == rb
+
+
+def test_salted_lookup_join_equals_plain_join(spark):
+    from sparkprep.functions.joins import lookup_join
+
+    # one hot key holds most rows
+    big = spark.createDataFrame([(i, "hot" if i % 4 else f"k{i % 7}") for i in range(4000)], "id long, lvl string")
+    small = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("k4", 3.0)], "lvl string, v double")
+    a = lookup_join(big, small, ["lvl"], "left", max_rows=0, salts=8)  # salted shuffle path
+    b = big.join(small, ["lvl"], "left")
+    assert sorted(map(tuple, a.select("id", "lvl", "v").collect())) == sorted(map(tuple, b.select("id", "lvl", "v").collect()))
