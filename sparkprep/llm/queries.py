@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, mixing, packing
+from . import chat, fingerprints, langid, mixing, packing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +26,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _fold(folds: int, held: int):
+    """Whether crc32 of doc_id as text falls in the held-out fold; rows without an id are held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds)) == held, F.lit(True))
+
+
+@register("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NBSVM quality scores of every whole text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.train_quality(docs, labels.filter(~_fold(4, 2)))
+    scored = quality.score_quality(docs.withColumn("held_out", _fold(4, 2)), model)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op8_langid")
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest-centroid language of every whole text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", _fold(5, 0))
+    model = langid.fit_centroids(docs.filter(~F.col("held_out")).select(F.col("doc_id").alias("id"), "text", "lang"))
+    return langid.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "cosine", "rejected")
+
+
 @register("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash fingerprints of every whole text, its edited text, and the next document's likeness."""
