@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, langid, mixing, packing, quality
+from . import chat, fingerprints, langid, mixing, packing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -61,6 +61,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@register("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every whole text that repeat 100-byte strings from earlier on removed."""
+    r = suffixes.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return r.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @register("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
