@@ -95,8 +95,9 @@ def span_hash(c: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((c[end] - c[start]) * inv[start] + (end - start).astype(np.uint64) * U64(0xA0761D6478BD642F))
 
 
-def words(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and row offsets (into the words) of maximal runs of non-space bytes per row."""
+def words(b: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and row offsets (into the words) of maximal runs of
+    non-space bytes per row; a word also begins at each byte set in ``cut``."""
     n = len(b)
     if n == 0:
         z = np.zeros(0, np.int64)
@@ -104,6 +105,8 @@ def words(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     space = IS_SPACE[b]
     first = np.zeros(n, bool)
     first[offsets[:-1][offsets[:-1] < n]] = True
+    if cut is not None:
+        first |= cut
     start, end = ~space, ~space
     start[1:] &= space[:-1] | first[1:]
     end[:-1] &= space[1:] | first[1:]

@@ -4,6 +4,7 @@ shortest-pack-first over the length histogram."""
 from __future__ import annotations
 
 import bisect
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -12,37 +13,114 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .kernels import IS_SPACE, chunks, prefix_hash, span_hash, utf8, words
 from .store import materialise, partitions
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 class WordCachedTokenizer:
-    """``tokenizers`` ids of whole texts, encoding each distinct space-free
-    piece once. Exact for tokenizers that drop white space before splitting
-    and never look across it (word_bpe_49k is one): cutting at some of the
-    white space (here: space and newline) then leaves the ids as they are."""
-
-    def __init__(self, path: str, cache: int = 300_000):
+    """``tokenizers`` ids of whole texts, encoding words that it has not seen
+    lately and looking up the others. Exact for tokenizers like word_bpe_49k,
+    which lower case, drop white space and never look across it: texts may
+    then be cut at ASCII white space and before a comma or stop that ends a
+    word after an ASCII letter (the split pattern cuts there), and ASCII
+    letters put in lower case first.
+
+    Words are found and hashed (64 bits) with numpy; ``cache`` slots, each of
+    one word of up to ``width`` ids, keep the latest word of their hash. New
+    words are encoded in one call, joined by spaces; their ids are told apart
+    by the vocabulary's end-of-word suffix, as many word ends each as the
+    tokenizer's own split pattern finds words in it. Words with special tokens,
+    or that don't add up, are encoded one by one."""
+
+    def __init__(self, path: str, cache: int = 1 << 20, width: int = 12):
+        import json
+
+        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache, self.known = cache, {"": b""}
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian uint32 ids."""
-        pieces = text.replace("\n", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            pass
-        if len(known) > self.cache:
-            known = self.known = {"": b""}
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        for p, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.asarray(e.ids, "<u4").tobytes()
-        return b"".join([known[p] for p in pieces])
+        with open(path, encoding="utf-8") as f:
+            own = json.load(f)
+        suffix = own["model"]["end_of_word_suffix"]
+        self.word = regex.compile(next(x["pattern"]["Regex"] for x in own["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"))
+        self.special = [x["content"] for x in own["added_tokens"]]
+        self.first_special = {x[:1].encode() for x in self.special}
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith(suffix)]] = True
+        self.key = np.zeros(cache, np.uint64)
+        self.size = np.zeros(cache, np.int64)
+        self.slot = np.zeros((cache, width), np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
+
+    def _one(self, piece: str) -> np.ndarray:
+        return np.asarray(self.tok.encode(piece, add_special_tokens=False).ids, "<u4")
+
+    def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row, and how many each has."""
+        if not any(x in p for p in pieces if "<" in p for x in self.special):
+            count = [1 if p.isascii() and p.isalpha() else len(self.word.findall(unicodedata.normalize("NFC", p).lower())) for p in pieces]
+            ids = np.asarray(self.tok.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+            last, total = np.flatnonzero(self.ends[ids]), np.cumsum(count)
+            if len(last) == total[-1]:
+                return ids, np.diff(np.concatenate([[-1], last])[total], prepend=-1)
+        each = [self._one(p) for p in pieces]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int64)
+
+    def ids(self, b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """uint32 ids of the texts in UTF-8 bytes ``b``, and row offsets into them."""
+        n = len(b)
+        if not n:
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        if not any(x in b for x in (ord(f) for f in self.first_special)):
+            b = np.where((b >= 65) & (b <= 90), b | 32, b).astype(np.uint8)
+        stop = np.zeros(n, bool)  # a comma or stop after a letter at the end of a word: a word of its own
+        stop[1:] = ((b[1:] == 44) | (b[1:] == 46)) & ((b[:-1] | 32) >= 97) & ((b[:-1] | 32) <= 122)
+        stop[:-1] &= IS_SPACE[b[1:]]
+        at_end = offsets[1:-1][(offsets[1:-1] < n) & (offsets[1:-1] > 0)]
+        stop[at_end] = False  # the first byte of a text follows no letter of its own
+        s, e, wo = words(b, offsets, stop)
+        h = span_hash(prefix_hash(b), s, e)
+        at = (h >> np.uint64(13)).astype(np.int64) & (len(self.key) - 1)
+        known = self.key[at] == h
+        size = np.where(known, self.size[at], 0)
+        missing = np.flatnonzero(~known)
+        if len(missing):
+            _, first, inverse = np.unique(h[missing], return_index=True, return_inverse=True)
+            spans = missing[first]
+            raw = b.tobytes()
+            pieces = [raw[i:j].decode() for i, j in zip(s[spans].tolist(), e[spans].tolist())]
+            new, length = self._encode(pieces)
+            begin = np.concatenate([[0], np.cumsum(length)])
+            size[missing] = length[inverse]
+        to = np.concatenate([[0], np.cumsum(size)])
+        out = np.zeros(to[-1], "<u4")
+        hit = np.flatnonzero(known)
+        have = np.arange(self.slot.shape[1]) < size[hit][:, None]
+        out[(to[hit][:, None] + np.arange(self.slot.shape[1]))[have]] = self.slot[at[hit]][have]
+        if len(missing):
+            count = size[missing]
+            step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            out[np.repeat(to[missing], count) + step] = new[np.repeat(begin[inverse], count) + step]
+            keep = np.flatnonzero(length <= self.slot.shape[1])
+            place = at[spans[keep]]
+            rows = np.zeros((len(keep), self.slot.shape[1]), self.slot.dtype)
+            have = np.arange(self.slot.shape[1]) < length[keep][:, None]
+            rows[have] = new[(begin[keep][:, None] + np.arange(self.slot.shape[1]))[have]]
+            _, final = np.unique(place[::-1], return_index=True)  # of words with one slot the last stays, whole
+            final = len(place) - 1 - final
+            self.key[place[final]], self.size[place[final]], self.slot[place[final]] = h[spans[keep[final]]], length[keep[final]], rows[final]
+        return out, to[wo]
+
+
+_TOKENIZERS: dict[str, WordCachedTokenizer] = {}
+
+
+def shared_tokenizer(path: str) -> WordCachedTokenizer:
+    """One a worker process, so that later tasks find its known words."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordCachedTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -62,20 +140,23 @@ def token_pieces(docs: DataFrame, path: str | None = None, end_id: int = 2, seq_
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        tok, end = WordCachedTokenizer(name or tokenizer_path()), np.asarray([end_id], "<u4").tobytes()
+        tok, end = shared_tokenizer(name or tokenizer_path()), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             doc, start, length, crc, total, ids = [], [], [], [], [], []
-            for d, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = tok.ids(text.as_py() or "") + end
-                for at in range(0, len(raw), step):
-                    piece = raw[at:at + step]
-                    doc.append(d)
-                    start.append(at // 4)
-                    length.append(len(piece) // 4)
-                    crc.append(zlib.crc32(piece))
-                    total.append(len(raw) // 4)
-                    if keep_ids:
-                        ids.append(piece)
+            b, offsets = utf8(batch["text"])
+            for lo, hi in chunks(offsets, 2 << 20):
+                flat, to = tok.ids(b[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+                for d, i, j in zip(batch["doc_id"].slice(lo, hi - lo).to_pylist(), to[:-1].tolist(), to[1:].tolist()):
+                    raw = flat[i:j].tobytes() + end
+                    for at in range(0, len(raw), step):
+                        piece = raw[at:at + step]
+                        doc.append(d)
+                        start.append(at // 4)
+                        length.append(len(piece) // 4)
+                        crc.append(zlib.crc32(piece))
+                        total.append(len(raw) // 4)
+                        if keep_ids:
+                            ids.append(piece)
             cols = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)] + ([pa.array(ids, pa.binary())] if keep_ids else [])
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids)
 

@@ -67,10 +67,15 @@ def test_packing_many_buckets(spark):
             at += length
 
 
-def test_special_token_strings_and_other_spaces():
-    t = packing.WordCachedTokenizer(packing.tokenizer_path())
-    for text in ("a<|endoftext|>b  it's\u00a0x\x1fy\u2003z don't\r\nI'LL <|startoftext|>", "e\u0301 \u0301x ΑΣ Σ", ""):
-        assert np.frombuffer(t.ids(text), "<u4").tolist() == _tokens([text])[0][:-1]
+def test_tokenizer_edge_texts_twice():
+    import pyarrow as pa
+
+    t = packing.WordCachedTokenizer(packing.tokenizer_path(), cache=16)
+    plain = ["Hello, WORLD. don't Don'T x., a'S ÀÉ. ß. µ. ÿ, ΑΣ, İstanbul, 5. A5, .. , ª, a", ".b c.", "e\u0301 \u0301x ΑΣ Σ", "", "x" * 300, " \t", "a.\nb,"]
+    nasty = ["a<|endoftext|>b  it's\u00a0x\x1fy\u2003z don't\r\nI'LL <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|>. a<b,"]
+    for texts in (plain, nasty + plain, plain[::-1], plain):
+        ids, to = t.ids(*kernels.utf8(pa.array(texts)))
+        assert [ids[i:j].tolist() for i, j in zip(to[:-1], to[1:])] == [x[:-1] for x in _tokens(texts)]
 
 
 def test_spfhp_places_all():
