@@ -36,7 +36,7 @@ from .store import partitions
 _LOW = -(1 << 63)
 ANCHOR = np.dtype([("key", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("place", "<u8"), ("left", "u1"), ("right", "u1")])
 #: kind 0: bytes start .. end go; kind 1: an anchor at start whose surroundings are asked for
-MARK = np.dtype([("kind", "u1"), ("tie", "<u4"), ("start", "<u4"), ("end", "<u4"), ("key", "<u8")])
+MARK = np.dtype([("doc", "<i8"), ("kind", "u1"), ("tie", "<u4"), ("start", "<u4"), ("end", "<u4"), ("key", "<u8")])
 
 
 def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
@@ -99,7 +99,8 @@ def find_anchors(b: np.ndarray, offsets: np.ndarray, window: int, gram: int) ->
     row = np.searchsorted(offsets, at, "right") - 1
     left = np.minimum(at - offsets[row], window - gram)
     right = np.minimum(offsets[row + 1] - at, window)
-    return at, row, h[at], left, right
+    # anchors have small hashes, being minima: mixed once more, they are uniform again
+    return at, row, K.mix(h[at] ^ K.U64(0x2545F4914F6CDD1D)), left, right
 
 
 def _blobs(part: np.ndarray, records: np.ndarray) -> tuple[list[int], list[bytes]]:
@@ -110,17 +111,54 @@ def _blobs(part: np.ndarray, records: np.ndarray) -> tuple[list[int], list[bytes
     return [int(part[i]) for i in cut[:-1]], [records[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])]
 
 
-def _marks_by_doc(doc: np.ndarray, marks: np.ndarray) -> pa.RecordBatch:
-    docs, blobs = _blobs(doc, marks)
-    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(blobs, pa.binary())], ["k", "marks"])
+def _part_of(x: np.ndarray, parts: int) -> np.ndarray:
+    """Even ranges of a uniform 64-bit hash."""
+    return ((x >> K.U64(40)) * K.U64(parts) >> K.U64(24)).astype(np.int64)
 
 
-def _marks(kind: int, tie, start, end, key=0) -> np.ndarray:
+def _marks(doc, kind: int, tie, start, end, key=0) -> np.ndarray:
     out = np.zeros(len(start), MARK)
-    out["kind"], out["tie"], out["start"], out["end"], out["key"] = kind, tie, start, end, key
+    out["doc"], out["kind"], out["tie"], out["start"], out["end"], out["key"] = doc, kind, tie, start, end, key
     return out
 
 
+def _mark_blobs(marks: np.ndarray, parts: int) -> tuple[list[int], list[bytes]]:
+    """Marks by the part of their document: few large values instead of many small rows."""
+    return _blobs(_part_of(K.mix(marks["doc"].astype(np.uint64)), parts), marks)
+
+
+def _mark_batch(marks: np.ndarray, parts: int) -> pa.RecordBatch:
+    part, blobs = _mark_blobs(marks, parts)
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(blobs, pa.binary())], ["part", "data"])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All marks of a part (sorted by part) -> one row a document, its spans merged."""
+    part, held = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        m = np.concatenate(held)
+        m = m[multikey_order([m["doc"], m["tie"]])]
+        unit = np.cumsum(np.concatenate([[False], (m["doc"][1:] != m["doc"][:-1]) | (m["tie"][1:] != m["tie"][:-1])]))
+        first = np.concatenate([[0], np.flatnonzero(np.diff(unit)) + 1])
+        done = m["kind"] == 0
+        g, s, e = merge_spans(unit[done], m["start"][done].astype(np.int64), m["end"][done].astype(np.int64))
+        m = np.concatenate([_marks(m["doc"][first[g]], 0, m["tie"][first[g]], s, e), m[~done]])
+        m = m[np.argsort(m["doc"], kind="stable")]
+        cut = np.concatenate([[0], np.flatnonzero(np.diff(m["doc"])) + 1, [len(m)]])
+        yield pa.RecordBatch.from_arrays([pa.array(m["doc"][cut[:-1]]), pa.array([m[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary())], ["k", "marks"])
+
+    for batch in batches:
+        for p, data in zip(batch["part"].to_pylist(), batch["data"]):
+            if p != part:
+                yield from close()
+                part, held = p, []
+            held.append(np.frombuffer(data.as_buffer(), MARK))
+    yield from close()
+
+
 class _Ties:
     """Numbers rows of equal id, which come one after the other, from 0."""
 
@@ -147,7 +185,7 @@ def _send_anchors(window: int, gram: int, ranges: int):
             ids = batch["k"].to_numpy(zero_copy_only=False).astype(np.int64)
             tie = ties.of(ids)
             b, o = K.utf8(batch["text"])
-            for lo, hi in K.chunks(o):
+            for lo, hi in K.chunks(o, 1 << 20):
                 text, off = b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]
                 at, row, key, left, right = find_anchors(text, off, window, gram)
                 if not len(at):
@@ -165,54 +203,47 @@ def _send_anchors(window: int, gram: int, ranges: int):
                 records = np.zeros(len(sent), ANCHOR)
                 for name, x in (("key", key), ("around", around), ("doc", doc), ("place", place), ("left", left), ("right", right)):
                     records[name] = x[sent]
-                part = ((records["key"] >> K.U64(40)) * K.U64(ranges) >> K.U64(24)).astype(np.int64)
-                parts, blobs = _blobs(part, records)
-                known = _marks_by_doc(ids[lo + g], _marks(0, tie[lo + g], s, e))
+                parts, blobs = _blobs(_part_of(records["key"], ranges), records)
+                parts2, blobs2 = _mark_blobs(_marks(ids[lo + g], 0, tie[lo + g], s, e), ranges)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(parts + [i % ranges for i in range(known.num_rows)], pa.int64()),
-                    pa.array([None] * len(parts) + known["k"].to_pylist(), pa.int64()),
-                    pa.array(blobs + known["marks"].to_pylist(), pa.binary())], ["part", "k", "data"])
+                    pa.array(parts + parts2, pa.int64()), pa.array([False] * len(parts) + [True] * len(parts2)),
+                    pa.array(blobs + blobs2, pa.binary())], ["part", "settled", "data"])
 
     return run
 
 
-def _sort_range(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and marks from all anchors of a range."""
+def _sort_range(records: np.ndarray) -> np.ndarray:
+    """Marks from all anchors of a range."""
     order = multikey_order([records["key"], records["around"], records["doc"], records["place"]])
     r = records[order]
     new_key = np.concatenate([[True], r["key"][1:] != r["key"][:-1]])
     new = new_key | np.concatenate([[True], r["around"][1:] != r["around"][:-1]])
     pos, tie = (r["place"] & K.U64(0xFFFFFFFF)).astype(np.int64), (r["place"] >> K.U64(32)).astype(np.int64)
     again = np.flatnonzero(~new)
-    done = _marks(0, tie[again], pos[again] - r["left"][again], pos[again] + r["right"][again])
+    done = _marks(r["doc"][again], 0, tie[again], pos[again] - r["left"][again], pos[again] + r["right"][again])
     run = np.cumsum(new_key) - 1
     classes = np.bincount(run, weights=new)
     asked = np.flatnonzero(new & (classes[run] > 1))
-    ask = _marks(1, tie[asked], pos[asked], 0, r["key"][asked])
-    return np.concatenate([r["doc"][again], r["doc"][asked]]), np.concatenate([done, ask])
-
+    return np.concatenate([done, _marks(r["doc"][asked], 1, tie[asked], pos[asked], 0, r["key"][asked])])
 
-def _settle_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, held = None, []
 
-    def close():
+def _settle_ranges(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for p, settled, data in zip(batch["part"].to_pylist(), batch["settled"].to_pylist(), batch["data"]):
+                if settled:
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([data.as_py()], pa.binary())], ["part", "data"])
+                    continue
+                if p != part and held:
+                    yield _mark_batch(_sort_range(np.concatenate(held)), ranges)
+                    held = []
+                part = p
+                held.append(np.frombuffer(data.as_buffer(), ANCHOR))
         if held:
-            yield _marks_by_doc(*_sort_range(np.concatenate(held)))
+            yield _mark_batch(_sort_range(np.concatenate(held)), ranges)
 
-    for batch in batches:
-        ready = ([], [])
-        for p, k, data in zip(batch["part"].to_pylist(), batch["k"].to_pylist(), batch["data"]):
-            if p != part:
-                yield from close()
-                part, held = p, []
-            if k is None:
-                held.append(np.frombuffer(data.as_buffer(), ANCHOR))
-            else:
-                ready[0].append(k)
-                ready[1].append(data.as_py())
-        if ready[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(ready[0], pa.int64()), pa.array(ready[1], pa.binary())], ["k", "marks"])
-    yield from close()
+    return run
 
 
 def _send_surroundings(window: int, gram: int, ranges: int):
@@ -226,9 +257,9 @@ def _send_surroundings(window: int, gram: int, ranges: int):
             tie = ties.of(ids)
             b, o = K.utf8(batch["text"])
             rows, places, keys = [], [], []
-            for i, marks in enumerate(batch["marks"].to_pylist()):
-                for blob in marks or ():
-                    m = np.frombuffer(blob, MARK)
+            for i, blob in enumerate(batch["marks"]):
+                if blob.is_valid:
+                    m = np.frombuffer(blob.as_buffer(), MARK)
                     m = m[(m["kind"] == 1) & (m["tie"] == tie[i])]
                     if len(m):
                         rows.append(np.full(len(m), i))
@@ -237,16 +268,16 @@ def _send_surroundings(window: int, gram: int, ranges: int):
             if not rows:
                 continue
             row, pos, key = np.concatenate(rows), np.concatenate(places), np.concatenate(keys)
-            for i in range(0, len(row), 50_000):
-                r, p = row[i:i + 50_000], pos[i:i + 50_000]
+            for i in range(0, len(row), 10_000):
+                r, p = row[i:i + 10_000], pos[i:i + 10_000]
                 out = np.zeros(len(r), kind)
-                out["key"], out["doc"] = key[i:i + 50_000], ids[r]
+                out["key"], out["doc"] = key[i:i + 10_000], ids[r]
                 out["place"] = tie[r].astype(np.uint64) << K.U64(32) | p.astype(np.uint64)
                 out["left"], out["right"] = np.minimum(p, side), np.minimum(o[r + 1] - o[r] - p, window)
                 at = (o[r] + p - side)[:, None] + np.arange(side + window)
                 inside = (np.arange(side + window) >= side - out["left"][:, None].astype(int)) & (np.arange(side + window) < side + out["right"][:, None].astype(int))
                 out["bytes"] = np.where(inside, b[at.clip(0, max(len(b) - 1, 0))], 0)
-                parts, blobs = _blobs(((out["key"] >> K.U64(40)) * K.U64(ranges) >> K.U64(24)).astype(np.int64), out)
+                parts, blobs = _blobs(_part_of(out["key"], ranges), out)
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "data"])
 
     return run
@@ -256,9 +287,9 @@ def _surrounded(window: int, gram: int) -> np.dtype:
     return np.dtype([("key", "<u8"), ("doc", "<i8"), ("place", "<u8"), ("left", "u1"), ("right", "u1"), ("bytes", "u1", (2 * window - gram,))])
 
 
-def compare_windows(r: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Records (of whole keys, sorted by key, then place) -> documents and
-    marks of the windows over the anchors that occur at an earlier record."""
+def compare_windows(r: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Records (of whole keys, sorted by key, then place) -> marks of the
+    windows over the anchors that occur at an earlier record."""
     side = window - gram
     shifts = np.arange(side + 1)  # the window starts so many bytes before the anchor
     step = K.BYTE_VALUE[r["bytes"]] * K.powers(side + window)[0]
@@ -274,10 +305,10 @@ def compare_windows(r: np.ndarray, window: int, gram: int) -> tuple[np.ndarray,
     row, shift = row[again], shift[again]
     pos = (r["place"][row] & K.U64(0xFFFFFFFF)).astype(np.int64)
     g, s, e = merge_spans(row, pos - shift, pos - shift + window)
-    return r["doc"][g], _marks(0, (r["place"][g] >> K.U64(32)).astype(np.int64), s, e)
+    return _marks(r["doc"][g], 0, (r["place"][g] >> K.U64(32)).astype(np.int64), s, e)
 
 
-def _compare_ranges(window: int, gram: int, rows: int = 20_000):
+def _compare_ranges(window: int, gram: int, ranges: int, rows: int = 5_000):
     kind = _surrounded(window, gram)
 
     def close(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +320,7 @@ def _compare_ranges(window: int, gram: int, rows: int = 20_000):
         lo = 0
         while lo < len(cuts) - 1:  # whole keys, about ``rows`` records at a time
             hi = max(lo + 1, int(np.searchsorted(cuts, cuts[lo] + rows, "right")) - 1)
-            yield _marks_by_doc(*compare_windows(r[cuts[lo]:cuts[hi]], window, gram))
+            yield _mark_batch(compare_windows(r[cuts[lo]:cuts[hi]], window, gram), ranges)
             lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,11 +342,11 @@ def _cut(names: list[str], keep_text: bool):
         for batch in batches:
             tie = ties.of(batch["k"].to_numpy(zero_copy_only=False).astype(np.int64))
             size, removed, spans, digest, kept_text = [], [], [], [], []
-            for i, (text, m1, m2) in enumerate(zip(batch["text"], batch["marks"].to_pylist(), batch["more"].to_pylist())):
+            for i, (text, m1, m2) in enumerate(zip(batch["text"], batch["marks"], batch["more"])):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
                 start = end = ()
-                if m1 or m2:
-                    m = np.concatenate([np.frombuffer(x, MARK) for x in (m1 or []) + (m2 or [])])
+                if m1.is_valid or m2.is_valid:
+                    m = np.concatenate([np.frombuffer(x.as_buffer(), MARK) for x in (m1, m2) if x.is_valid])
                     m = m[(m["kind"] == 0) & (m["tie"] == tie[i])]
                     _, start, end = merge_spans(np.zeros(len(m), np.int64), m["start"].astype(np.int64), m["end"].astype(np.int64))
                 kept, at = [], 0
@@ -351,13 +382,14 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text
     spark = docs.sparkSession
     p = partitions(spark)
     dealt = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("k"), "text").repartition(p, "k")
-    sent = dealt.select("k", "text").sortWithinPartitions("k", "text").mapInArrow(_send_anchors(window, gram, p), "part long, k long, data binary")
-    marks = (sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_settle_ranges, "k long, marks binary")
-             .groupBy("k").agg(F.collect_list("marks").alias("marks")))
+    # all columns go along, so that the exchange of ``dealt`` is the same one in all three places
+    sent = dealt.sortWithinPartitions("k", "text").mapInArrow(_send_anchors(window, gram, p), "part long, settled boolean, data binary")
+    gathered = lambda blobs: blobs.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_gather, "k long, marks binary")
+    marks = gathered(sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_settle_ranges(p), "part long, data binary"))
     joined = dealt.join(marks, "k", "left")
-    surroundings = joined.select("k", "text", "marks").sortWithinPartitions("k", "text").mapInArrow(_send_surroundings(window, gram, p), "part long, data binary")
-    more = (surroundings.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_compare_ranges(window, gram), "k long, marks binary")
-            .groupBy("k").agg(F.collect_list("marks").alias("more")))
+    surroundings = joined.sortWithinPartitions("k", "text").mapInArrow(_send_surroundings(window, gram, p), "part long, data binary")
+    more = gathered(surroundings.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_compare_ranges(window, gram, p), "part long, data binary")
+                    ).withColumnRenamed("marks", "more")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields)
     out = f"{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
     return joined.join(more, "k", "left").sortWithinPartitions("k", "text").mapInArrow(_cut(names, keep_text), out)
