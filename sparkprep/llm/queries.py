@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, langid, mixing, packing, quality, suffixes
+from . import chat, fingerprints, jaccard, langid, mixing, packing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,3 +107,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(line, 256).alias("turns_sha256"),
                        F.char_length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
                        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity join of all documents on five-word shingles at Jaccard 0.8."""
+    return jaccard.similarity_join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
