@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, fingerprints, jaccard, langid, mixing, packing, quality, suffixes
+from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, quality, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,6 +49,12 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "cosine", "rejected")
 
 
+@register("op2_embedding_dedup")
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of embeddings of one label at cosine 0.93 and their components."""
+    return neighbours.near_vectors(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 @register("op3_fingerprints")
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MinHash fingerprints of every whole text, its edited text, and the next document's likeness."""
@@ -61,6 +67,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@register("op5_html_extraction")
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a CRF over its blocks."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extraction.extract_text(pages, extraction.train_extractor(pages)).select("page_id", "url", "text", "n_chars")
+
+
 @register("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every whole text that repeat 100-byte strings from earlier on removed."""
