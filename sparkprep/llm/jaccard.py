@@ -258,7 +258,8 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, tree
     members = materialise(groups.join(narrow, "node"), "members")
     large = materialise(members.groupBy("root").agg(F.greatest(F.ceil(F.sum("shingles") / block_shingles), F.ceil(F.count("*") / block_classes)).cast("int").alias("blocks"))
                         .filter("blocks > 1"), "large")
-    texts = base.join(members.select("root", "node", F.col("class_id").alias("k"), "copies"), ["node", "k"]).dropDuplicates(["node", "k"])
+    # a sort-merge join at every size: its exchange of the texts is also what dropDuplicates needs
+    texts = base.join(members.select("root", "node", F.col("class_id").alias("k"), "copies").hint("merge"), ["node", "k"]).dropDuplicates(["node", "k"])
     pieces = in_blocks(texts, large, ["root"], "node").select("root", "bi", "bj", "own", "node", "copies", "text")
     found = materialise(pieces.repartition(p, "root", "bi", "bj").sortWithinPartitions("root", "bi", "bj", "node")
                         .mapInArrow(_verify(threshold, n), "node binary, other binary, links long"), "links")
