@@ -115,7 +115,7 @@ def neighbour_fingerprints(docs: DataFrame, permutations: int = PERMUTATIONS, n:
                         ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
                 held = rows[-1:] if not rows[-1][1] else []
 
-    return dealt.mapInArrow(run, _OUT)
+    return dealt.mapInArrow(K.tidy(run), _OUT)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, bands: int = 32, rows: int = 4, seed: int = 7) -> DataFrame:

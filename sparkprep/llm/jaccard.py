@@ -242,17 +242,17 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, tree
     spark = docs.sparkSession
     p = partitions(spark)
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("k"), text_node().alias("node"), "text")
-    rows = materialise(base.mapInArrow(_signatures(trees, deepest, n, seed), "k long, node binary, shingles long, sig binary")
+    rows = materialise(base.mapInArrow(K.tidy(_signatures(trees, deepest, n, seed)), "k long, node binary, shingles long, sig binary")
                        .withColumn("rid", F.monotonically_increasing_id()), "signatures")
     classes = materialise(rows.filter("shingles > 0").groupBy("node").agg(
         F.min(F.struct("k", "rid")).alias("first"), F.count("*").alias("copies"), F.first("shingles").alias("shingles"), F.first("sig").alias("sig")), "classes")
     depth = depth or prefix_length(threshold, trees, deepest, recall)
-    entries = classes.select("node", "sig").mapInArrow(_entries(trees, deepest, depth), "key long, node binary, low binary")
+    entries = classes.select("node", "sig").mapInArrow(K.tidy(_entries(trees, deepest, depth)), "key long, node binary, low binary")
     crowded = materialise(entries.groupBy("key").count().filter(F.col("count") > block_rows)
                           .select("key", F.ceil(F.col("count") / block_rows).cast("int").alias("blocks")), "crowded")
     dealt = in_blocks(entries, crowded, ["key"], "node").drop("own").repartition(p, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
     floor = likeness_floor(threshold, trees * deepest)
-    groups = materialise(connected_components(dealt.mapInArrow(_likely_edges(trees * deepest, floor), _NODE)), "groups")
+    groups = materialise(connected_components(dealt.mapInArrow(K.tidy(_likely_edges(trees * deepest, floor)), _NODE)), "groups")
 
     narrow = classes.select("node", F.col("first.k").alias("class_id"), "first", "copies", "shingles")
     members = materialise(groups.join(narrow, "node"), "members")
@@ -262,7 +262,7 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, tree
     texts = base.join(members.select("root", "node", F.col("class_id").alias("k"), "copies").hint("merge"), ["node", "k"]).dropDuplicates(["node", "k"])
     pieces = in_blocks(texts, large, ["root"], "node").select("root", "bi", "bj", "own", "node", "copies", "text")
     found = materialise(pieces.repartition(p, "root", "bi", "bj").sortWithinPartitions("root", "bi", "bj", "node")
-                        .mapInArrow(_verify(threshold, n), "node binary, other binary, links long"), "links")
+                        .mapInArrow(K.tidy(_verify(threshold, n)), "node binary, other binary, links long"), "links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     stars = connected_components(found.filter("other is not null").select(F.col("node").alias("u"), F.col("other").alias("v")))
     heads = stars.join(narrow, "node").groupBy("root").agg(F.min(F.struct("first.k", "first.rid", "node")).alias("head"))

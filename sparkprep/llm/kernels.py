@@ -8,7 +8,9 @@ per byte and no per-word Python work.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -69,12 +71,12 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return b, o - o[0]
 
 
-def chunks(offsets: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes each (a longer row stands alone)."""
+def chunks(offsets: np.ndarray, limit: int = 4 << 20, rows: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes each (a longer row stands alone) and ``rows`` rows."""
     lo, n = 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, "right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), lo + rows, n)
         yield lo, hi
         lo = hi
 
@@ -167,3 +169,22 @@ def row_binary(matrix: np.ndarray) -> pa.Array:
     width = matrix.shape[1] * matrix.itemsize if matrix.ndim == 2 else matrix.itemsize
     offs = np.arange(len(matrix) + 1, dtype=np.int64) * width
     return pa.Array.from_buffers(pa.large_binary(), len(matrix), [None, pa.py_buffer(offs), pa.py_buffer(matrix.tobytes())]).cast(pa.binary())
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` for mapInArrow or mapInPandas, which gives freed memory back to
+    the system when its task ends: workers are kept for later stages, and what
+    they hold on to counts against their executor."""
+
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return whole

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 
 DIMS = 4096
+#: Rows whose dense vectors are in memory at a time.
+ROWS = 256
 UNKNOWN = "und"
 
 _FOLD = np.arange(256, dtype=np.uint32)
@@ -87,13 +89,13 @@ def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, m
         df, rows = np.zeros(DIMS, np.int64), 0
         for batch in batches:
             b, o = K.utf8(batch["text"])
-            for lo, hi in K.chunks(o):
+            for lo, hi in K.chunks(o, 1 << 20, ROWS):
                 df += (_grams(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]) > 0).sum(axis=0)
                 rows += hi - lo
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, DIMS), pa.int32()), pa.array(np.concatenate([[rows], df]))], ["gram", "n"])
 
-    found = labelled.select("text").mapInArrow(frequencies, "gram int, n long").groupBy("gram").agg(F.sum("n")).collect()
+    found = labelled.select("text").mapInArrow(K.tidy(frequencies), "gram int, n long").groupBy("gram").agg(F.sum("n")).collect()
     df = np.zeros(DIMS + 1)
     for gram, n in found:
         df[gram + 1] = n
@@ -112,7 +114,7 @@ def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, m
         if not texts:
             continue
         b, o = K.utf8(pa.array(texts, pa.large_string()))
-        x = np.concatenate([_vectors(_grams(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]), idf.astype(np.float32)) for lo, hi in K.chunks(o)])
+        x = np.concatenate([_vectors(_grams(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]), idf.astype(np.float32)) for lo, hi in K.chunks(o, 1 << 20, ROWS)])
         c = _kmeans(x, clusters)
         langs += [lang] * len(c)
         centres.append(c)
@@ -136,7 +138,7 @@ def identify(docs: DataFrame, model: Centroids, reject: float = 0.5, sharpness:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, o = K.utf8(batch["text"])
-            for lo, hi in K.chunks(o):
+            for lo, hi in K.chunks(o, 1 << 20, ROWS):
                 part = batch.slice(lo, hi - lo)
                 letters = np.zeros(hi - lo, bool)
                 c = b[o[lo]:o[hi]]
@@ -160,4 +162,4 @@ def identify(docs: DataFrame, model: Centroids, reject: float = 0.5, sharpness:
                     [*part.columns, pa.array(pred.tolist(), pa.string()), pa.array(score.astype(float)), pa.array(cosine),
                      pa.array(~letters | (cosine < reject * model.floor))], [*part.schema.names, *own])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(K.tidy(run), schema)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .store import materialise, partitions, small_or_shuffled
 
 #: Words are runs of anything but space, \t, \n, \v, \f and \r.
@@ -132,7 +133,7 @@ def mix_copies(units: DataFrame, seed: int = 11, bucket_rows: int = 4096, fan_in
         last = widest <= 1
         got = materialise(
             level.repartition(partitions(spark), "rank", "bucket").sortWithinPartitions("rank", "bucket", "u")
-            .mapInPandas(_tournament(seed, last), _UNIT), "mix")
+            .mapInPandas(K.tidy(_tournament(seed, last)), _UNIT), "mix")
         whole = got.filter("p <= 0 or p >= 1").select("rank", "u", F.col("p").cast("int").alias("up"))
         done = whole if done is None else done.unionByName(whole)
         level = got.filter("p > 0 and p < 1").withColumn("bucket", (F.col("bucket") / fan_in).cast("long"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
+from . import kernels as K
 from .store import materialise, small_or_shuffled
 
 _LOW = -(1 << 63)
@@ -274,7 +275,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     null, empty, zero or has null or non-finite components, link with nothing.
     A null vec_id counts as the smallest; other columns are ignored."""
     v = vectors.select(F.coalesce(F.col(vec_id).cast("long"), F.lit(_LOW)).alias("k"), F.col(label).cast("string").alias("label"), F.col(embedding).alias("v"))
-    rows = materialise(v.mapInArrow(_prepare, "k long, label string, node binary, dims int, unit binary"), "vectors")
+    rows = materialise(v.mapInArrow(K.tidy(_prepare), "k long, label string, node binary, dims int, unit binary"), "vectors")
     classes = materialise(rows.filter("node is not null").groupBy("node").agg(
         F.first("label").alias("label"), F.first("dims").alias("dims"), F.first("unit").alias("unit"), F.count("*").alias("copies"), F.min("k").alias("k")), "classes")
     sizes = materialise(classes.groupBy("label", "dims").agg(

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .kernels import IS_SPACE, chunks, prefix_hash, span_hash, utf8, words
+from . import kernels as K
 from .store import materialise, partitions
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -34,7 +35,7 @@ class WordCachedTokenizer:
     tokenizer's own split pattern finds words in it. Words with special tokens,
     or that don't add up, are encoded one by one."""
 
-    def __init__(self, path: str, cache: int = 1 << 20, width: int = 12):
+    def __init__(self, path: str, cache: int = 1 << 19, width: int = 12):
         import json
 
         import regex
@@ -160,7 +161,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, end_id: int = 2, seq_
             cols = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)] + ([pa.array(ids, pa.binary())] if keep_ids else [])
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _PIECES + ", ids binary" * keep_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(K.tidy(run), _PIECES + ", ids binary" * keep_ids)
 
 
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -260,7 +261,7 @@ def pack_pieces(pieces: DataFrame, seq_len: int = 4096, bucket_rows: int = 50_00
             yield pa.RecordBatch.from_arrays([batch[c] for c in names] + [pa.array(seq, pa.int64()), pa.array(offset, pa.int64())], names + ["sequence_id", "offset"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields if f.name != "rank")
-    return ranked.mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    return ranked.mapInArrow(K.tidy(run), f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, end_id: int = 2, seq_len: int = 4096, keep_ids: bool = False) -> DataFrame:

@@ -72,7 +72,7 @@ def indicators(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def batch_indicators(column) -> Iterator[np.ndarray]:
     b, o = K.utf8(column)
-    for lo, hi in K.chunks(o, 2 << 20):
+    for lo, hi in K.chunks(o, 1 << 20, 256):
         yield indicators(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo])
 
 
@@ -167,14 +167,14 @@ def fit_quality(texts: list[str], labels: list[int], penalty: float = 10.0, blen
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = 2500) -> DataFrame:
-    """Texts and labels of at most ``per_class`` labelled rows of either class
-    (the documented bound of the fit), drawn by a hash of doc_id. Null ids,
+    """Texts and labels of at most ``per_class`` labelled ids of either class,
+    and as many rows in all (the documented bound of the fit), drawn by a hash of doc_id. Null ids,
     labels and texts teach nothing; an id with several labels teaches each."""
     known = labels.filter("doc_id is not null and quality in (0, 1)").select("doc_id", "quality")
     draw = F.xxhash64("doc_id", F.lit(1))
     picked = [known.filter(F.col("quality") == q).orderBy(draw, "doc_id").limit(per_class) for q in (0, 1)]
     picked = picked[0].unionByName(picked[1]).distinct()
-    return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "quality")
+    return docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "quality").orderBy(draw, "doc_id").limit(2 * per_class)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
@@ -191,7 +191,7 @@ def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.7)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= threshold).astype(np.int32))],
                                                  [*batch.schema.names, "score", "predicted"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(K.tidy(run), schema)
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, per_class: int = 2500, **options) -> QualityModel:

@@ -383,13 +383,13 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text
     p = partitions(spark)
     dealt = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("k"), "text").repartition(p, "k")
     # all columns go along, so that the exchange of ``dealt`` is the same one in all three places
-    sent = dealt.sortWithinPartitions("k", "text").mapInArrow(_send_anchors(window, gram, p), "part long, settled boolean, data binary")
-    gathered = lambda blobs: blobs.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_gather, "k long, marks binary")
-    marks = gathered(sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_settle_ranges(p), "part long, data binary"))
+    sent = dealt.sortWithinPartitions("k", "text").mapInArrow(K.tidy(_send_anchors(window, gram, p)), "part long, settled boolean, data binary")
+    gathered = lambda blobs: blobs.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_gather), "k long, marks binary")
+    marks = gathered(sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_settle_ranges(p)), "part long, data binary"))
     joined = dealt.join(marks, "k", "left")
-    surroundings = joined.sortWithinPartitions("k", "text").mapInArrow(_send_surroundings(window, gram, p), "part long, data binary")
-    more = gathered(surroundings.repartition(p, "part").sortWithinPartitions("part").mapInArrow(_compare_ranges(window, gram, p), "part long, data binary")
+    surroundings = joined.sortWithinPartitions("k", "text").mapInArrow(K.tidy(_send_surroundings(window, gram, p)), "part long, data binary")
+    more = gathered(surroundings.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_compare_ranges(window, gram, p)), "part long, data binary")
                     ).withColumnRenamed("marks", "more")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields)
     out = f"{kinds}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
-    return joined.join(more, "k", "left").sortWithinPartitions("k", "text").mapInArrow(_cut(names, keep_text), out)
+    return joined.join(more, "k", "left").sortWithinPartitions("k", "text").mapInArrow(K.tidy(_cut(names, keep_text)), out)
