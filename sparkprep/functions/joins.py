@@ -1,49 +1,30 @@
-"""Join helpers: broadcast only behind a size check, salted fallback for hot keys."""
+"""Join helper for tables with one row per key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A stats/level table is broadcast only when it has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows' worth of output (``limit`` stops early)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(frame, broadcast?)``: the broadcast-hinted frame when its row
-    count is proven below ``max_rows``, else the frame unchanged (the join
-    then shuffles; AQE may still demote it to a broadcast at run time)."""
-    if row_count_at_most(small, max_rows):
-        return F.broadcast(small), True
-    return small, False
-
-
 def lookup_join(
     big: DataFrame,
     small: DataFrame,
     on: list[str] | str,
     how: str = "left",
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to a table with one row per key (levels, statistics).
 
-    Small side proven small → broadcast hash join, no shuffle of ``big``.
-    Otherwise a salted shuffle join: ``big`` spreads each key over ``salts``
-    sub-keys chosen by a row hash, ``small`` is replicated per salt, so a key
-    holding a third of all rows is split over ``salts`` tasks instead of one.
-    """
+    No hint and no probe: Spark compares the table's bytes with
+    ``spark.sql.autoBroadcastJoinThreshold``, at planning and again with the
+    bytes that its stages produced, and otherwise shuffles; adaptive execution
+    then splits a hot key's partition. ``salts`` asks for a salted join
+    instead (for full joins, or where skew handling is off): each row of
+    ``big`` draws its sub-key by its own number, so equal rows are spread too,
+    and ``small`` is repeated per salt."""
     keys = [on] if isinstance(on, str) else list(on)
-    sm, is_bc = sized_broadcast(small, max_rows)
-    if is_bc:
-        return big.join(sm, keys, how)
+    if not salts:
+        return big.join(small, keys, how)
     salt = "__salt"
-    big_s = big.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]), F.lit(salts)))
+    big_s = big.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
     small_s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     return big_s.join(small_s, keys + [salt], how).drop(salt)

@@ -21,12 +21,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join, row_count_at_most
+from .joins import lookup_join
 
 _BKT = "__bkt"
-# Up to this many (pre-aggregated) rows, one ordered window in one task is
-# cheaper than the bucketed scheme; the bound keeps that task small.
-SMALL_WINDOW_ROWS = 200_000
 
 
 def quantile_buckets(df: DataFrame, order_col: str, buckets: int, accuracy: int = 10_000) -> DataFrame:
@@ -51,11 +48,9 @@ def running_sums(
     sum_cols: dict[str, Column],
     partition_cols: tuple[str, ...] | list[str] = (),
     descending: bool = False,
-    buckets: int = 64,
+    buckets: int | None = None,
     bucket_expr: Column | None = None,
-    max_broadcast_rows: int = 1_000_000,
     with_next: bool = False,
-    small_rows: int = SMALL_WINDOW_ROWS,
 ) -> DataFrame:
     """Append inclusive running sums ``cum_<name>`` of each ``sum_cols``
     expression, ordered by ``order_col`` (ascending unless ``descending``)
@@ -64,12 +59,8 @@ def running_sums(
     following ``order_col`` value in the same order (NULL for the last)."""
     parts = list(partition_cols)
     key_order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if small_rows and row_count_at_most(df, small_rows):
-        w = Window.partitionBy(*parts).orderBy(key_order)
-        cols = [(F.sum(e).over(w.rowsBetween(Window.unboundedPreceding, 0))).alias(f"cum_{n}") for n, e in sum_cols.items()]
-        if with_next:
-            cols.append(F.lead(order_col).over(w).alias("next_key"))
-        return df.select(*df.columns, *cols)
+    # as many buckets as the session deals shuffles into, which grows with the cluster and the data
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = df.select("*", *[e.alias(f"__v_{n}") for n, e in sum_cols.items()])
     if bucket_expr is not None:
         base = base.withColumn(_BKT, bucket_expr)
@@ -81,7 +72,7 @@ def running_sums(
     offsets = totals.select(
         *parts, _BKT, *[F.coalesce(F.sum(f"__t_{n}").over(w_off), F.lit(0)).alias(f"__o_{n}") for n in sum_cols]
     )
-    joined = lookup_join(base, offsets, parts + [_BKT], "left", max_rows=max_broadcast_rows)
+    joined = lookup_join(base, offsets, parts + [_BKT], "left")
     w_in = Window.partitionBy(*parts, _BKT).orderBy(key_order).rowsBetween(Window.unboundedPreceding, 0)
     extra = []
     if with_next:
@@ -91,7 +82,7 @@ def running_sums(
         firsts = base.groupBy(*parts, _BKT).agg(
             (F.max(order_col) if descending else F.min(order_col)).alias("__first"))
         firsts = firsts.select(*parts, _BKT, F.lead("__first").over(w_first).alias("__next_bkt_first"))
-        joined = lookup_join(joined, firsts, parts + [_BKT], "left", max_rows=max_broadcast_rows)
+        joined = lookup_join(joined, firsts, parts + [_BKT], "left")
         w_lead = Window.partitionBy(*parts, _BKT).orderBy(key_order)
         extra.append(F.coalesce(F.lead(order_col).over(w_lead), F.col("__next_bkt_first")).alias("next_key"))
     out = joined.select(
@@ -100,3 +91,57 @@ def running_sums(
         *extra,
     )
     return out
+
+
+def exact_quantiles(df: DataFrame, cols: dict[str, Column], probs: list[float], bins: int = 256) -> dict[str, list[float | None]]:
+    """Exact quantiles with linear interpolation of several numeric expressions
+    at once, without sorting or keeping values: each wanted rank has a range of
+    values; a pass counts the values of every range in ``bins`` equal bins (with
+    each bin's own least and greatest value), and the range shrinks to the bin
+    that holds the rank, until that bin has one value only. State is ranks x
+    bins rows, whatever the data; a pass is one scan with partial aggregation,
+    and doubles need a handful. Nulls and NaN are left out; a column without
+    values gives nulls."""
+    names = list(cols)
+    value = {n: cols[n].cast("double") for n in names}
+    value = {n: F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v) for n, v in value.items()}
+    base = df.select(*[value[n].alias(f"v{i}") for i, n in enumerate(names)])
+    row = base.agg(*[f(F.col(f"v{i}")).alias(f"{k}{i}") for i in range(len(names)) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first() if names else None
+    ranks = {i: sorted({r for q in probs for x in [q * (row[f"n{i}"] - 1)] for r in (int(x), min(int(x) + 1, row[f"n{i}"] - 1))})
+             for i in range(len(names)) if row[f"n{i}"]}
+    found: dict[tuple[int, int], float] = {}
+    todo = {(i, r): (row[f"lo{i}"], row[f"hi{i}"], 0) for i, rs in ranks.items() for r in rs}  # range and the count below it
+    while todo:
+        for key in [k for k, (lo, hi, _) in todo.items() if lo == hi]:
+            found[key] = todo.pop(key)[0]
+        ranges = sorted({(i, lo, hi) for (i, _), (lo, hi, _) in todo.items()})
+        if not ranges:
+            break
+        parts = []
+        for no, (i, lo, hi) in enumerate(ranges):
+            v = F.col(f"v{i}")
+            bin_ = F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * bins), F.lit(bins - 1)).cast("int")
+            parts.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(no).alias("no"), bin_.alias("bin"), v.alias("v"))))
+        got = base.select(F.inline(F.filter(F.array(*parts), lambda x: x.isNotNull()))).groupBy("no", "bin").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()  # at most ranges x bins rows
+        by = {}
+        for r in sorted(got, key=lambda r: (r["no"], r["bin"])):
+            by.setdefault(ranges[r["no"]], []).append((r["n"], r["lo"], r["hi"]))
+        for (i, rank), (lo, hi, below) in list(todo.items()):
+            for n, l, h in by[(i, lo, hi)]:
+                if rank < below + n:
+                    todo[(i, rank)] = (l, h, below)
+                    break
+                below += n
+    out = {}
+    for i, name in enumerate(names):
+        own = []
+        for q in probs:
+            if i not in ranks:
+                own.append(None)
+                continue
+            x = q * (row[f"n{i}"] - 1)
+            a, b = found[(i, int(x))], found[(i, min(int(x) + 1, row[f"n{i}"] - 1))]
+            own.append(a + (b - a) * (x - int(x)))
+        out[name] = own
+    return out

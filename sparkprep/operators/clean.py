@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ordered import exact_quantiles
 from ..functions.exprs import NUMERIC_TYPES, numeric_columns, q, snake_name, string_columns
 from ..functions.joins import lookup_join
 
@@ -234,14 +235,15 @@ def replace_values(df: DataFrame, to_replace: list, value, subset: list[str]) ->
 
 
 def medians(df: DataFrame, cols: list[str], relative_error: float | None = None) -> dict[str, float | None]:
-    """CL8/CL9 fit: exact interpolating median per column (``median``), or
-    ``percentile_approx`` with accuracy ~ 1/relative_error. One aggregate for
-    all columns; only one scalar per column reaches the driver."""
+    """CL8/CL9 fit: exact interpolating median per column
+    (``exact_quantiles``), or ``percentile_approx`` with accuracy ~
+    1/relative_error. Only one scalar per column reaches the driver."""
+    if not cols:
+        return {}
     if relative_error is None:
-        aggs = [F.median(q(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]
-    else:
-        acc = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
-        aggs = [F.percentile_approx(q(c).cast("double"), 0.5, acc).alias(f"m{i}") for i, c in enumerate(cols)]
+        return {c: v[0] for c, v in exact_quantiles(df, {c: q(c) for c in cols}, [0.5]).items()}
+    acc = max(1, int(round(1.0 / relative_error))) if relative_error > 0 else 1_000_000
+    aggs = [F.percentile_approx(q(c).cast("double"), 0.5, acc).alias(f"m{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
     return {c: row[f"m{i}"] for i, c in enumerate(cols)}
 

@@ -146,15 +146,29 @@ def column_kinds(ref: DataFrame, cur: DataFrame, cols: list[str]) -> dict[str, s
     return out
 
 
-def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None) -> DataFrame:
+def unmatched_columns(ref: DataFrame, cur: DataFrame) -> list[tuple[str, str]]:
+    """DR9: (column, frame) of columns that only one frame has; they are not compared."""
+    return ([(c, "reference") for c in ref.columns if c not in set(cur.columns)]
+            + [(c, "current") for c in cur.columns if c not in set(ref.columns)])
+
+
+def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
+                 small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None) -> DataFrame:
     """DR1-DR7 per column: one row per compared column (the intersection of
-    both frames' columns, DR9)."""
+    both frames' columns, DR9). The preset rule takes the small-sample tests up
+    to ``small_reference`` reference rows; ``tests`` names a column's test
+    outright (ks, wasserstein, chisquare, z or jensenshannon)."""
     cols = cols or [c for c in ref.columns if c in set(cur.columns)]
+    tests = tests or {}
+    named = {"ks": ks_test, "wasserstein": wasserstein, "chisquare": chi_square, "z": proportion_z, "jensenshannon": jensen_shannon}
     kinds = column_kinds(ref, cur, cols)
-    small = ref.count() <= SMALL_REFERENCE_ROWS
+    small = ref.count() <= small_reference
     parts = []
     for c in cols:
         k = kinds[c]
+        if c in tests:
+            parts.append(named[tests[c]](ref, cur, c))
+            continue
         if k == "num":
             parts.append(ks_test(ref, cur, c) if small else wasserstein(ref, cur, c))
         elif small:

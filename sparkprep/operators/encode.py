@@ -1,9 +1,8 @@
 """Fitted encoders (EN1-EN7).
 
 Fit statistics are computed for all columns in one long-form aggregation.
-Applying them uses a literal map expression when the level table is small
-(no join at all, stays in whole-stage codegen) and a lookup join otherwise
-(broadcast when proven small, salted shuffle beyond that).
+Applying them is a lookup join per column, which Spark broadcasts or shuffles
+by the table's bytes.
 """
 
 from __future__ import annotations
@@ -15,12 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import long_form, q
-from ..functions.joins import lookup_join, row_count_at_most
-
-# Level tables up to this many rows are applied as literal map expressions.
-MAP_LITERAL_ROWS = 20_000
-# One-hot outputs one column per level; refuse (never truncate) beyond this.
-MAX_ONE_HOT_LEVELS = 1_000
+from ..functions.joins import lookup_join
 
 
 # --------------------------------------------------------------------------- target encoding (EN1-EN3)
@@ -71,32 +65,12 @@ def mean_encoding_fit(df: DataFrame, cols: list[str], target: str) -> TargetEnco
 
 
 def apply_level_values(df: DataFrame, cols: list[str], stats: DataFrame, value_col: str, default,
-                       suffix: str = "", drop_source: bool = False, map_rows: int = MAP_LITERAL_ROWS) -> DataFrame:
+                       suffix: str = "", drop_source: bool = False) -> DataFrame:
     """Replace each column's level by ``stats.value_col`` (keyed by column,
-    level); unmatched -> ``default``. Small tables become literal maps, large
-    ones lookup joins."""
+    level); unmatched -> ``default``."""
     small = stats.select("column_name", "level", value_col)
     out_name = {c: f"{c}{suffix}" for c in cols}
     dflt = F.lit(default).cast("double")
-    if row_count_at_most(small, map_rows):
-        by_col: dict[str, list] = {c: [] for c in cols}
-        for r in small.collect():  # bounded by map_rows
-            if r["column_name"] in by_col:
-                by_col[r["column_name"]] += [F.lit(r["level"]), F.lit(r[value_col]).cast("double")]
-        proj = []
-        for c in df.columns:
-            if c in by_col:
-                m = F.create_map(*by_col[c]) if by_col[c] else None
-                v = F.coalesce(F.element_at(m, q(c).cast("string")), dflt) if m is not None else dflt
-                if drop_source:
-                    proj.append(v.alias(out_name[c]))
-                else:
-                    proj.append(v.alias(out_name[c]) if suffix else v.alias(c))
-                    if suffix:
-                        proj.append(q(c))
-            else:
-                proj.append(q(c))
-        return df.select(*proj)
     out = df
     for c in cols:
         lk = small.filter(F.col("column_name") == c).select(F.col("level").alias(f"__lvl_{c}"), F.col(value_col).alias(f"__enc_{c}"))
@@ -142,22 +116,16 @@ def _levels_table(df: DataFrame, cols: list[str]) -> DataFrame:
     return lf.groupBy("column_name", "level").count()
 
 
-def _collect_levels(tbl: DataFrame, max_levels: int) -> list:
-    if not row_count_at_most(tbl, max_levels * 64):
-        raise ValueError("one-hot level table too large; group rare levels first")
-    return tbl.collect()
-
-
-def one_hot_fit(df: DataFrame, cols: list[str], null_as_level: bool = True, max_levels: int = MAX_ONE_HOT_LEVELS) -> OneHot:
+def one_hot_fit(df: DataFrame, cols: list[str], null_as_level: bool = True, max_levels: int | None = None) -> OneHot:
     """EN4: all levels sorted (null last when ``null_as_level``), drop the
-    first; unknown levels -> all zeros."""
-    rows = _collect_levels(_levels_table(df, cols), max_levels)
+    first; unknown levels -> all zeros. ``max_levels`` refuses wider columns."""
+    rows = _levels_table(df, cols).collect()  # they become the schema: one output column per level
     out = {}
     for c in cols:
         lv = sorted(r["level"] for r in rows if r["column_name"] == c and r["level"] is not None)
         if null_as_level and any(r["column_name"] == c and r["level"] is None for r in rows):
             lv.append(None)
-        if len(lv) > max_levels:
+        if max_levels is not None and len(lv) > max_levels:
             raise ValueError(f"column {c} has {len(lv)} levels (> {max_levels}); group rare levels first")
         out[c] = lv[1:]
     return OneHot(out)
@@ -170,12 +138,12 @@ def one_hot_batch(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def one_hot_indexed_fit(df: DataFrame, cols: list[str], null_policy: str = "zero",
-                        max_levels: int = MAX_ONE_HOT_LEVELS) -> OneHot:
+                        max_levels: int | None = None) -> OneHot:
     """EN6 + EN7: levels ordered by frequency desc (ties by label), the last
     (least frequent) dropped; a column with fewer than two non-null levels
     stays raw. Level counts for all columns come from one aggregation (the
     gate of EN7 reads the same table)."""
-    rows = _collect_levels(_levels_table(df, cols), max_levels)
+    rows = _levels_table(df, cols).collect()  # they become the schema: one output column per level
     out, passthrough = {}, []
     for c in cols:
         lv = sorted(((r["level"], r["count"]) for r in rows if r["column_name"] == c and r["level"] is not None),

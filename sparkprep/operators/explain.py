@@ -29,27 +29,25 @@ def feature_importance(pipeline_model, feature_cols: list[str]) -> DataFrame:
 
 
 def sampled_shapley(model, df: DataFrame, key: str, feature_cols: list[str], background: DataFrame,
-                    permutations: int = 8, seed: int = 42) -> DataFrame:
+                    permutations: int = 8, seed: int = 42, max_background: int = 10_000) -> DataFrame:
     """EX2: (key, feature, contribution) plus a ``__base__`` row per key.
 
     ``background`` must be small (its size is checked; it is broadcast): for
     each (row, permutation) one background row is picked by hash; features
     are switched from background to row values in a permutation order drawn
     from a hash of (row, permutation)."""
-    from ..functions.joins import sized_broadcast
-
     from pyspark.sql import Window
 
     d = len(feature_cols)
     bg = background.select(*[q(c) for c in feature_cols])
-    n_bg = bg.limit(10_001).count()
+    n_bg = bg.count()
     if n_bg == 0:
         raise ValueError("empty background frame")
-    if n_bg > 10_000:
-        raise ValueError("background frame too large to broadcast; pass a sample of at most 10,000 rows")
-    # numbering a proven-small frame (<= 10,000 rows) in one task is fine
+    if n_bg > max_background:
+        raise ValueError(f"background frame too large to broadcast; pass a sample of at most {max_background} rows")
+    # numbering a frame that is proven small in one task is fine
     bg_idx = bg.withColumn("__b", F.row_number().over(Window.orderBy(*[q(c) for c in feature_cols])) - 1)
-    bg_b, _ = sized_broadcast(bg_idx.select("__b", *[q(c).alias(f"__bg_{c}") for c in feature_cols]), 10_000)
+    bg_b = F.broadcast(bg_idx.select("__b", *[q(c).alias(f"__bg_{c}") for c in feature_cols]))
     rows = df.select(q(key).alias("__key"), *[q(c) for c in feature_cols])
     # fan out: permutation p, step s (0..d): the first s features of the permutation come from the row
     perms = rows.withColumn("__p", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordered import exact_quantiles
 from ..functions.exprs import long_form, numeric_columns, q, string_columns
 
 # --------------------------------------------------------------------------- nulls (PR1-PR3, PR9)
@@ -132,14 +133,21 @@ def distinct_values(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
     """PR10: count, mean, sample std, min, 25/50/75 % (linear interpolation,
-    exact; ``accuracy`` switches to ``percentile_approx``), max — one row per
-    column, computed in one long-form aggregation."""
+    exact by ``exact_quantiles``; ``accuracy`` switches to
+    ``percentile_approx``), max — one row per column."""
     cols = cols or numeric_columns(df)
     lf = long_form(df, cols, value_type="double", with_ordinal=True)
     if accuracy is None:
-        pct = F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    else:
-        pct = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
+        found = exact_quantiles(df, {c: q(c) for c in cols}, [0.25, 0.5, 0.75])  # three scalars per column
+        number = lambda x: "cast(null as double)" if x is None else f"double('{x!r}')"
+        rows = [f"when column_name = '{c.replace(chr(39), chr(92) + chr(39))}' then array({', '.join(map(number, found[c]))})" for c in cols]
+        pct = F.expr(f"case {' '.join(rows)} end") if rows else F.lit(None).cast("array<double>")
+        return (lf.groupBy("ordinal", "column_name").agg(
+            F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"), F.max("value").alias("max")).withColumn("__p", pct)
+            .select("ordinal", "column_name", "count", "mean", "std", "min",
+                    F.col("__p")[0].alias("p25"), F.col("__p")[1].alias("p50"), F.col("__p")[2].alias("p75"), "max"))
+    pct = F.percentile_approx(F.col("value"), [0.25, 0.5, 0.75], accuracy)
     return lf.groupBy("ordinal", "column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), pct.alias("__p"), F.max("value").alias("max"),
@@ -168,6 +176,7 @@ def group_contrast(df: DataFrame, group_col: str, cols: list[str] | None = None,
     m0 = 0) and ``vastly_different = abs(pct_diff) > threshold``.
     Raises unless there are exactly two groups."""
     cols = cols or numeric_columns(df, exclude=(group_col,))
+    df = df.filter(q(group_col).isNotNull())  # a null key is not a group
     lf = long_form(df, cols, ids=[group_col], value_type="double", with_ordinal=True)
     means = lf.groupBy(group_col, "ordinal", "column_name").agg(F.avg("value").alias("mean"))
     n_groups = means.select(group_col).distinct().count()
@@ -201,15 +210,23 @@ def corr_matrix(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     aggregate; long form (col_a, col_b, corr), both triangles and diagonal."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.corr(q(a).cast("double"), q(b).cast("double")).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]
-    aggs.append(F.count(F.lit(1)).alias("__n"))
+
+    def pearson(a: str, b: str) -> Column:
+        # not F.corr, which raises for a constant column
+        x, y = q(a).cast("double"), q(b).cast("double")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.coalesce(F.try_divide(F.covar_pop(x, y), spread), F.lit(float("nan")))
+
+    aggs = [pearson(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]
+    aggs += [F.min(q(c)).alias(f"lo{k}") for k, c in enumerate(cols)] + [F.max(q(c)).alias(f"hi{k}") for k, c in enumerate(cols)]
     row = df.agg(*aggs)
     entries = []
     for k, (a, b) in enumerate(pairs):
         entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{k}").alias("corr")))
         entries.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"r{k}").alias("corr")))
-    for c in cols:
-        entries.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("corr")))
+    for k, c in enumerate(cols):  # a constant column has no correlation, not even with itself
+        own = F.when(F.col(f"lo{k}") < F.col(f"hi{k}"), F.lit(1.0)).otherwise(F.lit(float("nan")))
+        entries.append(F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), own.alias("corr")))
     return row.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
@@ -238,7 +255,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     width = (hi - lo) / bins if hi > lo else 0.0
     counts = (df.filter(q(col).isNotNull()).groupBy(bin_index(q(col), lo, hi, bins).alias("bin")).count())
     edges = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    out = edges.join(F.broadcast(counts), "bin", "left")  # both sides bounded by ``bins``
+    out = edges.join(counts, "bin", "left")
     return out.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"),
                       F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
@@ -247,14 +264,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 def auto_bin_count(df: DataFrame, col: str, accuracy: int | None = None) -> int:
     """PR18: numpy's 'auto' rule = the larger bin count of Sturges
     (log2(n) + 1) and Freedman-Diaconis (width 2 IQR n^(-1/3))."""
-    pct = (F.percentile(q(col).cast("double"), F.array(F.lit(0.25), F.lit(0.75))) if accuracy is None
-           else F.percentile_approx(q(col).cast("double"), [0.25, 0.75], accuracy))
-    r = df.agg(F.count(q(col)).alias("n"), F.min(q(col)).alias("lo"), F.max(q(col)).alias("hi"), pct.alias("p")).first()
+    pct = F.lit(None) if accuracy is None else F.percentile_approx(q(col).cast("double"), [0.25, 0.75], accuracy)
+    r = df.agg(F.count(q(col)).alias("n"), F.min(q(col)).alias("lo"), F.max(q(col)).alias("hi"), F.first(pct).alias("p") if accuracy is None else pct.alias("p")).first()
     n, lo, hi = r["n"], r["lo"], r["hi"]
     if not n or hi == lo:
         return 1
+    quartiles = exact_quantiles(df, {col: q(col)}, [0.25, 0.75])[col] if accuracy is None else r["p"]
     sturges_w = (hi - lo) / (math.log2(n) + 1.0)
-    iqr = r["p"][1] - r["p"][0]
+    iqr = quartiles[1] - quartiles[0]
     fd_w = 2.0 * iqr * n ** (-1.0 / 3.0)
     width = min(sturges_w, fd_w) if fd_w > 0 else sturges_w
     return max(1, int(math.ceil((hi - lo) / width)))
@@ -347,9 +364,10 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def profile_report(df: DataFrame, target: str | None = None, max_rows: int = 150_000, max_cols: int = 50,
+def profile_report(df: DataFrame, target: str | None = None, max_rows: int | None = None, max_cols: int | None = None,
                    seed: int = 42) -> dict[str, DataFrame]:
-    """PR21: the automatic profile as tables over a capped sample (IO2)."""
+    """PR21: the automatic profile as tables over all rows and columns, or
+    over a sample of at most ``max_rows`` and ``max_cols`` (IO2) if given."""
     from ..sources.tables import profile_sample
 
     s = profile_sample(df, max_rows, max_cols, seed)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import path_exists
+
 METRICS_SCHEMA = T.StructType([
     T.StructField("experiment", T.StringType()), T.StructField("run_id", T.StringType()),
     T.StructField("run_name", T.StringType()), T.StructField("name", T.StringType()),
@@ -83,10 +85,9 @@ def read_params(spark: SparkSession, base: str) -> DataFrame:
 
 def _registry(spark: SparkSession, base: str) -> DataFrame | None:
     path = os.path.join(base, "registry")
-    try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no registry written yet
+    if not path_exists(spark, path):
         return None
+    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
 
 
 def register_model(spark: SparkSession, base: str, name: str, model_path: str, run_id: str) -> int:

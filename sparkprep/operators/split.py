@@ -8,17 +8,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import q
 from ..functions.joins import lookup_join
-from ..functions.ordered import running_sums
 
 
 def key_hash(key_cols: list[str], seed: int = 42) -> Column:
     """md5 of the key columns joined by '-' plus '-<seed>' (hex string; uniform)."""
-    parts = [q(c).cast("string") for c in key_cols]
+    # a null part is told apart from an empty one, so that composite keys don't collide
+    parts = [F.coalesce(q(c).cast("string"), F.lit("\u0000")) for c in key_cols]
     return F.md5(F.concat_ws("-", *parts, F.lit(str(seed))))
 
 
@@ -32,25 +32,37 @@ def hash_split(df: DataFrame, key_cols: list[str], test_frac: float = 0.2, seed:
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_frac: float = 0.2, seed: int = 42,
-                     flag: str = "is_test", small_rows: int | None = None) -> DataFrame:
+                     flag: str = "is_test", digits: int = 4) -> DataFrame:
     """MO1, exact per-class quota: within each class, the ``round(test_frac *
     n_class)`` rows with the smallest key hash are test rows.
 
-    Ranks come from bucketed running counts: buckets are hash prefixes (the
-    hash is uniform, so buckets are balanced even when one class holds most
-    rows), per-bucket offsets come from a (classes x buckets) table, and the
-    only windows are partitioned by (class, bucket)."""
+    Rows with a null label are a class of their own. The table itself isn't
+    sorted or shuffled: rows are counted per class and hash prefix (``digits``
+    hex digits, so 16^digits rows a class), each class's boundary prefix is
+    found in those counts, and only the rows of boundary prefixes, one in
+    16^digits, are ranked."""
     h = "__h"
-    x = df.withColumn(h, key_hash(key_cols, seed))
-    n = df.count()
-    digits = min(8, max(2, math.ceil(math.log(max(n, 1) / 200_000.0, 16)) if n > 200_000 else 2))
-    bucket = F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("bigint")
-    extra = {} if small_rows is None else {"small_rows": small_rows}
-    ranked = running_sums(x, h, {"rank": F.lit(1)}, partition_cols=[label], bucket_expr=bucket, **extra)
-    quotas = df.groupBy(q(label).alias(label)).agg(F.count(F.lit(1)).alias("__n")).select(
-        label, F.floor(F.col("__n") * F.lit(float(test_frac)) + F.lit(0.5)).alias("__quota"))
-    out = lookup_join(ranked, quotas, [label], "left")
-    return out.withColumn(flag, F.col("cum_rank") <= F.col("__quota")).drop(h, "cum_rank", "__quota")
+    cls = "__class"  # a key that is never null
+    key = F.coalesce(F.concat(F.lit("="), q(label).cast("string")), F.lit("null"))
+    x = df.withColumn(h, key_hash(key_cols, seed)).withColumn(cls, key)
+    prefix = F.conv(F.substring(F.col(h), 1, digits), 16, 10).cast("bigint")
+    # rows per (class, hash prefix): the class's boundary prefix is where its quota is reached
+    counts = x.groupBy(cls, prefix.alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(cls)
+    up_to = w.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("__quota", F.floor(F.sum("__n").over(w) * F.lit(float(test_frac)) + F.lit(0.5))) \
+                   .withColumn("__before", F.sum("__n").over(up_to) - F.col("__n"))
+    edge = counts.filter((F.col("__before") <= F.col("__quota")) & (F.col("__quota") < F.col("__before") + F.col("__n")))
+    edge = edge.select(cls, F.col("__b").alias("__edge"), (F.col("__quota") - F.col("__before")).alias("__left"))
+    # whole prefixes are decided by comparison; only rows of boundary prefixes are ranked
+    marked = lookup_join(x.withColumn("__b", prefix), edge, [cls], "left")
+    at_edge = F.col("__b") == F.col("__edge")
+    rest = [F.xxhash64(*[q(c) for c in df.columns])] if df.columns else []
+    rank = F.row_number().over(Window.partitionBy(cls, "__b").orderBy(h, *rest))
+    inner = marked.filter(at_edge).withColumn(flag, rank <= F.col("__left"))
+    # without an edge the quota is the whole class
+    outer = marked.filter(~F.coalesce(at_edge, F.lit(False))).withColumn(flag, F.coalesce(F.col("__b") < F.col("__edge"), F.lit(True)))
+    return outer.unionByName(inner).select(*[q(c) for c in df.columns], flag)
 
 
 def split_frames(df: DataFrame, flag: str = "is_test") -> tuple[DataFrame, DataFrame]:

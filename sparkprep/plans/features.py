@@ -89,18 +89,10 @@ def _group_rare(df: DataFrame, spec: FeatureSpec, levels: list) -> DataFrame:
     return df
 
 
-# Level tables up to this many rows are gathered to fit in two passes.
-LEVEL_TABLE_ROWS = 200_000
-
-
 def _materialize(stats: DataFrame) -> DataFrame:
-    """Compute the fitted level table once: as local rows when proven small,
-    else as a reliable checkpoint in the shared checkpoint dir."""
-    from ..functions.joins import row_count_at_most
+    """Compute the fitted level table once, in the shared checkpoint folder."""
     from ..session import cut_lineage
 
-    if row_count_at_most(stats, E.MAP_LITERAL_ROWS):
-        return stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
     return cut_lineage(stats)
 
 
@@ -115,117 +107,15 @@ class FeatureEngineer(Estimator, MLReadable, MLWritable):
         spec = self.spec
         C.require_non_empty(df)
         C.require_columns(df, [spec.target])
-        x = _prepare(df, spec)
-        fast = self._fit_from_level_table(x)
-        return fast if fast is not None else self._fit_multipass(x)
-
-    def _prior_and_medians(self, x: DataFrame, st: FittedState, nums: list[str]) -> None:
-        spec = self.spec
-        aggs = [F.avg(q(spec.target).cast("double")).alias("__prior")]
-        if spec.median_scope == "fit":
-            for i, c in enumerate(nums):
-                v = q(c).cast("double")
-                if spec.median_relative_error is None:
-                    aggs.append(F.median(v).alias(f"m{i}"))
-                else:
-                    acc = max(1, int(round(1.0 / spec.median_relative_error)))
-                    aggs.append(F.percentile_approx(v, 0.5, acc).alias(f"m{i}"))
-        row = x.agg(*aggs).first()
-        st.prior = row["__prior"]
-        if spec.median_scope == "fit":
-            st.medians = {c: row[f"m{i}"] for i, c in enumerate(nums)}
-
-    def _fit_from_level_table(self, x: DataFrame) -> "FeatureModel | None":
-        """Two passes in total: (1) one long-form aggregation of
-        (column, pre-fill level) -> (rows, target count, target sum) for every
-        categorical column involved, (2) prior and medians. Null fills and
-        rare grouping are deterministic level -> level maps, so the post-fill
-        statistics are re-aggregations of the small level table. Returns None
-        when the level table exceeds ``LEVEL_TABLE_ROWS`` (multi-pass path)."""
-        spec = self.spec
-        st = FittedState()
-        te = [c for c in spec.te_cols if c in x.columns] if spec.encoding != "none" else []
-        oh = [c for c in spec.ohe_cols if c in x.columns] if spec.one_hot in ("fitted", "indexed") else []
-        rare = spec.rare_col if spec.rare_col and spec.rare_col in x.columns else None
-        cd = spec.conditional_drop if spec.conditional_drop and spec.conditional_drop["col"] in x.columns else None
-        cats = list(dict.fromkeys(te + oh + ([rare] if rare else []) + ([cd["col"]] if cd else [])))
-        levels: dict[str, dict] = {c: {} for c in cats}
-        if cats:
-            t = q(spec.target).cast("double")
-            lf = long_form(x, cats, ids=[spec.target], val="level")
-            lvl = lf.groupBy("column_name", "level").agg(
-                F.count(F.lit(1)).alias("n"), F.count(t).alias("nt"), F.sum(t).alias("s"))
-            rows = lvl.limit(LEVEL_TABLE_ROWS + 1).collect()
-            if len(rows) > LEVEL_TABLE_ROWS:
-                return None
-            for r in rows:
-                levels[r["column_name"]][r["level"]] = (r["n"], r["nt"], r["s"] or 0.0)
-        self._prior_and_medians(x, st, [c for c in spec.numeric_cols if c in x.columns])
-
-        def fill(c, v):
-            return v if v is not None else (None if spec.fills.get(c) is None else str(spec.fills[c]))
-
-        if rare:
-            counts: dict = {}
-            for lv, (n, _, _) in levels[rare].items():
-                k = lv if spec.rare_before_fill else fill(rare, lv)
-                counts[k] = counts.get(k, 0) + n
-            thr = spec.rare_min_count
-            if spec.rare_min_share is not None:
-                thr = spec.rare_min_share * sum(counts.values())
-            st.rare_levels = sorted(k for k, n in counts.items() if k is not None and n < thr)
-        rare_set = set(st.rare_levels)
-
-        def grouped(c, v):
-            v = fill(c, v)
-            return spec.rare_other if (c == rare and v in rare_set) else v
-
-        def regroup(c, fn):
-            out: dict = {}
-            for lv, (n, nt, sm) in levels[c].items():
-                k = fn(c, lv)
-                a = out.get(k, (0, 0, 0.0))
-                out[k] = (a[0] + n, a[1] + nt, a[2] + sm)
-            return out
-
-        stats = None
-        if te:
-            fn = (lambda c, v: v) if spec.fit_order == "encode_before_fill" else grouped
-            recs = []
-            for c in te:
-                for k, (n, nt, sm) in regroup(c, fn).items():
-                    if k is not None:
-                        recs.append((c, k, int(n), (sm / nt) if nt else None))
-            spark = x.sparkSession
-            stats = spark.createDataFrame(recs, "column_name string, level string, n bigint, target_mean double")
-            enc = (E.smoothed_value(F.col("n"), F.col("target_mean"), st.prior, spec.min_samples_leaf, spec.smoothing)
-                   if spec.encoding == "smoothed" else F.col("target_mean"))
-            stats = _materialize(stats.withColumn("encoded", enc))
-        for c in oh:
-            agg = regroup(c, grouped)
-            if spec.one_hot == "fitted":
-                lv = sorted(k for k in agg if k is not None) + ([None] if None in agg else [])
-                if len(lv) > E.MAX_ONE_HOT_LEVELS:
-                    raise ValueError(f"column {c} has {len(lv)} levels; group rare levels first")
-                st.one_hot_levels[c] = lv[1:]
-            else:
-                lv = sorted(((k, v[0]) for k, v in agg.items() if k is not None), key=lambda t: (-t[1], t[0]))
-                if len(lv) < 2:
-                    st.one_hot_passthrough.append(c)
-                else:
-                    st.one_hot_levels[c] = [k for k, _ in lv[:-1]]
-        if cd:
-            agg = regroup(cd["col"], grouped)
-            nn = sum(v[0] for k, v in agg.items() if k is not None)
-            hit = agg.get(str(cd["value"]), (0,))[0]
-            if nn == 0 or hit / nn < cd["min_share"]:
-                st.dropped_conditional = [cd["col"]]
-        return FeatureModel(spec, st, stats)
-
-    def _fit_multipass(self, x: DataFrame) -> "FeatureModel":
-        """Fallback for very wide level tables: the same statistics as Spark
-        frames (nothing level-sized reaches the driver except one-hot levels,
-        which are capped by ``MAX_ONE_HOT_LEVELS``)."""
+        if spec.dedupe:  # the table job drops repeated rows before every statistic
+            df = C.drop_duplicates(C.sanitize_columns(df) if spec.sanitize else df)
+            return self._fit_tables(_prepare(df, FeatureSpec(**{**asdict(spec), "sanitize": False})))
+        return self._fit_tables(_prepare(df, spec))
+
+    def _fit_tables(self, x: DataFrame) -> "FeatureModel":
+        """Level statistics stay frames. What reaches the driver is the prior, a
+        median per column, the one-hot levels (they become the schema) and the
+        rare levels (they are part of the model's state)."""
         spec = self.spec
         st = FittedState()
 
@@ -240,21 +130,11 @@ class FeatureEngineer(Estimator, MLReadable, MLWritable):
         encode_input = x if spec.fit_order == "encode_before_fill" else _group_rare(_fill(x, spec), spec, st.rare_levels)
         filled = _group_rare(_fill(x, spec), spec, st.rare_levels)
 
-        # 2. prior + medians in one aggregate
+        # 2. prior and medians
         nums = [c for c in spec.numeric_cols if c in filled.columns]
-        aggs = [F.avg(q(spec.target).cast("double")).alias("__prior")]
-        if spec.median_scope == "fit":
-            for i, c in enumerate(nums):
-                v = q(c).cast("double")
-                if spec.median_relative_error is None:
-                    aggs.append(F.median(v).alias(f"m{i}"))
-                else:
-                    acc = max(1, int(round(1.0 / spec.median_relative_error)))
-                    aggs.append(F.percentile_approx(v, 0.5, acc).alias(f"m{i}"))
-        row = filled.agg(*aggs).first()
-        st.prior = row["__prior"]
+        st.prior = filled.agg(F.avg(q(spec.target).cast("double")).alias("p")).first()["p"]
         if spec.median_scope == "fit":
-            st.medians = {c: row[f"m{i}"] for i, c in enumerate(nums)}
+            st.medians = C.medians(filled, nums, spec.median_relative_error)
 
         # 3. one long-form level table for target encoding and one-hot
         te = [c for c in spec.te_cols if c in encode_input.columns] if spec.encoding != "none" else []
@@ -387,7 +267,7 @@ class _ModelWriter(MLWriter):
             "spec": asdict(m.spec), "state": json.loads(json.dumps(asdict(m.state), default=str)),
             "has_stats": m.te_stats is not None})
         if m.te_stats is not None:
-            m.te_stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/te_stats")
+            m.te_stats.write.mode("overwrite").parquet(f"{path}/te_stats")
 
 
 class _ModelReader(MLReader):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round6
+from ..functions.exprs import as_double
 from ..operators import clean as C
 from ..sources.tables import table
 from .registry import register
@@ -147,21 +147,21 @@ def fill_mode(spark, sf):
 
 
 @register("impute_median", f"""with o as {ORDERS_NULLS_SQL}
-select o_orderkey, round(coalesce(o_totalprice, (select median(o_totalprice) from o)), 6) as o_totalprice from o""")
+select o_orderkey, (coalesce(o_totalprice, (select median(o_totalprice) from o))) as o_totalprice from o""")
 def impute_median(spark, sf):
     """CL8: exact median fill (batch scope)."""
     o = orders_with_nulls(spark, sf).select("o_orderkey", "o_totalprice")
-    return C.impute_median(o, ["o_totalprice"]).select("o_orderkey", round6(F.col("o_totalprice")).alias("o_totalprice"))
+    return C.impute_median(o, ["o_totalprice"]).select("o_orderkey", as_double(F.col("o_totalprice")).alias("o_totalprice"))
 
 
 @register("impute_mean_cond", f"""with o as {ORDERS_NULLS_SQL}
-select o_orderkey, round(case when o_totalprice is null and o_orderstatus <> 'P'
-  then (select avg(o_totalprice) from o where o_orderstatus <> 'P') else o_totalprice end, 6) as o_totalprice from o""")
+select o_orderkey, (case when o_totalprice is null and o_orderstatus <> 'P'
+  then (select avg(o_totalprice) from o where o_orderstatus <> 'P') else o_totalprice end) as o_totalprice from o""")
 def impute_mean_cond(spark, sf):
     """CL11: mean fill only where the condition holds (status <> 'P')."""
     o = orders_with_nulls(spark, sf).select("o_orderkey", "o_orderstatus", "o_totalprice")
     out = C.impute_mean_conditional(o, "o_totalprice", F.col("o_orderstatus") != "P")
-    return out.select("o_orderkey", round6(F.col("o_totalprice")).alias("o_totalprice"))
+    return out.select("o_orderkey", as_double(F.col("o_totalprice")).alias("o_totalprice"))
 
 
 @register("impute_median_approx")
@@ -228,3 +228,25 @@ union all select 5, 'o_orderpriority', count(o_orderpriority), 'string' from ord
 def column_info(spark, sf):
     """PJ11: name, non-null count and type per column."""
     return C.column_info(orders_with_nulls(spark, sf))
+
+
+@register("filters_and_replace", """select o_orderkey, case when o_orderstatus in ('P', 'F') then 'X' else o_orderstatus end as o_orderstatus, o_orderpriority
+from orders where o_orderpriority = '1-URGENT' and o_custkey is not null""")
+def filters_and_replace(spark, sf):
+    """CL15 (equals, not null) + CL16 + CL7 (targeted replace) + PJ3 (strict drop)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_custkey", "o_totalprice")
+    o = C.filter_null(C.filter_equals(o, "o_orderpriority", "1-URGENT"), "o_custkey", is_null=False)
+    o = C.drop_null_rows(o, subset=["o_orderstatus"])
+    return C.drop_columns(C.replace_values(o, ["P", "F"], "X", ["o_orderstatus"]), ["o_custkey", "o_totalprice"], strict=True)
+
+
+@register("typed_columns", """select 'numeric' as kind, unnest(['o_orderkey', 'o_custkey', 'o_totalprice']) as column_name
+union all select 'string', unnest(['o_orderstatus', 'o_orderpriority'])
+union all select 'feature', unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_orderpriority'])""")
+def typed_columns(spark, sf):
+    """PJ6 + PJ7: column names by type, and the features beside a target, of the orders table."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    C.require_columns(C.require_non_empty(o), ["o_totalprice"])
+    rows = [("numeric", c) for c in C.select_by_type(o, "numeric")] + [("string", c) for c in C.select_by_type(o, "string")]
+    rows += [("feature", c) for c in C.split_features_target(o, "o_totalprice")[0]]
+    return spark.createDataFrame(rows, "kind string, column_name string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round6
+from ..functions.exprs import as_double
 from ..operators import clean as C
 from ..operators import encode as E
 from ..sources.tables import table
@@ -28,13 +28,13 @@ def _orders_prio(spark, sf):
 @register("target_enc_smooth", f"""with t as (select {_PRIO_SQL} as level, case when o_orderstatus = 'F' then 1 else 0 end as y from orders),
 p as (select avg(y) as prior from t),
 s as (select level, count(*) as n, avg(y) as m from t group by level)
-select 'o_orderpriority' as column_name, level, n, round(m, 6) as target_mean, round({_ENC}, 6) as encoded from s, p""")
+select 'o_orderpriority' as column_name, level, n, (m) as target_mean, ({_ENC}) as encoded from s, p""")
 def target_enc_smooth(spark, sf):
     """EN1 (flagship slice): placeholder -> null -> 'Unknown' -> smoothed
     target encoding against status = 'F'."""
     enc = E.target_encoding_fit(_orders_prio(spark, sf), ["o_orderpriority"], "y")
-    return enc.stats.select("column_name", "level", "n", round6(F.col("target_mean")).alias("target_mean"),
-                            round6(F.col("encoded")).alias("encoded"))
+    return enc.stats.select("column_name", "level", "n", as_double(F.col("target_mean")).alias("target_mean"),
+                            as_double(F.col("encoded")).alias("encoded"))
 
 
 @register("target_enc_apply_unseen", f"""with t as (select o_orderkey, {_PRIO_SQL} as level, case when o_orderstatus = 'F' then 1 else 0 end as y from orders),
@@ -42,38 +42,37 @@ f as (select * from t where level <> '5-LOW'),
 p as (select avg(y) as prior from f),
 s as (select level, count(*) as n, avg(y) as m from f group by level),
 e as (select level, {_ENC} as enc from s, p)
-select t.o_orderkey, round(coalesce(e.enc, (select prior from p)), 6) as o_orderpriority from t left join e on t.level = e.level""")
+select t.o_orderkey, (coalesce(e.enc, (select prior from p))) as o_orderpriority from t left join e on t.level = e.level""")
 def target_enc_apply_unseen(spark, sf):
     """EN2: fit without '5-LOW', transform all rows; the unseen level gets the prior."""
     o = _orders_prio(spark, sf)
     enc = E.target_encoding_fit(o.filter(F.col("o_orderpriority") != "5-LOW"), ["o_orderpriority"], "y")
     out = E.target_encoding_transform(o.select("o_orderkey", "o_orderpriority"), enc)
-    return out.select("o_orderkey", round6(F.col("o_orderpriority")).alias("o_orderpriority"))
+    return out.select("o_orderkey", as_double(F.col("o_orderpriority")).alias("o_orderpriority"))
 
 
 @register("target_enc_join", f"""with t as (select o_orderkey, {_PRIO_SQL} as level, case when o_orderstatus = 'F' then 1 else 0 end as y from orders),
 p as (select avg(y) as prior from t),
 s as (select level, count(*) as n, avg(y) as m from t group by level),
 e as (select level, {_ENC} as enc from s, p)
-select t.o_orderkey, round(coalesce(e.enc, (select prior from p)), 6) as o_orderpriority from t left join e on t.level = e.level""")
+select t.o_orderkey, (coalesce(e.enc, (select prior from p))) as o_orderpriority from t left join e on t.level = e.level""")
 def target_enc_join(spark, sf):
     """EN2 through the join path (map literals disabled): the lookup join of
     JN1 — broadcast when the level table is proven small, salted otherwise."""
     o = _orders_prio(spark, sf)
     enc = E.target_encoding_fit(o, ["o_orderpriority"], "y")
-    out = E.apply_level_values(o.select("o_orderkey", "o_orderpriority"), enc.cols, enc.stats, "encoded", enc.prior,
-                               map_rows=0)
-    return out.select("o_orderkey", round6(F.col("o_orderpriority")).alias("o_orderpriority"))
+    out = E.apply_level_values(o.select("o_orderkey", "o_orderpriority"), enc.cols, enc.stats, "encoded", enc.prior)
+    return out.select("o_orderkey", as_double(F.col("o_orderpriority")).alias("o_orderpriority"))
 
 
 @register("target_enc_mean", """with s as (select event_type, avg(case when value > 50 then 1 else 0 end) as m from events group by event_type)
-select e.event_id, round(s.m, 6) as event_type_encoded from events e left join s on e.event_type = s.event_type""")
+select e.event_id, (s.m) as event_type_encoded from events e left join s on e.event_type = s.event_type""")
 def target_enc_mean(spark, sf):
     """EN3: plain mean encoding of events.event_type vs value > 50 (JN1: left join, rename, drop key)."""
     e = table(spark, sf, "events").select("event_id", "event_type", (F.col("value") > 50).cast("int").alias("y"))
     enc = E.mean_encoding_fit(e, ["event_type"], "y")
     out = E.target_encoding_transform(e.select("event_id", "event_type"), enc)
-    return out.select("event_id", round6(F.col("event_type_encoded")).alias("event_type_encoded"))
+    return out.select("event_id", as_double(F.col("event_type_encoded")).alias("event_type_encoded"))
 
 
 def _segments(spark, sf):

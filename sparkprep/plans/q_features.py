@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round6
+from ..functions.exprs import as_double
 from ..sources.tables import table
 from .features import FeatureEngineer, FeatureSpec, minimal_clean
 from .q_clean import PLACEHOLDER
@@ -83,10 +83,10 @@ s2 as (select band as level, count(*) as n, avg(converted) as m from g group by
 e2 as (select level, {_ENC} as enc from s2, p),
 lv as (select seg, row_number() over (order by seg) as rk from (select distinct seg from g))
 select g.o_orderkey,
-  round(coalesce(e1.enc, p.prior), 6) as o_orderpriority,
-  round(coalesce(e2.enc, p.prior), 6) as band,
-  round(coalesce(g.price, md.mp), 6) as o_totalprice,
-  round(coalesce(g.bal, md.mb), 6) as c_acctbal,
+  (coalesce(e1.enc, p.prior)) as o_orderpriority,
+  (coalesce(e2.enc, p.prior)) as band,
+  (coalesce(g.price, md.mp)) as o_totalprice,
+  (coalesce(g.bal, md.mb)) as c_acctbal,
   g.converted,
   lv_seg.feature, lv_seg.value
 from g cross join p cross join md
@@ -111,7 +111,7 @@ def full_features(spark, sf):
     df = flagship_frame(spark, sf)
     model = FeatureEngineer(flagship_spec()).fit(df)
     out = model.transform(df)
-    base = ["o_orderkey", *[round6(F.col(c)).alias(c) for c in ["o_orderpriority", "band", "o_totalprice", "c_acctbal"]],
+    base = ["o_orderkey", *[as_double(F.col(c)).alias(c) for c in ["o_orderpriority", "band", "o_totalprice", "c_acctbal"]],
             "converted"]
     return _long_one_hot(out.select(*base, *[c for c in out.columns if c.startswith("c_mktsegment_")]),
                          ["o_orderkey", "o_orderpriority", "band", "o_totalprice", "c_acctbal", "converted"], "c_mktsegment_")
@@ -132,7 +132,7 @@ def full_features_wide(spark, sf):
 p as (select avg(converted) as prior from j),
 s as (select prio_raw as level, count(*) as n, avg(converted) as m from j where prio_raw is not null group by prio_raw),
 e as (select level, {_ENC} as enc from s, p)
-select j.o_orderkey, round(coalesce(e.enc, p.prior), 6) as o_orderpriority, j.converted
+select j.o_orderkey, (coalesce(e.enc, p.prior)) as o_orderpriority, j.converted
 from j cross join p left join e on j.prio_filled = e.level""")
 def full_preprocess(spark, sf):
     """EN10: the encoder is fitted before the null fill, so the fill value
@@ -142,7 +142,7 @@ def full_preprocess(spark, sf):
     spec = FeatureSpec(target="converted", te_cols=["o_orderpriority"], placeholder=PLACEHOLDER,
                        fills={"o_orderpriority": "Unknown"}, fit_order="encode_before_fill", one_hot="none")
     out = FeatureEngineer(spec).fit(o).transform(o)
-    return out.select("o_orderkey", round6(F.col("o_orderpriority")).alias("o_orderpriority"), "converted")
+    return out.select("o_orderkey", as_double(F.col("o_orderpriority")).alias("o_orderpriority"), "converted")
 
 
 @register("table_job_features")

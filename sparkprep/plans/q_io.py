@@ -8,7 +8,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round6
+from ..functions.exprs import as_double
+from ..operators import registry_tables as R
 from ..operators.clean import placeholders_to_null
 from ..session import scratch_path
 from ..sources.sinks import conform, csv_table_sink, full_refresh_load
@@ -37,6 +38,55 @@ def csv_roundtrip(spark, sf):
     return read_csv(spark, path, schema=ORDERS_DDL)
 
 
+_QUOTED = """'he said "' || o_orderstatus || '", then' || chr(10) || o_orderpriority"""
+
+
+@register("csv_quotes", f"""select o_orderkey, {_QUOTED} as remark from orders""")
+def csv_quotes(spark, sf):
+    """IO1: quotes, commas and line ends inside values, written with doubled quotes and read back."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.expr(_QUOTED.replace("||", "||")).alias("remark"))
+    path = _scratch(spark, "csvq")
+    o.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    return read_csv(spark, path, schema="o_orderkey bigint, remark string")
+
+
+@register("csv_infer_nulls", """select o_orderkey, case when o_orderkey % 3 = 0 then null else o_custkey end as cust,
+  case when o_orderkey % 5 = 0 then null else o_totalprice end as price, o_orderkey % 2 = 0 as even from orders""")
+def csv_infer_nulls(spark, sf):
+    """IO1: numeric columns that spell missing values NA and nan get their type after the tokens are taken out."""
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.expr("case when o_orderkey % 3 = 0 then 'NA' else cast(o_custkey as string) end").alias("cust"),
+        F.expr("case when o_orderkey % 5 = 0 then 'nan' else cast(o_totalprice as string) end").alias("price"),
+        F.expr("o_orderkey % 2 = 0").alias("even"))
+    path = _scratch(spark, "csvn")
+    o.write.option("header", True).csv(path)
+    return read_csv(spark, path)
+
+
+@register("registry_best_run", """select cast(o_orderstatus as varchar) as run_name, avg(o_totalprice) as value from orders
+group by o_orderstatus order by value desc, run_name limit 1""")
+def registry_best_run(spark, sf):
+    """IO13 -> IO14: metrics logged as a run each, read back from the table, the best run chosen."""
+    base = _scratch(spark, "runs")
+    means = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.avg("o_totalprice").alias("value")).collect()  # one run a status
+    for r in means:
+        R.log_metrics(spark, base, "orders", R.new_run_id(), r["o_orderstatus"], {"mean_price": r["value"]})
+    runs = R.read_metrics(spark, base).filter(F.col("name") == "mean_price").select("run_name", "value")
+    return R.best_by_metric(runs, "value", ["run_name"])
+
+
+@register("stream_replay", """select event_id, user_id, event_type from events""")
+def stream_replay(spark, sf):
+    """IO8: the same load run twice over a folder, the second time from an
+    empty checkpoint, adds each event once."""
+    src, out = _scratch(spark, "src"), _scratch(spark, "out")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type")
+    events.write.parquet(src)
+    for _ in range(2):
+        incremental_load(spark, file_stream(spark, src, events.schema), out, _scratch(spark, "ckpt"), ["event_id"])
+    return spark.read.parquet(out)
+
+
 @register("warehouse_load", f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice,
   nullif(o_orderpriority, '{PLACEHOLDER}') as o_orderpriority from orders""")
 def warehouse_load(spark, sf):
@@ -48,14 +98,14 @@ def warehouse_load(spark, sf):
     return spark.read.parquet(path)
 
 
-@register("csv_sink_partitioned", """select o_orderkey, round(o_totalprice, 6) as o_totalprice, o_orderstatus from orders""")
+@register("csv_sink_partitioned", """select o_orderkey, (o_totalprice) as o_totalprice, o_orderstatus from orders""")
 def csv_sink_partitioned(spark, sf):
     """IO6: CSV sink partitioned by status, read back (partition column restored)."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
     path = _scratch(spark, "csvsink")
     csv_table_sink(o, path, mode="overwrite", partition_by=["o_orderstatus"])
     back = spark.read.option("header", True).schema("o_orderkey bigint, o_totalprice double, o_orderstatus string").csv(path)
-    return back.select("o_orderkey", round6(F.col("o_totalprice")).alias("o_totalprice"), "o_orderstatus")
+    return back.select("o_orderkey", as_double(F.col("o_totalprice")).alias("o_totalprice"), "o_orderstatus")
 
 
 @register("stream_incremental", f"""select o_orderkey, o_custkey, o_orderstatus, o_totalprice,

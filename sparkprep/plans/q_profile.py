@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import round6
+from ..functions.exprs import as_double
 from ..operators import profile as P
 from ..sources.tables import table
 from .q_clean import ORDERS_NULLS_SQL, PLACEHOLDER, orders_with_nulls
@@ -67,16 +67,16 @@ _DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("describe", _union([
-    f"select {i} as ordinal, '{c}' as column_name, count({c}) as count, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std, "
-    f"min({c}) as min, round(quantile_cont({c}, 0.25), 6) as p25, round(quantile_cont({c}, 0.5), 6) as p50, "
-    f"round(quantile_cont({c}, 0.75), 6) as p75, max({c}) as max from lineitem"
+    f"select {i} as ordinal, '{c}' as column_name, count({c}) as count, (avg({c})) as mean, (stddev_samp({c})) as std, "
+    f"min({c}) as min, (quantile_cont({c}, 0.25)) as p25, (quantile_cont({c}, 0.5)) as p50, "
+    f"(quantile_cont({c}, 0.75)) as p75, max({c}) as max from lineitem"
     for i, c in enumerate(_DESC_COLS)]))
 def describe(spark, sf):
     """PR10 with exact interpolated quartiles."""
     d = P.describe(table(spark, sf, "lineitem"), _DESC_COLS)
-    return d.select("ordinal", "column_name", "count", round6(F.col("mean")).alias("mean"), round6(F.col("std")).alias("std"),
-                    "min", round6(F.col("p25")).alias("p25"), round6(F.col("p50")).alias("p50"),
-                    round6(F.col("p75")).alias("p75"), "max")
+    return d.select("ordinal", "column_name", "count", as_double(F.col("mean")).alias("mean"), as_double(F.col("std")).alias("std"),
+                    "min", as_double(F.col("p25")).alias("p25"), as_double(F.col("p50")).alias("p50"),
+                    as_double(F.col("p75")).alias("p75"), "max")
 
 
 @register("value_counts", """select p_brand as value, count(*) as count from part where p_brand is not null group by p_brand""")
@@ -86,12 +86,12 @@ def value_counts(spark, sf):
 
 
 @register("value_share", """select c_mktsegment as value, count(*) as count,
-round(cast(count(*) as double) * 100 / (select cast(count(*) as double) from customer where c_mktsegment is not null), 6) as percent
+(cast(count(*) as double) * 100 / (select cast(count(*) as double) from customer where c_mktsegment is not null)) as percent
 from customer where c_mktsegment is not null group by c_mktsegment""")
 def value_share(spark, sf):
     """PR5: relative frequencies (non-null denominator) x 100."""
     v = P.value_counts(table(spark, sf, "customer"), "c_mktsegment", normalize=True)
-    return v.select("value", "count", round6(F.col("percent")).alias("percent"))
+    return v.select("value", "count", as_double(F.col("percent")).alias("percent"))
 
 
 _FREQ_COLS = ["o_orderstatus", "o_orderpriority"]
@@ -100,24 +100,24 @@ _FREQ_COLS = ["o_orderstatus", "o_orderpriority"]
 @register("freq_all_columns", f"""with lf as ({_union([f"select '{c}' as column_name, {c} as value from {_ORD_NULLS_PH}" for c in _FREQ_COLS])}),
 c as (select column_name, value, count(*) as count from lf group by column_name, value),
 t as (select column_name, sum(count) as nn from c where value is not null group by column_name)
-select c.column_name, c.value, c.count, round(case when c.value is not null then cast(c.count as double) * 100 / cast(t.nn as double) end, 6) as percent
+select c.column_name, c.value, c.count, (case when c.value is not null then cast(c.count as double) * 100 / cast(t.nn as double) end) as percent
 from c left join t on c.column_name = t.column_name""")
 def freq_all_columns(spark, sf):
     """PR6: missing + value counts for every column in one job."""
     f = P.frequencies(_orders_traps(spark, sf), _FREQ_COLS)
-    return f.select("column_name", "value", "count", round6(F.col("percent")).alias("percent"))
+    return f.select("column_name", "value", "count", as_double(F.col("percent")).alias("percent"))
 
 
 @register("top_share", f"""with lf as ({_union([f"select '{c}' as column_name, {c} as value from {_ORD_NULLS_PH}" for c in _FREQ_COLS])}),
 c as (select column_name, value, count(*) as count from lf where value is not null group by column_name, value),
 r as (select *, row_number() over (partition by column_name order by count desc, value) as rn,
       sum(count) over (partition by column_name) as nn from c)
-select column_name, value as top_value, count as top_count, round(cast(count as double) * 100 / cast(nn as double), 6) as top_percent
+select column_name, value as top_value, count as top_count, (cast(count as double) * 100 / cast(nn as double)) as top_percent
 from r where rn = 1""")
 def top_share(spark, sf):
     """PR23: the dominant level's share per column."""
     t = P.top_level_share(_orders_traps(spark, sf), _FREQ_COLS)
-    return t.select("column_name", "top_value", "top_count", round6(F.col("top_percent")).alias("top_percent"))
+    return t.select("column_name", "top_value", "top_count", as_double(F.col("top_percent")).alias("top_percent"))
 
 
 @register("distinct_incl_null", _union([
@@ -139,20 +139,20 @@ def id_columns(spark, sf):
     return d.filter(F.col("is_unique") & F.col("column_name").isin("c_custkey", "c_name", "c_nationkey", "c_mktsegment")).select("column_name")
 
 
-@register("group_sum_share", """select l_returnflag, round(sum(l_quantity), 6) as total,
+@register("group_sum_share", """select l_returnflag, (sum(l_quantity)) as total,
 round(sum(l_quantity) * 100 / (select sum(l_quantity) from lineitem), 1) as share_percent from lineitem group by l_returnflag""")
 def group_sum_share(spark, sf):
     """PR11 + PR12."""
     g = P.group_sum_share(table(spark, sf, "lineitem"), "l_returnflag", "l_quantity")
-    return g.select("l_returnflag", round6(F.col("total")).alias("total"), "share_percent")
+    return g.select("l_returnflag", as_double(F.col("total")).alias("total"), "share_percent")
 
 
-@register("group_mean", """select l_returnflag, round(avg(l_extendedprice), 6) as mean_l_extendedprice, round(avg(l_discount), 6) as mean_l_discount
+@register("group_mean", """select l_returnflag, (avg(l_extendedprice)) as mean_l_extendedprice, (avg(l_discount)) as mean_l_discount
 from lineitem group by l_returnflag""")
 def group_mean(spark, sf):
     """PR13."""
     g = P.group_mean(table(spark, sf, "lineitem"), "l_returnflag", ["l_extendedprice", "l_discount"])
-    return g.select("l_returnflag", *[round6(F.col(c)).alias(c) for c in ["mean_l_extendedprice", "mean_l_discount"]])
+    return g.select("l_returnflag", *[as_double(F.col(c)).alias(c) for c in ["mean_l_extendedprice", "mean_l_discount"]])
 
 
 _CONTRAST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -160,19 +160,45 @@ _CONTRAST_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 @register("group_contrast", _union([
     f"""select {i} as ordinal, '{c}' as column_name, 'F' as group_0, 'O' as group_1,
-round(avg({c}) filter (where l_linestatus = 'F'), 6) as mean_0, round(avg({c}) filter (where l_linestatus = 'O'), 6) as mean_1,
-round((avg({c}) filter (where l_linestatus = 'O') - avg({c}) filter (where l_linestatus = 'F')) * 100 / nullif(avg({c}) filter (where l_linestatus = 'F'), 0), 6) as pct_diff,
+(avg({c}) filter (where l_linestatus = 'F')) as mean_0, (avg({c}) filter (where l_linestatus = 'O')) as mean_1,
+((avg({c}) filter (where l_linestatus = 'O') - avg({c}) filter (where l_linestatus = 'F')) * 100 / nullif(avg({c}) filter (where l_linestatus = 'F'), 0)) as pct_diff,
 abs((avg({c}) filter (where l_linestatus = 'O') - avg({c}) filter (where l_linestatus = 'F')) * 100 / nullif(avg({c}) filter (where l_linestatus = 'F'), 0)) > 1.0 as vastly_different
 from lineitem""" for i, c in enumerate(_CONTRAST_COLS)]))
 def group_contrast(spark, sf):
     """PR14 on the two line statuses (threshold 1 %)."""
     g = P.group_contrast(table(spark, sf, "lineitem"), "l_linestatus", _CONTRAST_COLS, threshold=1.0)
-    return g.select("ordinal", "column_name", "group_0", "group_1", round6(F.col("mean_0")).alias("mean_0"),
-                    round6(F.col("mean_1")).alias("mean_1"), round6(F.col("pct_diff")).alias("pct_diff"), "vastly_different")
+    return g.select("ordinal", "column_name", "group_0", "group_1", as_double(F.col("mean_0")).alias("mean_0"),
+                    as_double(F.col("mean_1")).alias("mean_1"), as_double(F.col("pct_diff")).alias("pct_diff"), "vastly_different")
+
+
+_CONTRAST_G = "nullif(l_returnflag, 'N')"
+
+
+@register("group_contrast_nulls", f"""with l as (select *, {_CONTRAST_G} as g from lineitem)
+select 0 as ordinal, 'l_quantity' as column_name, 'A' as group_0, 'R' as group_1, avg(l_quantity) filter (where g = 'A') as mean_0,
+  avg(l_quantity) filter (where g = 'R') as mean_1,
+  (avg(l_quantity) filter (where g = 'R') - avg(l_quantity) filter (where g = 'A')) * 100 / avg(l_quantity) filter (where g = 'A') as pct_diff,
+  abs((avg(l_quantity) filter (where g = 'R') - avg(l_quantity) filter (where g = 'A')) * 100 / avg(l_quantity) filter (where g = 'A')) > 50.0 as vastly_different
+from l""")
+def group_contrast_nulls(spark, sf):
+    """PR14 where a third of the group keys are null: they are no group."""
+    li = table(spark, sf, "lineitem").select("l_quantity", F.expr(_CONTRAST_G).alias("g"))
+    return P.group_contrast(li, "g", ["l_quantity"])
+
+
+@register("profile_report_nulls", _union([
+    f"""select {i} as ordinal, '{c}' as column_name, cast(count(*) filter (where {c} is null) as bigint) as null_count from {_ORD_NULLS_PH}"""
+    for i, c in enumerate(["o_orderstatus", "o_totalprice", "o_orderpriority"])]))
+def profile_report_nulls(spark, sf):
+    """PR21: the report's null table, over all rows."""
+    o = orders_with_nulls(spark, sf)
+    o = o.withColumn("o_orderpriority", F.when(F.col("o_orderpriority") != PLACEHOLDER, F.col("o_orderpriority")))
+    report = P.profile_report(o.select("o_orderstatus", "o_totalprice", "o_orderpriority"))
+    return report["nulls"].select("ordinal", "column_name", "null_count")
 
 
 @register("crosstab_pct", _union([
-    f"""select column_name, level, target, count, round(cast(count as double) * 100 / cast(sum(count) over (partition by column_name, level) as double), 6) as row_percent
+    f"""select column_name, level, target, count, (cast(count as double) * 100 / cast(sum(count) over (partition by column_name, level) as double)) as row_percent
 from (select '{c}' as column_name, {c} as level, o_orderstatus as target, count(*) as count
       from {_ORD_NULLS_PH} where {c} is not null group by {c}, o_orderstatus)"""
     for c in ["o_orderpriority"]]))
@@ -180,7 +206,7 @@ def crosstab_pct(spark, sf):
     """PR15: row-normalised crosstab of each categorical column vs the target."""
     o = _orders_traps(spark, sf)
     ct = P.crosstab_pct(o, "o_orderstatus", ["o_orderpriority"])
-    return ct.select("column_name", "level", "target", "count", round6(F.col("row_percent")).alias("row_percent"))
+    return ct.select("column_name", "level", "target", "count", as_double(F.col("row_percent")).alias("row_percent"))
 
 
 _CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -193,7 +219,7 @@ def _corr_sql():
             if a == b:
                 parts.append(f"select '{a}' as col_a, '{b}' as col_b, cast(1 as double) as corr")
             else:
-                parts.append(f"select '{a}' as col_a, '{b}' as col_b, round(corr({a}, {b}), 6) as corr from lineitem")
+                parts.append(f"select '{a}' as col_a, '{b}' as col_b, (corr({a}, {b})) as corr from lineitem")
     return _union(parts)
 
 
@@ -201,7 +227,7 @@ def _corr_sql():
 def corr_matrix(spark, sf):
     """PR16: all pairs in one aggregate."""
     c = P.corr_matrix(table(spark, sf, "lineitem"), _CORR_COLS)
-    return c.select("col_a", "col_b", round6(F.col("corr")).alias("corr"))
+    return c.select("col_a", "col_b", as_double(F.col("corr")).alias("corr"))
 
 
 def _hist_sql(col, src, bins):
@@ -209,7 +235,7 @@ def _hist_sql(col, src, bins):
 b as (select least(cast(floor(({col} - s.lo) * {float(bins)} / (s.hi - s.lo)) as integer), {bins - 1}) as bin, count(*) as c
       from {src}, s where {col} is not null group by 1),
 g as (select cast(range as integer) as bin from range({bins}))
-select g.bin, round(s.lo + g.bin * ((s.hi - s.lo) / {bins}), 6) as lower, round(s.lo + (g.bin + 1) * ((s.hi - s.lo) / {bins}), 6) as upper,
+select g.bin, (s.lo + g.bin * ((s.hi - s.lo) / {bins})) as lower, (s.lo + (g.bin + 1) * ((s.hi - s.lo) / {bins})) as upper,
   coalesce(b.c, 0) as count from g cross join s left join b on g.bin = b.bin"""
 
 
@@ -217,7 +243,7 @@ select g.bin, round(s.lo + g.bin * ((s.hi - s.lo) / {bins}), 6) as lower, round(
 def hist_fixed(spark, sf):
     """PR17: 30 equal-width bins, top edge in the last bin."""
     h = P.histogram(table(spark, sf, "orders"), "o_totalprice", 30)
-    return h.select("bin", round6(F.col("lower")).alias("lower"), round6(F.col("upper")).alias("upper"), "count")
+    return h.select("bin", as_double(F.col("lower")).alias("lower"), as_double(F.col("upper")).alias("upper"), "count")
 
 
 _HIST_AUTO_SQL = """with s as (select count(value) as n, min(value) as lo, max(value) as hi,
@@ -228,7 +254,7 @@ b as (select lo, hi, greatest(1, cast(ceil((hi - lo) / (case when fw > 0 then le
 h as (select least(cast(floor((e.value - b.lo) * cast(b.bins as double) / (b.hi - b.lo)) as integer), b.bins - 1) as bin, count(*) as c
       from events e, b where e.value is not null group by 1),
 g as (select cast(unnest(range(bins)) as integer) as bin from b)
-select g.bin, round(b.lo + g.bin * ((b.hi - b.lo) / b.bins), 6) as lower, round(b.lo + (g.bin + 1) * ((b.hi - b.lo) / b.bins), 6) as upper,
+select g.bin, (b.lo + g.bin * ((b.hi - b.lo) / b.bins)) as lower, (b.lo + (g.bin + 1) * ((b.hi - b.lo) / b.bins)) as upper,
   coalesce(h.c, 0) as count from g cross join b left join h on g.bin = h.bin"""
 
 
@@ -236,15 +262,15 @@ select g.bin, round(b.lo + g.bin * ((b.hi - b.lo) / b.bins), 6) as lower, round(
 def hist_auto(spark, sf):
     """PR18: bin count = the larger of Sturges and Freedman-Diaconis (numpy's 'auto')."""
     h = P.histogram_auto(table(spark, sf, "events"), "value")
-    return h.select("bin", round6(F.col("lower")).alias("lower"), round6(F.col("upper")).alias("upper"), "count")
+    return h.select("bin", as_double(F.col("lower")).alias("lower"), as_double(F.col("upper")).alias("upper"), "count")
 
 
 _KDE_SQL = """with s as (select count(value) as n, stddev_samp(value) as sd, min(value) as lo, max(value) as hi from events),
 p as (select n, sd * pow(cast(n as double), cast(-0.2 as double)) as h, lo, hi from s),
 q as (select n, h, lo - 3.0 * h as a, ((hi + 3.0 * h) - (lo - 3.0 * h)) / 199 as step from p),
 g as (select cast(range as integer) as point, a + cast(range as double) * step as x, n, h from q, range(200))
-select point, round(x, 6) as x,
-  round(sum(exp(-pow((x - e.value) / h, 2) / 2.0)) * (1.0 / (n * h * sqrt(2.0 * pi()))), 6) as density
+select point, (x) as x,
+  (sum(exp(-pow((x - e.value) / h, 2) / 2.0)) * (1.0 / (n * h * sqrt(2.0 * pi())))) as density
 from g, events e where e.value is not null group by point, x, n, h"""
 
 
@@ -252,7 +278,7 @@ from g, events e where e.value is not null group by point, x, n, h"""
 def kde(spark, sf):
     """PR19: Gaussian KDE on a 200-point grid, Scott bandwidth."""
     k = P.kde(table(spark, sf, "events"), "value")
-    return k.select("point", round6(F.col("x")).alias("x"), round6(F.col("density")).alias("density"))
+    return k.select("point", as_double(F.col("x")).alias("x"), as_double(F.col("density")).alias("density"))
 
 
 _BOX_COLS = ["o_totalprice"]
@@ -260,15 +286,15 @@ _BOX_COLS = ["o_totalprice"]
 
 @register("box_stats", """with q as (select quantile_cont(o_totalprice, 0.25) as q1, quantile_cont(o_totalprice, 0.5) as med,
   quantile_cont(o_totalprice, 0.75) as q3 from orders)
-select 'o_totalprice' as column_name, round(q1, 6) as q1, round(med, 6) as median, round(q3, 6) as q3, round(q3 - q1, 6) as iqr,
-  round(min(o_totalprice) filter (where o_totalprice >= q1 - 1.5 * (q3 - q1)), 6) as whisker_low,
-  round(max(o_totalprice) filter (where o_totalprice <= q3 + 1.5 * (q3 - q1)), 6) as whisker_high,
+select 'o_totalprice' as column_name, (q1) as q1, (med) as median, (q3) as q3, (q3 - q1) as iqr,
+  (min(o_totalprice) filter (where o_totalprice >= q1 - 1.5 * (q3 - q1))) as whisker_low,
+  (max(o_totalprice) filter (where o_totalprice <= q3 + 1.5 * (q3 - q1))) as whisker_high,
   count(*) filter (where o_totalprice < q1 - 1.5 * (q3 - q1) or o_totalprice > q3 + 1.5 * (q3 - q1)) as outliers
 from orders, q group by q1, med, q3""")
 def box_stats(spark, sf):
     """PR20: quartiles, whiskers, outlier count."""
     b = P.box_stats(table(spark, sf, "orders"), _BOX_COLS)
-    return b.select("column_name", *[round6(F.col(c)).alias(c) for c in ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]],
+    return b.select("column_name", *[as_double(F.col(c)).alias(c) for c in ["q1", "median", "q3", "iqr", "whisker_low", "whisker_high"]],
                     "outliers")
 
 

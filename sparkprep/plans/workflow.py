@@ -13,11 +13,12 @@ from ..operators import drift as D
 from ..operators import registry_tables as R
 from ..operators import split as S
 from ..operators import train as T
+from ..session import cut_lineage
 from .features import FeatureEngineer, FeatureSpec
 
 
 def build_and_train(df: DataFrame, spec: FeatureSpec, key_cols: list[str], base: str,
-                    candidates: dict[str, dict] | None = None, model_name: str = "BestLeadScoringModel",
+                    candidates: dict[str, dict] | None = None, model_name: str = "best_model",
                     fit_scope: str = "train", folds: int = 3, experiment: str = "lead_scoring") -> dict:
     """MO10. ``fit_scope='train'`` (default) fits the feature model on the
     training rows only; ``'full'`` reproduces fitting on all rows before the
@@ -28,8 +29,9 @@ def build_and_train(df: DataFrame, spec: FeatureSpec, key_cols: list[str], base:
     flagged = S.stratified_split(df, label, key_cols, 0.2, 42)
     train_raw, test_raw = S.split_frames(flagged)
     fm = FeatureEngineer(spec).fit(df if fit_scope == "full" else train_raw)
-    train = fm.transform(train_raw).withColumn(label, F.col(label).cast("double"))
-    test = fm.transform(test_raw).withColumn(label, F.col(label).cast("double"))
+    # both are read many times below: by drift, by every candidate's folds, by evaluation
+    train = cut_lineage(fm.transform(train_raw).withColumn(label, F.col(label).cast("double")))
+    test = cut_lineage(fm.transform(test_raw).withColumn(label, F.col(label).cast("double")))
     feats = [c for c in train.columns if c != label and c not in key_cols]
 
     # drift train vs test, logged as metrics (DR1, DR8, IO13)
@@ -50,8 +52,7 @@ def build_and_train(df: DataFrame, spec: FeatureSpec, key_cols: list[str], base:
 
     # retrain on all rows with the best parameters (MO9), persist, register (IO10, IO11)
     all_rows = fm.transform(df).withColumn(label, F.col(label).cast("double"))
-    params = {k: v for k, v in best.best_params.items()}
-    params.update(candidates.get(best.name, {}) if candidates else {})
+    params = {**(candidates.get(best.name, {}) if candidates else {}), **best.best_params}
     final = T.retrain(best.name, all_rows, feats, label, params)
     run = R.new_run_id()
     model_path = os.path.join(base, "models", run)
@@ -63,7 +64,7 @@ def build_and_train(df: DataFrame, spec: FeatureSpec, key_cols: list[str], base:
             "candidates": {r.name: (r.metrics if r.ok else r.error) for r in results}}
 
 
-def load_latest(spark, base: str, model_name: str = "BestLeadScoringModel"):
+def load_latest(spark, base: str, model_name: str = "best_model"):
     """IO11 + IO12: (feature model, classifier) of the latest registered version."""
     from pyspark.ml import PipelineModel
 

@@ -27,8 +27,9 @@ a_free_copy_of_mastering_the_interview string, last_notable_activity string
 
 def conform(df: DataFrame, schema: T.StructType | str, strict: bool = True) -> DataFrame:
     """Cast/select to a declared schema. ``strict``: missing or extra columns
-    are an error (a full-refresh load must match the DDL exactly). Casts use
-    ``try_cast`` semantics only for strings that do not parse (-> NULL)."""
+    are an error, and so is a value that its declared type can't hold (the job
+    fails; nothing becomes NULL silently). Without ``strict`` such values
+    become NULL and missing columns are added as NULL."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     want = [f.name for f in schema.fields]
@@ -37,10 +38,16 @@ def conform(df: DataFrame, schema: T.StructType | str, strict: bool = True) -> D
     extra = [c for c in df.columns if c not in set(want)]
     if strict and (missing or extra):
         raise ValueError(f"schema mismatch: missing={missing} extra={extra}")
-    return df.select(*[
-        (q(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema.fields
-    ])
+    def cast(f: T.StructField):
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType)
+        value = q(f.name).try_cast(f.dataType)
+        if not strict:
+            return value
+        wrong = F.concat(F.lit(f"column {f.name} does not fit {f.dataType.simpleString()}: "), q(f.name).cast("string"))
+        return F.when(q(f.name).isNotNull() & value.isNull(), F.raise_error(wrong).cast(f.dataType)).otherwise(value)
+
+    return df.select(*[cast(f).alias(f.name) for f in schema.fields])
 
 
 def full_refresh_load(df: DataFrame, schema: T.StructType | str, table_name: str | None = None,

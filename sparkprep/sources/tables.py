@@ -24,19 +24,14 @@ PANDAS_NULL_TOKENS = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Input parallelism guard: a scan of one unsplittable file (a single
-    row group) is one task, so every operator before the first shuffle would
-    run serially. When the scan has fewer partitions than the session's
-    parallelism, round-robin it over that many; on real inputs (many files)
-    this is a no-op. Filters and column pruning still reach the scan."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the file system that ``path`` names;
+    any other trouble with it is an error."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
 
 
 def null_tokens_to_null(df: DataFrame, tokens=PANDAS_NULL_TOKENS, cols=None) -> DataFrame:
@@ -60,27 +55,37 @@ def read_csv(
     header: bool = True,
     pandas_nulls: bool = True,
 ) -> DataFrame:
-    """IO1/IO2: header CSV. A declared schema is preferred (no inference pass);
-    without one the types are inferred. String columns then get pandas'
-    missing-token list applied, since Spark takes only one ``nullValue``.
-    Numeric parsing of tokens like ``NA`` is handled by reading them as null
-    (``mode=PERMISSIVE``)."""
-    reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+    """IO1/IO2: header CSV as pandas writes and reads it: doubled quotes, and
+    line ends inside quotes. A declared schema is preferred (no inference
+    pass). Without one, columns are read as strings, pandas' missing tokens
+    become NULL first, and each column then gets the narrowest of bigint,
+    double and boolean that holds all its values, found in one aggregation."""
+    reader = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("quote", '"').option("escape", '"').option("multiLine", True))
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
+        df = reader.schema(schema).csv(path)
+        return null_tokens_to_null(df) if pandas_nulls else df
     df = reader.csv(path)
-    return null_tokens_to_null(df) if pandas_nulls else df
+    if pandas_nulls:
+        df = null_tokens_to_null(df)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    kinds = {"bigint": r"[+-]?\d{1,18}", "double": r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", "boolean": "(?i:true|false)"}
+    fits = [F.coalesce(F.every(F.trim(c).rlike(f"^{p}$")), F.lit(False)).alias(f"{k}{i}") for i, c in enumerate(cols) for k, p in kinds.items()]
+    row = df.agg(*fits).first() if cols else None
+    kind = [next((k for k in kinds if row[f"{k}{i}"]), "string") for i in range(len(cols))]
+    return df.select(*[(c if k == "string" else F.trim(c).cast(k)).alias(n) for c, k, n in zip(cols, kind, df.columns)])
 
 
-def profile_sample(df: DataFrame, max_rows: int = 150_000, max_cols: int = 50, seed: int = 42) -> DataFrame:
+def profile_sample(df: DataFrame, max_rows: int | None = 150_000, max_cols: int | None = 50, seed: int = 42) -> DataFrame:
     """IO2: the profiler's row/column caps. This is a sampling operator by
     design (the automatic profile reads at most ``max_rows``): a Bernoulli
-    sample sized from the row count, then the first ``max_cols`` columns."""
+    sample sized from the row count, then the first ``max_cols`` columns.
+    None lifts a cap."""
     cols = df.columns[:max_cols]
-    n = df.count()
     out = df.select(*[F.col(f"`{c}`") for c in cols])
+    if max_rows is None:
+        return out
+    n = df.count()
     if n > max_rows:
         out = out.sample(fraction=min(1.0, 1.05 * max_rows / n), seed=seed).limit(max_rows)
     return out

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.tables import path_exists
+
 
 def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt: str = "parquet",
                 glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -29,14 +31,6 @@ def file_stream(spark: SparkSession, source_dir: str, schema: T.StructType, fmt:
     return r.load(source_dir)
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).limit(0).collect()
-        return True
-    except Exception:  # noqa: BLE001 - first run: nothing written yet
-        return False
-
-
 def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, checkpoint: str,
                      key_cols: list[str], transform: Callable[[DataFrame], DataFrame] | None = None,
                      partition_by: list[str] | None = None) -> None:
@@ -48,7 +42,7 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, c
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         b = transform(batch) if transform else batch
         b = b.dropDuplicates(key_cols)
-        if _table_exists(spark, target_path):
+        if path_exists(spark, target_path):
             existing = spark.read.parquet(target_path).select(*key_cols)
             b = b.join(existing, key_cols, "left_anti")
         w = b.write.mode("append")
@@ -63,15 +57,16 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, c
 
 def stream_score(source: DataFrame, feature_model, classifier_model, key: str, sink_path: str, checkpoint: str) -> None:
     """SC2 on a stream: stateless transform + predict per micro-batch,
-    appended to ``sink_path`` (fitted statistics only; batch-scope medians
-    are not allowed on streams)."""
+    written to ``sink_path``/batch_id=<n> (fitted statistics only; batch-scope
+    medians are not allowed on streams). A replayed batch overwrites its own
+    folder, so it adds no rows."""
     from ..operators.score import score
 
     if getattr(getattr(feature_model, "spec", None), "median_scope", "fit") == "batch":
         raise ValueError("batch-scope medians cannot be used on a stream; fit them instead")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        score(batch, feature_model, classifier_model, key).write.mode("append").parquet(sink_path)
+        score(batch, feature_model, classifier_model, key).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
 
     q = (source.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -35,7 +35,7 @@ def test_unseen_and_null_levels_get_prior(spark, frame):
     out = E.target_encoding_transform(spark.createDataFrame([("c",), (None,)], "cat string"), enc)
     assert all(r.cat == pytest.approx(enc.prior) for r in out.collect())
     out2 = E.apply_level_values(spark.createDataFrame([("c",), ("a",)], "cat string"), enc.cols, enc.stats, "encoded",
-                                enc.prior, map_rows=0)  # join path agrees with the map path
+                                enc.prior)
     ref = E.target_encoding_transform(spark.createDataFrame([("c",), ("a",)], "cat string"), enc)
     assert sorted(r.cat for r in out2.collect()) == sorted(r.cat for r in ref.collect())
 
@@ -102,15 +102,10 @@ def test_presets_build():
     assert len(lead_preset("canonical").drop_cols) == 20
 
 
-def test_two_pass_and_multipass_fits_agree(spark, frame, monkeypatch):
-    import sparkprep.plans.features as FM
-
+def test_table_job_fit_ignores_repeated_rows(spark, frame):
     spec = _spec()
-    spec.rare_min_share = 0.2
+    spec.dedupe = True
     a = FeatureEngineer(spec).fit(frame)
-    monkeypatch.setattr(FM, "LEVEL_TABLE_ROWS", 0)
-    b = FeatureEngineer(spec).fit(frame)
-    assert a.state.rare_levels == b.state.rare_levels and a.state.one_hot_levels == b.state.one_hot_levels
-    ra = sorted(map(tuple, a.transform(frame).collect()))
-    rb = sorted(map(tuple, b.transform(frame).collect()))
-    assert ra == rb
+    b = FeatureEngineer(spec).fit(frame.unionByName(frame.filter("id % 2 = 1")))
+    assert a.state.rare_levels == b.state.rare_levels and a.state.medians == b.state.medians and a.state.prior == b.state.prior
+    assert sorted(map(tuple, a.transform(frame).collect())) == sorted(map(tuple, b.transform(frame).collect()))

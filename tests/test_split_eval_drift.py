@@ -15,7 +15,7 @@ def test_stratified_split_exact_quota_and_partition_invariant(spark):
     rows = [(i, 1 if i % 3 == 0 else 0) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, y int")
     a = S.stratified_split(df, "y", ["k"], 0.2)
-    b = S.stratified_split(df.repartition(7), "y", ["k"], 0.2, small_rows=0)  # bucketed path
+    b = S.stratified_split(df.repartition(7), "y", ["k"], 0.2, digits=1)  # other boundary prefixes, the same split
     got = {r.y: r.n for r in a.filter("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert got == {1: 200, 0: 400}
     assert a.count() == 3000
@@ -96,7 +96,7 @@ def test_running_sums_bucketed_equals_single_window(spark):
     df = spark.createDataFrame(rows, "v double, g int, one int")
     for desc in (False, True):
         a = running_sums(df, "v", {"c": F.col("one"), "s": F.col("v")}, partition_cols=["g"], descending=desc,
-                         with_next=True, small_rows=0, buckets=16)
+                         with_next=True, buckets=16)
         b = running_sums(df, "v", {"c": F.col("one"), "s": F.col("v")}, partition_cols=["g"], descending=desc,
                          with_next=True)
         ra = sorted(map(tuple, a.select("v", "g", "cum_c", "cum_s", "next_key").collect()))
@@ -110,6 +110,6 @@ def test_salted_lookup_join_equals_plain_join(spark):
     # one hot key holds most rows
     big = spark.createDataFrame([(i, "hot" if i % 4 else f"k{i % 7}") for i in range(4000)], "id long, lvl string")
     small = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("k4", 3.0)], "lvl string, v double")
-    a = lookup_join(big, small, ["lvl"], "left", max_rows=0, salts=8)  # salted shuffle path
+    a = lookup_join(big, small, ["lvl"], "left", salts=8)  # salted shuffle path
     b = big.join(small, ["lvl"], "left")
     assert sorted(map(tuple, a.select("id", "lvl", "v").collect())) == sorted(map(tuple, b.select("id", "lvl", "v").collect()))
