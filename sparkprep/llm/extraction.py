@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import kernels as K
+
 DIMS = 1 << 13
 
 _TAG = re.compile(
@@ -379,7 +381,10 @@ def train_extractor(pages: DataFrame, most: int = 200, layouts: int = 3, seed: i
     by a hash of page_id), labelled by ``weak_labels`` as they are and, so that
     it does not lean on one site's markup, with their texts set in ``layouts``
     random layouts each."""
-    rows = pages.filter("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id", F.lit(seed)), "page_id", F.md5("html")).limit(most).collect()
+    draw = F.xxhash64("page_id", F.lit(seed))
+    known = pages.filter("html is not null and page_id is not null")
+    ids = known.select("page_id").orderBy(draw, "page_id").limit(most).distinct()  # narrow: only ids are gathered
+    rows = known.select("page_id", "html").join(F.broadcast(ids), "page_id").orderBy(draw, "page_id", F.md5("html")).limit(most).collect()
     rng = random.Random(seed)
     known = []
     for r in rows:
@@ -411,4 +416,4 @@ def extract_text(pages: DataFrame, model: CRF) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              [*names, "text", "n_chars"])
 
-    return pages.select(*names, "html").mapInArrow(run, f"{kinds}, text string, n_chars long" if names else "text string, n_chars long")
+    return pages.select(*names, "html").mapInArrow(K.tidy(run), f"{kinds}, text string, n_chars long" if names else "text string, n_chars long")
