@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import chi2_sf, ks_asymptotic_p, metric_name_col, normal_two_sided_p, numeric_columns, q
+from ..functions.exprs import chi2_sf, ks_asymptotic_p, long_form, metric_name_col, normal_two_sided_p, numeric_columns, q
 from ..functions.ordered import running_sums
+from ..session import cut_lineage
 
 SMALL_REFERENCE_ROWS = 1000
 NUMERIC_MIN_DISTINCT = 5  # numeric columns need more distinct values than this for numeric tests
@@ -128,24 +129,6 @@ def proportion_z(ref: DataFrame, cur: DataFrame, col: str, positive=None, alpha:
                       F.col("n1").cast("bigint").alias("n_ref"), F.col("n2").cast("bigint").alias("n_cur"))
 
 
-def column_kinds(ref: DataFrame, cur: DataFrame, cols: list[str]) -> dict[str, str]:
-    """DR7: 'num' for numeric columns with more than 5 distinct values, 'bin'
-    for exactly two levels, else 'cat' (one aggregate over both frames)."""
-    nums = set(numeric_columns(ref))
-    both = ref.select(*[q(c).cast("string").alias(c) for c in cols]).unionByName(
-        cur.select(*[q(c).cast("string").alias(c) for c in cols]))
-    d = both.agg(*[F.count_distinct(q(c)).alias(c) for c in cols]).first()
-    out = {}
-    for c in cols:
-        if c in nums and d[c] > NUMERIC_MIN_DISTINCT:
-            out[c] = "num"
-        elif d[c] == 2:
-            out[c] = "bin"
-        else:
-            out[c] = "cat"
-    return out
-
-
 def unmatched_columns(ref: DataFrame, cur: DataFrame) -> list[tuple[str, str]]:
     """DR9: (column, frame) of columns that only one frame has; they are not compared."""
     return ([(c, "reference") for c in ref.columns if c not in set(cur.columns)]
@@ -153,32 +136,80 @@ def unmatched_columns(ref: DataFrame, cur: DataFrame) -> list[tuple[str, str]]:
 
 
 def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
-                 small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None) -> DataFrame:
+                 small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None,
+                 alpha: float = 0.05, distance: float = 0.1) -> DataFrame:
     """DR1-DR7 per column: one row per compared column (the intersection of
     both frames' columns, DR9). The preset rule takes the small-sample tests up
     to ``small_reference`` reference rows; ``tests`` names a column's test
-    outright (ks, wasserstein, chisquare, z or jensenshannon)."""
+    outright (ks, wasserstein, chisquare, z or jensenshannon).
+
+    DR7: a numeric column with more than 5 distinct values (as text, over both
+    frames) gets a numeric test, a column of exactly two the z-test on small
+    references, any other a test of shares.
+
+    All columns go together: one pass counts every (column, value) on both
+    sides and is written once; kinds, totals and all statistics are
+    aggregates over that table, so the number of jobs does not depend on the
+    number of columns. Only a few scalars per column reach the driver."""
     cols = cols or [c for c in ref.columns if c in set(cur.columns)]
     tests = tests or {}
-    named = {"ks": ks_test, "wasserstein": wasserstein, "chisquare": chi_square, "z": proportion_z, "jensenshannon": jensen_shannon}
-    kinds = column_kinds(ref, cur, cols)
-    small = ref.count() <= small_reference
-    parts = []
+    spark = ref.sparkSession
+    side = lambda df, a, b: long_form(df.select(*[q(c) for c in cols]), cols, val="v").select("column_name", "v", F.lit(a).alias("r"), F.lit(b).alias("c"))
+    counts = cut_lineage(side(ref, 1, 0).unionByName(side(cur, 0, 1)).filter(F.col("v").isNotNull())
+                         .groupBy("column_name", "v").agg(F.sum("r").alias("c_ref"), F.sum("c").alias("c_cur")))
+    found = {r["column_name"]: r for r in counts.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("levels"), F.sum("c_ref").alias("n1"), F.sum("c_cur").alias("n2")).collect()}
+    nums = [c for c in numeric_columns(ref) if c in cols]
+    row = ref.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(q(c).cast("double")).alias(f"s{i}") for i, c in enumerate(nums)]).first()
+    spread = {c: max(row[f"s{i}"] or 0.0, STD_FLOOR) for i, c in enumerate(nums)}
+    small = row["n"] <= small_reference
+    plan = []
     for c in cols:
-        k = kinds[c]
+        levels = found[c]["levels"] if c in found else 0
         if c in tests:
-            parts.append(named[tests[c]](ref, cur, c))
-            continue
-        if k == "num":
-            parts.append(ks_test(ref, cur, c) if small else wasserstein(ref, cur, c))
-        elif small:
-            parts.append(proportion_z(ref, cur, c) if k == "bin" else chi_square(ref, cur, c))
+            test = tests[c]
+        elif c in nums and levels > NUMERIC_MIN_DISTINCT:
+            test = "ks" if small else "wasserstein"
         else:
-            parts.append(jensen_shannon(ref, cur, c))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            test = ("z" if levels == 2 else "chisquare") if small else "jensenshannon"
+        n1, n2 = (found[c]["n1"], found[c]["n2"]) if c in found else (0, 0)
+        plan.append((c, test, n1, n2, spread.get(c, 1.0)))
+    planned = spark.createDataFrame(plan, "column_name string, test string, n_ref bigint, n_cur bigint, spread double")
+    share = lambda count, n: F.try_divide(F.col(count).cast("double"), F.col(n).cast("double"))
+    ordered = ("ks", "wasserstein")
+
+    numeric = counts.join(planned.filter(F.col("test").isin(*ordered)).select("column_name"), "column_name", "left_semi")
+    numeric = numeric.groupBy("column_name", F.col("v").cast("double").alias("x")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    steps = running_sums(numeric, "x", {"ref": F.col("c_ref"), "cur": F.col("c_cur")}, partition_cols=["column_name"], with_next=True).join(planned, "column_name")
+    gap = F.abs(share("cum_ref", "n_ref") - share("cum_cur", "n_cur"))
+    numeric = steps.groupBy("column_name").agg(
+        F.max(gap).alias("ks"), F.coalesce(F.sum(gap * (F.col("next_key") - F.col("x"))), F.lit(0.0)).alias("w"))
+
+    levels = counts.join(planned.filter(~F.col("test").isin(*ordered)), "column_name")
+    p, c = share("c_ref", "n_ref"), share("c_cur", "n_cur")
+    kl = lambda x: F.when(x > 0, x * F.log(x / ((p + c) / 2.0))).otherwise(F.lit(0.0))
+    expected = F.col("c_ref") * share("n_cur", "n_ref")
+    term = F.when(expected > 0, F.pow(F.col("c_cur") - expected, 2) / expected).otherwise(
+        F.when(F.col("c_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0)))
+    levels = levels.groupBy("column_name").agg(
+        F.sqrt(F.greatest(F.lit(0.0), 0.5 * F.sum(kl(p)) + 0.5 * F.sum(kl(c)))).alias("js"), F.sum(term).alias("chi"),
+        F.count(F.lit(1)).alias("k"), F.min_by("c_ref", "v").alias("x1"), F.min_by("c_cur", "v").alias("x2"))
+
+    j = planned.join(numeric, "column_name", "left").join(levels, "column_name", "left")
+    pooled = F.try_divide((F.col("x1") + F.col("x2")).cast("double"), (F.col("n_ref") + F.col("n_cur")).cast("double"))
+    z = F.try_divide(share("x1", "n_ref") - share("x2", "n_cur"),
+                     F.sqrt(pooled * (1.0 - pooled) * (F.try_divide(F.lit(1.0), F.col("n_ref")) + F.try_divide(F.lit(1.0), F.col("n_cur")))))
+    test = F.col("test")
+    statistic = (F.when(test == "ks", F.col("ks")).when(test == "wasserstein", F.col("w") / F.col("spread"))
+                 .when(test == "jensenshannon", F.col("js")).when(test == "chisquare", F.col("chi")).otherwise(F.coalesce(z, F.lit(0.0))))
+    p_value = (F.when(test == "ks", ks_asymptotic_p(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+               .when(test == "chisquare", chi2_sf(F.col("chi"), F.col("k") - 1))
+               .when(test == "z", F.coalesce(normal_two_sided_p(z), F.lit(1.0))))
+    by_p = test.isin("ks", "chisquare", "z")
+    threshold = F.when(by_p, F.lit(alpha)).otherwise(F.lit(distance))
+    out = j.select("column_name", "test", statistic.alias("statistic"), p_value.alias("p_value"), threshold.alias("threshold"), "n_ref", "n_cur", by_p.alias("by_p"))
+    drifted = F.coalesce(F.when(F.col("by_p"), F.col("p_value") < F.col("threshold")).otherwise(F.col("statistic") >= F.col("threshold")), F.lit(False))
+    return out.select("column_name", "test", "statistic", "p_value", "threshold", drifted.alias("drifted"), "n_ref", "n_cur")
 
 
 def dataset_drift(per_column: DataFrame, share_threshold: float = 0.5) -> DataFrame:

@@ -4,6 +4,8 @@ retrain -> persist -> register, with runs and metrics logged as tables."""
 from __future__ import annotations
 
 import os
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,28 @@ from ..session import cut_lineage
 from .features import FeatureEngineer, FeatureSpec
 
 
+@dataclass(frozen=True)
+class JobConfig:
+    """IO9: the parameters of a training job, typed, with defaults."""
+
+    label: str = "converted"
+    test_fraction: float = 0.2
+    folds: int = 3
+    seed: int = 42
+    experiment: str = "lead_scoring"
+    model_name: str = "best_model"
+    base_path: str = ""
+
+    @classmethod
+    def of(cls, values: Mapping[str, str]) -> "JobConfig":
+        """From name -> text pairs (job arguments); an unknown name is an error."""
+        known = {f.name: f for f in fields(cls)}
+        unknown = sorted(set(values) - set(known))
+        if unknown:
+            raise ValueError(f"unknown parameters: {unknown}")
+        return cls(**{k: type(known[k].default)(v) for k, v in values.items()})
+
+
 def build_and_train(df: DataFrame, spec: FeatureSpec, key_cols: list[str], base: str,
                     candidates: dict[str, dict] | None = None, model_name: str = "best_model",
                     fit_scope: str = "train", folds: int = 3, experiment: str = "lead_scoring") -> dict:
@@ -75,3 +99,15 @@ def load_latest(spark, base: str, model_name: str = "best_model"):
         raise FileNotFoundError(f"no registered model {model_name!r} under {base}")
     _, path = found
     return FeatureModel.load(os.path.join(path, "features")), PipelineModel.load(os.path.join(path, "classifier"))
+
+
+def load_scoring_model(spark, base: str, path: str | None = None, model_name: str = "best_model"):
+    """IO12: the model stored at ``path`` if it exists, else the latest registered version."""
+    from pyspark.ml import PipelineModel
+
+    from ..sources.tables import path_exists
+    from .features import FeatureModel
+
+    if path and path_exists(spark, os.path.join(path, "classifier")):
+        return FeatureModel.load(os.path.join(path, "features")), PipelineModel.load(os.path.join(path, "classifier"))
+    return load_latest(spark, base, model_name)

@@ -113,3 +113,61 @@ def test_named_drift_tests_and_unmatched_columns(spark):
     assert set(D.unmatched_columns(a, b)) == {("gone", "reference"), ("new", "current")}
     got = {r.column_name: r.test for r in D.column_drift(a, b, ["v", "w"], tests={"v": "wasserstein"}).collect()}
     assert got["v"] == "wasserstein" and got["w"] == "ks"
+
+
+def _pair(spark):
+    a = spark.range(400).selectExpr("cast(id % 97 as double) v", "id % 7 as w", "case when id % 3 = 0 then 'a' else 'b' end as b2", "cast(id % 40 as string) s")
+    b = spark.range(300).selectExpr("cast((id * 3) % 120 as double) v", "id % 9 as w", "case when id % 5 = 0 then 'a' else 'b' end as b2", "cast((id * 2) % 40 as string) s")
+    return a, b
+
+
+@pytest.mark.parametrize("small", [1000, 10])
+def test_one_pass_drift_equals_single_tests(spark, small):
+    a, b = _pair(spark)
+    one = ((D.ks_test, "v"), (D.ks_test, "w"), (D.proportion_z, "b2"), (D.chi_square, "s")) if small == 1000 else (
+        (D.wasserstein, "v"), (D.wasserstein, "w"), (D.jensen_shannon, "b2"), (D.jensen_shannon, "s"))
+    got = {r.column_name: r for r in D.column_drift(a, b, small_reference=small).collect()}
+    for test, c in one:
+        want = test(a, b, c).first()
+        for name in ("test", "statistic", "p_value", "threshold", "drifted", "n_ref", "n_cur"):
+            x, y = getattr(got[c], name), getattr(want, name)
+            assert x == pytest.approx(y, rel=1e-9) if isinstance(y, float) else x == y, (c, name)
+
+
+def test_drift_jobs_do_not_grow_with_columns(spark):
+    a, b = _pair(spark)
+    wide = lambda df, n: df.select(*[F.col(c).alias(f"{c}{i}") for i in range(n) for c in df.columns])
+    sc, counts = spark.sparkContext, []
+    for n in (1, 3):
+        sc.setJobGroup(f"drift{n}", "")
+        D.column_drift(wide(a, n), wide(b, n)).collect()
+        counts.append(len(sc.statusTracker().getJobIdsForGroup(f"drift{n}")))
+    sc.setJobGroup("", "")
+    assert counts[0] == counts[1]
+
+
+def test_scored_stream_replay_adds_no_rows(spark, tmp_path):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import SQLTransformer, VectorAssembler
+
+    from sparkprep.streaming.incremental import file_stream, stream_score
+
+    rows = spark.range(60).selectExpr("id", "cast(id as double) x", "cast(id > 30 as double) label")
+    rows.write.parquet(str(tmp_path / "src"))
+    features = Pipeline(stages=[SQLTransformer(statement="SELECT id, x FROM __THIS__")]).fit(rows)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"), LogisticRegression()]).fit(rows)
+    for checkpoint in ("c1", "c2"):  # the second run starts from nothing, as after a lost checkpoint
+        stream_score(file_stream(spark, str(tmp_path / "src"), rows.schema), features, model, "id", str(tmp_path / "out"), str(tmp_path / checkpoint))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 60
+
+
+def test_model_path_falls_back_to_the_registry(spark, tmp_path):
+    from sparkprep.plans.workflow import JobConfig, load_scoring_model
+
+    with pytest.raises(FileNotFoundError):
+        load_scoring_model(spark, str(tmp_path / "registry"), str(tmp_path / "none"))
+    cfg = JobConfig.of({"label": "y", "folds": "4", "test_fraction": "0.25"})
+    assert (cfg.label, cfg.folds, cfg.test_fraction, cfg.seed) == ("y", 4, 0.25, 42)
+    with pytest.raises(ValueError):
+        JobConfig.of({"unknown": "1"})
