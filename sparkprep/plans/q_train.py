@@ -1,7 +1,7 @@
 """Registered rows-only queries for model fitting, selection, scoring and
-explanation (MO3-MO9, EV6, EX1, EX2, SC1). The three single fits and the importances run at full size; grids, selection
-and the workflow keep a few small trees (README, open points). Every query
-trains on the whole table."""
+explanation (MO3-MO9, EV6, EX1, EX2, SC1). Single fits, importances, scoring
+and attributions run at full size; grids, selection and the workflow keep a
+few small trees (README, open points). Every query trains on the whole table."""
 
 from __future__ import annotations
 
@@ -55,6 +55,16 @@ def _metrics_row(spark, sf, kind, **params):
                     "tp", "fp", "tn", "fn")
 
 
+_QUOTA = "cast(floor(count(*) filter (where l_returnflag {op} 'R') * 0.2 + 0.5) as bigint)"
+
+
+@register("rf_test_counts", f"select 'random_forest' as model, {_QUOTA.format(op='=')} as positives, {_QUOTA.format(op='<>')} as negatives from lineitem")
+def rf_test_counts(spark, sf):
+    """MO3 + EV3: the confusion counts of the full-size forest add up to the stratified test quotas."""
+    m = _metrics_row(spark, sf, "random_forest", numTrees=100, maxDepth=10)
+    return m.select("model", (F.col("tp") + F.col("fn")).cast("bigint").alias("positives"), (F.col("fp") + F.col("tn")).cast("bigint").alias("negatives"))
+
+
 @register("cv_grid")
 def cv_grid(spark, sf):
     """MO6 + MO7: 3-fold CV (hash folds) over a 2-point forest grid, F1 of class 1."""
@@ -92,7 +102,7 @@ def _flagship_model(spark, sf):
     feats = fm.transform(df)
     cols = [c for c in feats.columns if c not in ("o_orderkey", "converted")]
     clf = T.retrain("gradient_boosting", feats.withColumn("label", F.col("converted").cast("double")), cols, "label",
-                    {"maxIter": 5, "maxDepth": 3})
+                    {"maxIter": 100, "maxDepth": 3})
     return df, fm, feats, cols, clf
 
 
@@ -104,6 +114,27 @@ def batch_score(spark, sf):
                                                        as_double(F.col("probability_1")).alias("probability_1"))
 
 
+@register("batch_score_domain", """select o_orderkey, true as raw_kept, true as label_ok, true as probability_ok from orders""")
+def batch_score_domain(spark, sf):
+    """SC1: every raw row is scored once, with its own columns, a label 0 or 1
+    that agrees with its probability, and a probability from 0 to 1."""
+    df, fm, _, _, clf = _flagship_model(spark, sf)
+    scored = SC.score(df, fm, clf, "o_orderkey")
+    p = F.col("probability_1")
+    return scored.select("o_orderkey", F.col("o_orderpriority").isNotNull().alias("raw_kept"),
+                         (F.col("prediction") == F.when(p > 0.5, 1).otherwise(0)).alias("label_ok"), p.between(0.0, 1.0).alias("probability_ok"))
+
+
+@register("shapley_additivity", """select o_orderkey, true as adds_up from orders""")
+def shapley_additivity(spark, sf):
+    """EX2: base value plus contributions equal the model's probability for every order."""
+    _, _, feats, cols, clf = _flagship_model(spark, sf)
+    bg = S.hash_split(feats, ["o_orderkey"], 0.01, 7).filter("is_test").drop("is_test").orderBy("o_orderkey").limit(200)
+    total = X.sampled_shapley(clf, feats, "o_orderkey", cols, bg, permutations=8).groupBy("o_orderkey").agg(F.sum("contribution").alias("s"))
+    p = V.positive_probability(clf.transform(feats)).select("o_orderkey", "p1")
+    return total.join(p, "o_orderkey").select("o_orderkey", (F.abs(F.col("s") - F.col("p1")) < 1e-9).alias("adds_up"))
+
+
 @register("feature_importance")
 def feature_importance(spark, sf):
     """EX1: ranked impurity importances of a forest on lineitem."""
