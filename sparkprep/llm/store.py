@@ -30,8 +30,3 @@ def small_or_shuffled(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Unchanged; split sizes belong to the session (spark.sql.files.maxPartitionBytes)."""
-    return df
