@@ -286,7 +286,7 @@ def kde(df: DataFrame, col: str, grid_points: int = 200, cut: float = 3.0) -> Da
     """PR19: Gaussian kernel density on an even grid from ``min - cut*h`` to
     ``max + cut*h`` with Scott's bandwidth ``h = std * n^(-1/5)``.
 
-    One pass: each row evaluates its kernel at every grid point with one
+    Each distinct value evaluates its kernel at every grid point with one
     higher-order expression, ``posexplode`` feeds a partial aggregation by
     grid point in the same stage, so only ``grid_points`` sums per partition
     are shuffled."""
@@ -301,9 +301,11 @@ def kde(df: DataFrame, col: str, grid_points: int = 200, cut: float = 3.0) -> Da
     step = (b - a) / (grid_points - 1)
     x = q(col).cast("double")
     grid = F.transform(F.sequence(F.lit(0), F.lit(grid_points - 1)), lambda i: F.lit(a) + i.cast("double") * F.lit(step))
-    kern = F.transform(grid, lambda g: F.exp(-F.pow((g - x) / F.lit(h), 2) / F.lit(2.0)))
-    sums = (df.filter(q(col).isNotNull()).select(F.posexplode(kern).alias("point", "k"))
-            .groupBy("point").agg(F.sum("k").alias("s")))
+    kern = F.transform(grid, lambda g: F.col("n") * F.exp(-F.pow((g - F.col("v")) / F.lit(h), 2) / F.lit(2.0)))
+    # equal values are evaluated once; the distinct ones are dealt over all tasks, since each costs grid_points kernels
+    values = df.filter(q(col).isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    values = values.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    sums = values.select(F.posexplode(kern).alias("point", "k")).groupBy("point").agg(F.sum("k").alias("s"))
     norm = 1.0 / (n * h * math.sqrt(2.0 * math.pi))
     return sums.select(F.col("point").cast("int").alias("point"),
                        (F.lit(a) + F.col("point").cast("double") * F.lit(step)).alias("x"),
