@@ -55,16 +55,73 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
+#: Lengths in bytes at which the least cosine of a language is learned.
+LENGTHS = 8 << np.arange(8)
+
+
 @dataclass
 class Centroids:
-    """``floor`` is the least cosine of any training text with its own
-    language's nearest centroid; ``reject`` scales it to the distance beyond
-    which a text belongs to no learned language."""
+    """``bound`` has, for each language of ``names`` and each of ``LENGTHS``,
+    the cosine below which a text of that length that is nearest to the
+    language belongs to no learned language."""
 
     langs: list[str]       # of each centroid
     centre: np.ndarray     # (centroids, DIMS)
     idf: np.ndarray
-    floor: float
+    names: list[str]       # of the languages, sorted
+    bound: np.ndarray      # (languages, lengths)
+
+    def best(self, vectors: np.ndarray) -> np.ndarray:
+        """(rows, languages) cosine with the nearest centroid of each language."""
+        sim = vectors @ self.centre.T
+        return np.stack([sim[:, [x == name for x in self.langs]].max(axis=1) for name in self.names], axis=1)
+
+    def least(self, top: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The bound of language ``top`` at ``size`` bytes: linear in the
+        logarithm of the size, towards zero below the shortest length and
+        even beyond the longest."""
+        at = np.log2(np.maximum(size, 1) / LENGTHS[0]).clip(0, len(LENGTHS) - 1)
+        lo = np.floor(at).astype(int)
+        hi = np.minimum(lo + 1, len(LENGTHS) - 1)
+        bound = self.bound[top, lo] + (at - lo) * (self.bound[top, hi] - self.bound[top, lo])
+        return bound * np.minimum(1, size / LENGTHS[0])
+
+
+def _pieces(texts: list[str], length: int, most: int = 4) -> list[str]:
+    """Up to ``most`` adjoining pieces of ``length`` bytes of each text that has them, from its beginning."""
+    out = []
+    for text in texts:
+        raw = text[:most * length].encode()
+        out += [raw[i:i + length].decode("utf-8", "ignore") for i in range(0, min(len(raw), most * length) - length + 1, length)]
+    return [x for x in out if has_letter(x)]
+
+
+def _text_vectors(texts: list[str], idf: np.ndarray) -> Iterator[np.ndarray]:
+    b, o = K.utf8(pa.array(texts, pa.large_string()))
+    for lo, hi in K.chunks(o, 1 << 20, ROWS):
+        yield _vectors(_grams(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]), idf)
+
+
+def _bounds(model: Centroids, held: dict[str, list[str]], quantile: float, margin: float, foreign: float) -> np.ndarray:
+    """For each language and length, ``margin`` times the ``quantile`` of the
+    cosines of held-back pieces that are nearest to it, but not more than the
+    ``foreign`` quantile of what pieces reach with their second language (with
+    one language, half): a nearer text may be an odd one of a learned language.
+    Where fewer than 20 pieces are nearest to a language, those of all count; a
+    length that no held-back text has takes the bound of the next shorter one."""
+    bound = np.zeros((len(model.names), len(LENGTHS)))
+    for j, length in enumerate(LENGTHS.tolist()):
+        found = [model.best(v) for x in held.values() for v in _text_vectors(_pieces(x, length), model.idf)]
+        if not found:
+            bound[:, j] = bound[:, max(j - 1, 0)]
+            continue
+        best = np.concatenate(found)
+        cosine, top = best.max(axis=1), best.argmax(axis=1)
+        most = np.quantile(np.sort(best, axis=1)[:, -2], foreign) if len(model.names) > 1 else 0.5 * np.quantile(cosine, quantile)
+        for i in range(len(model.names)):
+            own = cosine[top == i]
+            bound[i, j] = min(margin * np.quantile(own if len(own) >= 20 else cosine, quantile), most)
+    return bound
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -77,12 +134,16 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, max_langs: int = 200) -> Centroids:
+def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, max_langs: int = 200,
+                  quantile: float = 0.01, margin: float = 0.9, foreign: float = 0.1) -> Centroids:
     """``labelled`` (id long, text, lang): document frequencies come from all of
     its rows, the clustered centroids from about ``per_lang`` rows a language
     (the documented bound; drawn by a hash of id), at most ``max_langs``
-    languages, the most frequent ones. Null langs and texts without a letter
-    teach nothing. With no labelled rows there are no centroids."""
+    languages, the most frequent ones. Half as many more are held back from
+    the centroids (a third of them where a language has fewer rows): pieces of
+    these of several lengths give each language's bounds (``_bounds``). A language with a text or two learns its bounds from
+    those. Null langs and texts without a letter teach nothing. With no
+    labelled rows there are no centroids."""
     labelled = labelled.filter("lang is not null and text is not null")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,37 +163,37 @@ def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, m
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
     counts = sorted(((r[1], r[0]) for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()), reverse=True)
     if not counts:
-        return Centroids([], np.zeros((0, DIMS), np.float32), idf.astype(np.float32), 0.0)
+        return Centroids([], np.zeros((0, DIMS), np.float32), idf.astype(np.float32), [], np.zeros((0, len(LENGTHS))))
     share = F.lit(0.0)
     for n, lang in counts:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, per_lang / n))).otherwise(share)
+        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.5 * per_lang / n))).otherwise(share)
     draw = F.pmod(F.xxhash64("id", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.filter(draw < share).select("lang", "text", draw.alias("draw")).collect()
-    langs, centres, floor = [], [], 1.0
+    langs, centres, held = [], [], {}
     for lang in sorted({r.lang for r in sample}):
         texts = [r.text for r in sorted((r for r in sample if r.lang == lang), key=lambda r: (r.draw, r.text)) if has_letter(r.text)]
         if not texts:
             continue
-        b, o = K.utf8(pa.array(texts, pa.large_string()))
-        x = np.concatenate([_vectors(_grams(b[o[lo]:o[hi]], o[lo:hi + 1] - o[lo]), idf.astype(np.float32)) for lo, hi in K.chunks(o, 1 << 20, ROWS)])
+        x = np.concatenate(list(_text_vectors([t for i, t in enumerate(texts) if i % 3 != 2], idf.astype(np.float32))))
         c = _kmeans(x, clusters)
         langs += [lang] * len(c)
         centres.append(c)
-        floor = min(floor, float((x @ c.T).max(axis=1).min()))
+        held[lang] = texts[2::3] or texts
     centre = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, DIMS), np.float32)
-    return Centroids(langs, centre, idf.astype(np.float32), floor)
+    model = Centroids(langs, centre, idf.astype(np.float32), sorted(held), np.zeros((len(held), len(LENGTHS))))
+    if held:
+        model.bound = _bounds(model, held, quantile, margin, foreign)
+    return model
 
 
-def identify(docs: DataFrame, model: Centroids, reject: float = 0.5, sharpness: float = 30.0) -> DataFrame:
+def identify(docs: DataFrame, model: Centroids, sharpness: float = 30.0) -> DataFrame:
     """``docs``' columns plus lang_pred (the nearest centroid's language; `und`
     for a text that is null or has no letter), score (0 to 1: softmax over
     the languages' best cosines; 0 for `und`), cosine, and rejected: no
-    letter, or farther from every centroid than ``reject`` times the least
-    cosine of the training texts. Columns of these names are overwritten."""
+    letter, or farther from every centroid than the bound of lang_pred for a
+    text of its length. Columns of these names are overwritten."""
     own = ["lang_pred", "score", "cosine", "rejected"]
     docs = docs.drop(*own)
-    names = sorted(set(model.langs))
-    which = [np.flatnonzero([x == name for x in model.langs]) for name in names]
     schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double").add("cosine", "double").add("rejected", "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,19 +208,20 @@ def identify(docs: DataFrame, model: Centroids, reject: float = 0.5, sharpness:
                     letters = np.diff(ascii_letters[o[lo:hi + 1] - o[lo]]) > 0
                 for i in np.flatnonzero(~letters):
                     letters[i] = has_letter(part["text"][int(i)].as_py())
-                if names:
-                    sim = _vectors(_grams(c, o[lo:hi + 1] - o[lo]), model.idf) @ model.centre.T
-                    best = np.stack([sim[:, w].max(axis=1) for w in which], axis=1)
+                if model.names:
+                    best = model.best(_vectors(_grams(c, o[lo:hi + 1] - o[lo]), model.idf))
                     top = best.argmax(axis=1)
                     cosine = best.max(axis=1).astype(float)
                     score = 1 / np.exp(sharpness * (best - best.max(axis=1, keepdims=True))).sum(axis=1)
-                    pred = np.array(names, object)[top]
+                    pred = np.array(model.names, object)[top]
+                    far = cosine < model.least(top, np.diff(o[lo:hi + 1]))
                 else:
                     cosine, score, pred = np.zeros(hi - lo), np.zeros(hi - lo), np.full(hi - lo, UNKNOWN, object)
+                    far = np.zeros(hi - lo, bool)
                 pred = np.where(letters, pred, UNKNOWN)
                 score = np.where(letters, score, 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(pred.tolist(), pa.string()), pa.array(score.astype(float)), pa.array(cosine),
-                     pa.array(~letters | (cosine < reject * model.floor))], [*part.schema.names, *own])
+                     pa.array(~letters | far)], [*part.schema.names, *own])
 
     return docs.mapInArrow(K.tidy(run), schema)

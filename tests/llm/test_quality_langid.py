@@ -73,3 +73,26 @@ def test_langid_odd_rows(spark):
     blank = langid.fit_centroids(empty_docs(spark).selectExpr("doc_id id", "text", "lang"))
     assert {r.lang_pred for r in langid.identify(odd_docs(spark), blank).collect()} <= {"und"} or not blank.langs
     assert langid.identify(odd_docs(spark), model).filter(F.col("source").isNull()).count() == 3
+
+
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji. ",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokaisella on oikeus elämään, vapauteen ja henkilökohtaiseen turvallisuuteen. ",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. Herkesin yaşama, hürriyet ve kişi emniyetine hakkı vardır. ",
+    "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza. Ogni individuo ha diritto alla vita, alla libertà ed alla sicurezza della propria persona. "}
+
+
+def test_langid_rejects_unlearned_latin_text(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    model = langid.fit_centroids(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    rng = np.random.default_rng(5)
+    planted = {**FOREIGN, **{f"gibberish {i}": " ".join("".join(rng.choice(list(letters), rng.integers(3, 10))) for _ in range(60)) + " "
+                             for i, letters in enumerate(("bcdfghjklmnpqrstvwxz", "abcdefghijklmnopqrstuvwxyz"))}}
+    far = spark.createDataFrame([(f"{k} {n}", (v * 20)[:n]) for k, v in planted.items() for n in (200, 1000, 4000)], "name string, text string")
+    assert [r.name for r in langid.identify(far, model).collect() if not r.rejected] == []
+    # one worst labelled row doesn't move the bounds
+    junk = docs.select(F.col("doc_id").alias("id"), "text", "lang").union(spark.createDataFrame([(-1, "0f9a3c77e1b2 4b" * 30, "en")], "id long, text string, lang string"))
+    assert [r.name for r in langid.identify(far, langid.fit_centroids(junk, per_lang=10**6)).collect() if not r.rejected] == []
+    short = docs.select(F.substring("text", 1, 40).alias("text")).filter("length(text) = 40")
+    kept = langid.identify(short, model).filter("not rejected").count()
+    assert langid.identify(docs, model).filter("rejected").count() == 0 and kept >= 0.99 * short.count()
