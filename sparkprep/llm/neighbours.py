@@ -153,37 +153,41 @@ def build_hnsw(unit: np.ndarray, degree: int = 24, width: int = 48, seed: int =
     return HNSW(unit, layers, int(np.argmax(level)) if n else 0)
 
 
-def linked(index: HNSW, whole: np.ndarray, queries: np.ndarray, threshold: float, recall: float = 0.999, widths: tuple[int, ...] = (24, 48, 96, 192), audit: int = 64) -> np.ndarray:
+def linked(index: HNSW, whole: np.ndarray, queries: np.ndarray, threshold: float, recall: float = 0.999, widths: tuple[int, ...] = (24, 48, 96, 192),
+           audit: int = 128, depth: int = 10) -> np.ndarray:
     """(queries, rows) bool: cosine >= threshold in double precision, of what
     the graph finds. ``whole``, ``queries``: float64 unit vectors.
 
-    Beams widen until an audit passes: every few queries are compared with a
-    scan of the shard, and the share of their links found must reach
-    ``recall``. Queries whose beam is full of links, and all of them if the
-    widest beams fail their audit, get the scan (the exact way for the rest)."""
+    Beams widen until an audit passes: ``audit`` evenly spaced queries are
+    compared with a scan of the shard, and the share found of their links and
+    of their ``depth`` nearest rows, linked or not, must reach ``recall``. A
+    query's own row doesn't count, and so few neighbours that one miss would
+    break ``recall`` prove nothing. Queries whose beam is full of links, and
+    all of them if the widest beams fail their audit or too little is there
+    to audit, get the scan (the exact way for the rest)."""
     near = np.zeros((len(queries), len(whole)), bool)
     low = queries.astype(np.float32)
-    sample = np.arange(0, len(queries), max(1, len(queries) // audit))
-    truth = queries[sample] @ whole.T >= threshold
     margin = np.float32(threshold - 1e-5)
     todo = np.arange(len(queries))
+    sample = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(int))
+    cosine = queries[sample] @ whole.T
+    cosine[cosine >= 1 - 1e-12] = -np.inf
+    nearest = np.partition(cosine, max(0, len(whole) - depth), axis=1)[:, max(0, len(whole) - depth)]
+    truth = (cosine >= np.minimum(nearest, threshold)[:, None]) & np.isfinite(cosine)
     for width in widths:
-        if width >= len(whole):
+        if width >= len(whole) or truth.sum() * (1 - recall) < 1 - 1e-9:
             break
-        near[todo] = False
-        ids, sims = index.search(low, width)
-        full = sims[:, -1] >= margin
-        row, col = np.nonzero((sims >= margin) & (ids >= 0))
-        found = ids[row, col]
-        near[row, found] = np.einsum("nd,nd->n", queries[row], whole[found]) >= threshold
-        checked = ~full[sample]
+        ids, sims = index.search(low[sample], width)
+        checked = sims[:, -1] < margin
         want = truth[checked].sum()
-        got = (near[sample] & truth)[checked].sum()
-        if full.mean() < 0.5 and got >= recall * want:
-            todo = np.flatnonzero(full)
+        got = (np.take_along_axis(truth, np.maximum(ids, 0), axis=1) & (ids >= 0))[checked].sum()
+        if checked.mean() > 0.5 and want * (1 - recall) >= 1 - 1e-9 and got >= recall * want:
+            ids, sims = index.search(low, width)
+            row, col = np.nonzero((sims >= margin) & (ids >= 0))
+            found = ids[row, col]
+            near[row, found] = np.einsum("nd,nd->n", queries[row], whole[found]) >= threshold
+            todo = np.flatnonzero(sims[:, -1] >= margin)
             break
-    else:
-        todo = np.arange(len(queries))
     for at in range(0, len(todo), 512):
         own = todo[at:at + 512]
         near[own] = queries[own] @ whole.T >= threshold

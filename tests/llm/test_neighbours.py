@@ -74,3 +74,33 @@ def test_recall_of_the_graph():
     # a graph without links fails its audits: the scan answers
     empty = neighbours.HNSW(g.unit, [np.full((len(x), 2), -1)], 0)
     assert (neighbours.linked(empty, x, x, 0.93) == truth).all()
+
+
+def test_sparse_links_of_a_large_shard():
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(6000, 256)))
+    q = unit(rng.normal(size=(1024, 256)))
+    at = np.setdiff1d(np.arange(1024), np.concatenate([np.arange(0, 1024, 16), np.unique(np.linspace(0, 1023, 128).astype(int))]))[::2]
+    to = rng.choice(6000, len(at), replace=False)  # no query that an audit may look at has a link
+    side = unit(rng.normal(size=(len(at), 256)))
+    q[at] = unit(x[to] + 0.37 * unit(side - (side * x[to]).sum(axis=1, keepdims=True) * x[to]))
+    truth = q @ x.T >= 0.93
+    assert truth.sum() >= 300
+    found = neighbours.linked(neighbours.build_hnsw(x.astype(np.float32)), x, q, 0.93)
+    assert not (found & ~truth).any() and (found & truth).sum() >= 0.999 * truth.sum()
+    # a graph without links fails the audit though no audited query has a link
+    empty = neighbours.HNSW(x.astype(np.float32), [np.full((len(x), 2), -1)], 0)
+    assert (neighbours.linked(empty, x, q, 0.93) == truth).all()
+
+
+def test_graph_answers_where_its_audit_passes():
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(400, 12)), 5, axis=0) + 0.3 * rng.normal(size=(2000, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    g = neighbours.build_hnsw(x.astype(np.float32))
+    calls = []
+    real = g.search
+    g.search = lambda q, width: calls.append((len(q), width)) or real(q, width)
+    found, truth = neighbours.linked(g, x, x[:1024], 0.93), x[:1024] @ x.T >= 0.93
+    assert calls[-1][0] == 1024 and (found & truth).sum() >= 0.999 * truth.sum() and not (found & ~truth).any()
