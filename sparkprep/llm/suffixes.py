@@ -15,7 +15,9 @@ to meet:
    those whose whole surroundings occurred earlier;
 3. suffixes whose leading bytes are shared but whose surroundings differ (the
    edges of repeated passages) fetch their bytes and are compared window by
-   window, across what was a boundary before.
+   window, across what was a boundary before. Of leading bytes with very many
+   surroundings (a common line) the hashes of the windows go out instead,
+   each to its own range, so that such a group is spread over all tasks.
 
 Hashes have 64 bits; (2) compares 128 bits in all.
 """
@@ -34,8 +36,12 @@ from . import kernels as K
 from .store import partitions
 
 _LOW = -(1 << 63)
+#: Surroundings of an anchor's leading bytes above which they aren't compared in one place.
+HOT = 5_000
+#: A window that starts at ``place``.
+HASHED = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("place", "<u8")])
 ANCHOR = np.dtype([("key", "<u8"), ("around", "<u8"), ("doc", "<i8"), ("place", "<u8"), ("left", "u1"), ("right", "u1")])
-#: kind 0: bytes start .. end go; kind 1: an anchor at start whose surroundings are asked for
+#: kind 0: bytes start .. end go; kind 1: an anchor at start whose surroundings are asked for; kind 2: one whose windows' hashes are
 MARK = np.dtype([("doc", "<i8"), ("kind", "u1"), ("tie", "<u4"), ("start", "<u4"), ("end", "<u4"), ("key", "<u8")])
 
 
@@ -116,7 +122,7 @@ def _part_of(x: np.ndarray, parts: int) -> np.ndarray:
     return ((x >> K.U64(40)) * K.U64(parts) >> K.U64(24)).astype(np.int64)
 
 
-def _marks(doc, kind: int, tie, start, end, key=0) -> np.ndarray:
+def _marks(doc, kind, tie, start, end, key=0) -> np.ndarray:
     out = np.zeros(len(start), MARK)
     out["doc"], out["kind"], out["tie"], out["start"], out["end"], out["key"] = doc, kind, tie, start, end, key
     return out
@@ -212,7 +218,7 @@ def _send_anchors(window: int, gram: int, ranges: int):
     return run
 
 
-def _sort_range(records: np.ndarray) -> np.ndarray:
+def _sort_range(records: np.ndarray, hot: int) -> np.ndarray:
     """Marks from all anchors of a range."""
     order = multikey_order([records["key"], records["around"], records["doc"], records["place"]])
     r = records[order]
@@ -224,10 +230,10 @@ def _sort_range(records: np.ndarray) -> np.ndarray:
     run = np.cumsum(new_key) - 1
     classes = np.bincount(run, weights=new)
     asked = np.flatnonzero(new & (classes[run] > 1))
-    return np.concatenate([done, _marks(r["doc"][asked], 1, tie[asked], pos[asked], 0, r["key"][asked])])
+    return np.concatenate([done, _marks(r["doc"][asked], np.where(classes[run[asked]] > hot, 2, 1), tie[asked], pos[asked], 0, r["key"][asked])])
 
 
-def _settle_ranges(ranges: int):
+def _settle_ranges(ranges: int, hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = None, []
         for batch in batches:
@@ -236,12 +242,12 @@ def _settle_ranges(ranges: int):
                     yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([data.as_py()], pa.binary())], ["part", "data"])
                     continue
                 if p != part and held:
-                    yield _mark_batch(_sort_range(np.concatenate(held)), ranges)
+                    yield _mark_batch(_sort_range(np.concatenate(held), hot), ranges)
                     held = []
                 part = p
                 held.append(np.frombuffer(data.as_buffer(), ANCHOR))
         if held:
-            yield _mark_batch(_sort_range(np.concatenate(held)), ranges)
+            yield _mark_batch(_sort_range(np.concatenate(held), hot), ranges)
 
     return run
 
@@ -256,18 +262,19 @@ def _send_surroundings(window: int, gram: int, ranges: int):
             ids = batch["k"].to_numpy(zero_copy_only=False).astype(np.int64)
             tie = ties.of(ids)
             b, o = K.utf8(batch["text"])
-            rows, places, keys = [], [], []
+            rows, places, keys, hots = [], [], [], []
             for i, blob in enumerate(batch["marks"]):
                 if blob.is_valid:
                     m = np.frombuffer(blob.as_buffer(), MARK)
-                    m = m[(m["kind"] == 1) & (m["tie"] == tie[i])]
+                    m = m[(m["kind"] > 0) & (m["tie"] == tie[i])]
                     if len(m):
                         rows.append(np.full(len(m), i))
                         places.append(m["start"].astype(np.int64))
                         keys.append(m["key"])
+                        hots.append(m["kind"] == 2)
             if not rows:
                 continue
-            row, pos, key = np.concatenate(rows), np.concatenate(places), np.concatenate(keys)
+            row, pos, key, hot = np.concatenate(rows), np.concatenate(places), np.concatenate(keys), np.concatenate(hots)
             for i in range(0, len(row), 10_000):
                 r, p = row[i:i + 10_000], pos[i:i + 10_000]
                 out = np.zeros(len(r), kind)
@@ -277,8 +284,15 @@ def _send_surroundings(window: int, gram: int, ranges: int):
                 at = (o[r] + p - side)[:, None] + np.arange(side + window)
                 inside = (np.arange(side + window) >= side - out["left"][:, None].astype(int)) & (np.arange(side + window) < side + out["right"][:, None].astype(int))
                 out["bytes"] = np.where(inside, b[at.clip(0, max(len(b) - 1, 0))], 0)
-                parts, blobs = _blobs(_part_of(out["key"], ranges), out)
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "data"])
+                spread = hot[i:i + 10_000]
+                sent = [(1, *_blobs(_part_of(out["key"][~spread], ranges), out[~spread]))]
+                for j in range(0, int(spread.sum()), 2_500):
+                    hashed, marks = _first_windows(out[spread][j:j + 2_500], window, gram)
+                    sent += [(2, *_blobs(_part_of(hashed["hash"], ranges), hashed)), (0, *_mark_blobs(marks, ranges))]
+                for what, parts, blobs in sent:
+                    if parts:
+                        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array([what] * len(parts), pa.int32()), pa.array(blobs, pa.binary())],
+                                                         ["part", "what", "data"])
 
     return run
 
@@ -287,11 +301,11 @@ def _surrounded(window: int, gram: int) -> np.dtype:
     return np.dtype([("key", "<u8"), ("doc", "<i8"), ("place", "<u8"), ("left", "u1"), ("right", "u1"), ("bytes", "u1", (2 * window - gram,))])
 
 
-def compare_windows(r: np.ndarray, window: int, gram: int) -> np.ndarray:
-    """Records (of whole keys, sorted by key, then place) -> marks of the
-    windows over the anchors that occur at an earlier record."""
+def window_hashes(r: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Records -> for each window over their anchors: the record, how many bytes
+    before the anchor it starts, and a hash of both this and the window."""
     side = window - gram
-    shifts = np.arange(side + 1)  # the window starts so many bytes before the anchor
+    shifts = np.arange(side + 1)
     step = K.BYTE_VALUE[r["bytes"]] * K.powers(side + window)[0]
     with np.errstate(over="ignore"):
         c = np.concatenate([np.zeros((len(r), 1), np.uint64), np.cumsum(step, axis=1)], axis=1)
@@ -300,7 +314,14 @@ def compare_windows(r: np.ndarray, window: int, gram: int) -> np.ndarray:
         h = K.mix(h + r["key"][:, None] + shifts.astype(np.uint64) * K.U64(0xD1342543DE82EF95))
     fits = (shifts <= r["left"][:, None]) & (window - shifts <= r["right"][:, None])
     row, shift = np.nonzero(fits)
-    _, first, inverse = np.unique(h[row, shift], return_index=True, return_inverse=True)
+    return row, shift, h[row, shift]
+
+
+def compare_windows(r: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """Records (of whole keys, sorted by key, then place) -> marks of the
+    windows over the anchors that occur at an earlier record."""
+    row, shift, h = window_hashes(r, window, gram)
+    _, first, inverse = np.unique(h, return_index=True, return_inverse=True)
     again = first[inverse] != np.arange(len(row))
     row, shift = row[again], shift[again]
     pos = (r["place"][row] & K.U64(0xFFFFFFFF)).astype(np.int64)
@@ -308,10 +329,38 @@ def compare_windows(r: np.ndarray, window: int, gram: int) -> np.ndarray:
     return _marks(r["doc"][g], 0, (r["place"][g] >> K.U64(32)).astype(np.int64), s, e)
 
 
+def _earlier(w: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows -> the earliest of each hash, and marks of the others."""
+    w = w[multikey_order([w["hash"], w["doc"], w["place"]])]
+    first = np.concatenate([[True], w["hash"][1:] != w["hash"][:-1]]) if len(w) else np.zeros(0, bool)
+    again = w[~first]
+    again = again[multikey_order([again["doc"], again["place"]])]
+    tie, start = (again["place"] >> K.U64(32)).astype(np.int64), (again["place"] & K.U64(0xFFFFFFFF)).astype(np.int64)
+    unit = np.cumsum(np.concatenate([[False], (again["doc"][1:] != again["doc"][:-1]) | (tie[1:] != tie[:-1])])) if len(again) else start
+    at = np.concatenate([[0], np.flatnonzero(np.diff(unit)) + 1])
+    g, s, e = merge_spans(unit, start, start + window)
+    return w[first], _marks(again["doc"][at[g]], 0, tie[at[g]], s, e)
+
+
+def _first_windows(r: np.ndarray, window: int, gram: int, rows: int = 1_000) -> tuple[np.ndarray, np.ndarray]:
+    """``_earlier`` of all windows over the anchors of records."""
+    found = []
+    for i in range(0, len(r), rows):
+        own = r[i:i + rows]
+        row, shift, h = window_hashes(own, window, gram)
+        w = np.zeros(len(row), HASHED)
+        w["hash"], w["doc"], w["place"] = h, own["doc"][row], own["place"][row] - shift.astype(np.uint64)
+        found.append(w)
+    return _earlier(np.concatenate(found), window)
+
+
 def _compare_ranges(window: int, gram: int, ranges: int, rows: int = 5_000):
     kind = _surrounded(window, gram)
 
-    def close(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    def close(held: list[np.ndarray], hashed: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        slices = sum(map(len, hashed)) // 250_000 + 1
+        for i in range(slices if hashed else 0):  # equal hashes fall in one slice
+            yield _mark_batch(_earlier(np.concatenate([w[w["hash"] % K.U64(slices) == i] for w in hashed]), window)[1], ranges)
         if not held:
             return
         r = np.concatenate(held)
@@ -324,14 +373,20 @@ def _compare_ranges(window: int, gram: int, ranges: int, rows: int = 5_000):
             lo = hi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, []
+        part, held, hashed = None, [], []
         for batch in batches:
-            for p, data in zip(batch["part"].to_pylist(), batch["data"]):
+            for p, what, data in zip(batch["part"].to_pylist(), batch["what"].to_pylist(), batch["data"]):
+                if what == 0:
+                    yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([data.as_py()], pa.binary())], ["part", "data"])
+                    continue
                 if p != part:
-                    yield from close(held)
-                    part, held = p, []
-                held.append(np.frombuffer(data.as_buffer(), kind))
-        yield from close(held)
+                    yield from close(held, hashed)
+                    part, held, hashed = p, [], []
+                if what == 1:
+                    held.append(np.frombuffer(data.as_buffer(), kind))
+                else:
+                    hashed.append(np.frombuffer(data.as_buffer(), HASHED))
+        yield from close(held, hashed)
 
     return run
 
@@ -367,7 +422,7 @@ def _cut(names: list[str], keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, ...) without its text, plus n_bytes,
     n_removed, n_spans (maximal removed runs), kept_sha256 and, with
     ``keep_text``, kept_text (code points that a cut leaves incomplete go; a
@@ -376,7 +431,9 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text
     Null text is empty; a null doc_id comes before all others; rows of equal
     id are ordered by text. Texts shorter than ``window`` bytes lose nothing.
     Texts are shuffled once (by doc_id) and that exchange is read three times:
-    for anchors, for the surroundings asked for, and for the result."""
+    for anchors, for the surroundings asked for, and for the result. Leading
+    bytes with more than ``hot`` surroundings are compared by window hashes,
+    which go to all tasks."""
     own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "k", "marks", "more"]
     names = [c for c in docs.columns if c not in [*own, "text"]]
     spark = docs.sparkSession
@@ -385,9 +442,9 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text
     # all columns go along, so that the exchange of ``dealt`` is the same one in all three places
     sent = dealt.sortWithinPartitions("k", "text").mapInArrow(K.tidy(_send_anchors(window, gram, p)), "part long, settled boolean, data binary")
     gathered = lambda blobs: blobs.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_gather), "k long, marks binary")
-    marks = gathered(sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_settle_ranges(p)), "part long, data binary"))
+    marks = gathered(sent.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_settle_ranges(p, hot)), "part long, data binary"))
     joined = dealt.join(marks, "k", "left")
-    surroundings = joined.sortWithinPartitions("k", "text").mapInArrow(K.tidy(_send_surroundings(window, gram, p)), "part long, data binary")
+    surroundings = joined.sortWithinPartitions("k", "text").mapInArrow(K.tidy(_send_surroundings(window, gram, p)), "part long, what int, data binary")
     more = gathered(surroundings.repartition(p, "part").sortWithinPartitions("part").mapInArrow(K.tidy(_compare_ranges(window, gram, p)), "part long, data binary")
                     ).withColumnRenamed("marks", "more")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema.fields)

@@ -81,3 +81,30 @@ def test_ties_across_batches():
     t = suffixes._Ties()
     got = [t.of(np.array(x)).tolist() for x in ([5, 5], [5, 7], [7], [], [7, 7, 8])]
     assert got == [[0, 1], [2, 0], [1], [], [2, 3, 0]]
+
+
+def test_common_line_is_spread():
+    """A line in all documents, each with its own text around it: no part gets
+    the group whole, and the marks are those of one comparison."""
+    rng, window, gram, n, parts = np.random.default_rng(6), 100, 20, 4000, 16
+    r = np.zeros(n, suffixes._surrounded(window, gram))
+    r["key"], r["doc"], r["place"], r["left"], r["right"] = 77, np.arange(n), 500, 80, 100
+    r["bytes"] = rng.integers(97, 123, (n, 180))
+    r["bytes"][:, 80:130] = r["bytes"][0, 80:130]
+    r["bytes"][2000:2100, 40:] = r["bytes"][5, 40:]  # some repeat more than the line
+    sent, marks = suffixes._first_windows(r, window, gram)
+    size = np.bincount(suffixes._part_of(sent["hash"], parts), minlength=parts)
+    assert size.max() < 1.2 * size.mean()
+    late = [suffixes._earlier(sent[suffixes._part_of(sent["hash"], parts) == i], window)[1] for i in range(parts)]
+    want = suffixes.compare_windows(r, window, gram)
+    got = np.concatenate([marks, *late])
+    g, s, e = suffixes.merge_spans(got["doc"], got["start"].astype(np.int64), got["end"].astype(np.int64))
+    assert len(want) and list(zip(g, s, e)) == [(x["doc"], x["start"], x["end"]) for x in want]
+
+
+def test_hot_lines_equal_brute_force(spark):
+    line = "a line that is found in every one of the documents"
+    rows = [(i, f"{random.Random(i % 50).random()} {'ab' * (i % 7)}\n{line}\n{random.Random(i % 30).random()} {'cd ' * (i % 40)}") for i in range(300)] + corpus(9)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for hot in (0, 3, 40):
+        assert got(suffixes.remove_repeats(df, hot=hot)) == brute(rows), hot
