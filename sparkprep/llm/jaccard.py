@@ -1,10 +1,10 @@
-"""N-gram Jaccard similarity join by a MinHash LSH forest (operator 10).
+"""N-gram Jaccard similarity join by MinHash LSH with fixed prefixes (operator 10).
 
-Every text gets ``trees`` sequences of ``deepest`` MinHash values. Sorted by
-such a sequence, texts form a prefix trie; two texts of similarity s share a
-prefix of k values in some tree with probability 1 - (1 - s^k)^trees. The
-prefix asked for starts at ``deepest`` and is shortened until that reaches the
-target recall at the threshold.
+Every text gets ``trees`` sequences of ``deepest`` MinHash values. Two texts of
+similarity s share a prefix of k values in some tree with probability
+1 - (1 - s^k)^trees. One k is taken for all texts (banding, not a forest): the
+largest up to ``deepest`` at which that reaches the target recall at the
+threshold. Texts meet by equality of the prefix's hash.
 
 Equal texts are one class from the start. Texts that share a prefix are
 compared by signature, which gives a spanning forest (not pairs) of likely
