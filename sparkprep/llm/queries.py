@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, quality, suffixes
+from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, quality, sharding, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -126,3 +126,13 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Similarity join of all documents on five-word shingles at Jaccard 0.8."""
     return jaccard.similarity_join(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op11_sharding")
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents shuffled into 24 shards of equal row counts."""
+    text = F.coalesce("text", F.lit(""))
+    rows = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    return sharding.shuffle_into_shards(rows, 24).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
