@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, quality, sharding, suffixes
+from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, periodic, quality, sharding, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -136,3 +136,29 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     return sharding.shuffle_into_shards(rows, 24).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _repeated_tail(doc_id, text):
+    """The text of every tenth document (by crc32 of its id) with its words from
+    the a-th on replaced by the p words there, over and over; other texts as they are."""
+    h = F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+    w = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size(w).cast("long"), F.floor(h / 10).cast("long")
+    a = F.when(n > 0, g % F.greatest(n, F.lit(1)))
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
+    again = F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), F.ceil((n - a) / p).cast("int")))
+    tail = F.slice(again, F.lit(1), (n - a).cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " ")).otherwise(text)
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, and the text without their repeats."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", _repeated_tail(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.collapse_runs(docs)
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -109,7 +109,7 @@ def communication_matrix(counts: DataFrame, shards: int, seed: int = 11) -> Data
     total, last = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.max("part"), F.lit(0))).first()
     levels = max(1, -(-int(last).bit_length() // _FAN_BITS))
     size = lambda j: F.lit(total // shards).cast("long") + F.when(j < total % shards, 1).otherwise(0)
-    cells = spark.range(1).select(F.lit(0).alias("node"), F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), size).alias("cells"))
+    cells = spark.range(1).select(F.col("id").cast("int").alias("node"), F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), size).alias("cells"))
     for level in reversed(range(levels)):
         low = F.shiftright("part", _FAN_BITS * level)
         nodes = counts.groupBy(F.shiftright("part", _FAN_BITS * (level + 1)).alias("node"), low.alias("child")).agg(F.sum("rows").alias("rows"))
