@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, periodic, quality, sharding, suffixes
+from . import chat, extraction, fingerprints, jaccard, langid, mixing, neighbours, packing, periodic, phrases, quality, sharding, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -162,3 +162,37 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
         (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
         F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+_OP12 = r"""
+with docs as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) as piece from docs),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+totals as (select lang, sum(len(ws))::bigint as n from w group by lang),
+grams as (select lang, m, ws[i:i + m - 1] as ws from (
+  select lang, m, ws, unnest(range(1, len(ws) - m + 2)) as i from w cross join (select unnest(range(1, 6)) as m))),
+freq as (select lang, m, ws, count(*) as f from grams group by lang, m, ws having count(*) >= 100),
+cuts as (
+  select c.lang, c.ws, c.m, c.f as a, k, x.f as l, y.f as r, n,
+    ((1000::hugeint * c.f * n) // (x.f::hugeint * y.f))::bigint as score
+  from freq c cross join (select unnest(range(1, 5)) as k) join totals using (lang)
+  join freq x on x.lang = c.lang and x.ws = c.ws[1:k]
+  join freq y on y.lang = c.lang and y.ws = c.ws[k + 1:]
+  where c.m > 1 and k < c.m),
+best as (select * from cuts qualify row_number() over (partition by lang, ws order by score, k) = 1),
+longer as (
+  select lang, ws[i:i + z - 1] as ws, max(f) as f from (
+    select lang, ws, f, z, unnest(range(1, m - z + 2)) as i from freq cross join (select unnest(range(2, 5)) as z) where m > z)
+  group by all),
+kept as (select best.* from best left join longer using (lang, ws) where longer.f is null or 100 * longer.f < 100 * a),
+named as (select lang, array_to_string(ws, ' ') as phrase, a, l, r, n, score from kept)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from named qualify rank <= 2000
+"""
+
+
+@register("op12_collocations", _OP12)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language by their weakest cut."""
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
