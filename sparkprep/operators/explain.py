@@ -1,6 +1,8 @@
 """Model explanation (EX1, EX2).
 
-EX1 reads the fitted trees' impurity importances. EX2 re-aims per-row
+EX1 reads the fitted trees' impurity importances, or measures how much a
+score falls when a feature's values are permuted. EX2 is exact in
+``attribution.py``; here it re-aims per-row
 additive attributions as sampled Shapley values computed by Spark: each
 row fans out to ``permutations x (features + 1)`` feature-mixing variants
 (a fixed fan-out, not a pairing of rows), the fitted model scores all
@@ -11,11 +13,15 @@ marginal contributions. Per permutation the contributions telescope, so
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import q
+from .bind import number_rows
 from .evaluate import positive_probability
+from .split import key_hash
 
 
 def feature_importance(pipeline_model, feature_cols: list[str]) -> DataFrame:
@@ -28,6 +34,36 @@ def feature_importance(pipeline_model, feature_cols: list[str]) -> DataFrame:
     return s.createDataFrame([(f, float(v), i + 1) for i, (f, v) in enumerate(rows)], "feature string, importance double, rank int")
 
 
+def permutation_importance(df: DataFrame, predict: Callable[[DataFrame], DataFrame], key: list[str], feature_cols: list[str],
+                           label: str = "label", metric: str = "accuracy", seed: int = 42) -> DataFrame:
+    """EX1: (feature, base, permuted, importance, rank): the metric
+    ("accuracy" or "f1" of class 1) of ``predict``, and of ``predict`` with
+    one feature permuted; importance is their difference.
+
+    Rows are put in the order of a hash of ``key`` and ``seed`` by a
+    distributed sort (then key, features and label), and each takes the feature's value of the next one (the
+    last one that of the first): a permutation without a fixed place, the same
+    for every feature. ``predict`` gets all variants of ``df``'s key, label and
+    features in one frame and adds ``prediction``. An empty frame gives nulls."""
+    rows = df.select(F.struct(*[q(c) for c in key]).alias("__key"), key_hash(key, seed).alias("__hash"), q(label).alias("__label"), F.struct(*[q(c) for c in feature_cols]).alias("__x"))
+    rows = number_rows(rows, [F.col("__hash"), F.col("__key"), F.col("__x"), F.col("__label")], "__no")
+    n = rows.count()
+    donors = rows.select(F.pmod(F.col("__no") - 1, F.lit(max(1, n))).alias("__no"), F.col("__x").alias("__y"))
+    variant = lambda i: F.struct(F.lit(i).alias("__variant"), *[F.col(f"__{'y' if j == i else 'x'}").getField(c).alias(c) for j, c in enumerate(feature_cols)])
+    fan = rows.join(donors, "__no").select("__key", "__label", F.inline(F.array(*[variant(i) for i in range(-1, len(feature_cols))])))
+    names = [c for c in key if c not in feature_cols]
+    scored = predict(fan.select("__variant", *[F.col("__key").getField(c).alias(c) for c in names], F.col("__label").alias(label), *feature_cols))
+    p, y = F.col("prediction").cast("int"), q(label).cast("int")
+    hits = F.sum(((p == 1) & (y == 1)).cast("long"))
+    score = {"accuracy": F.sum((p == y).cast("long")) / F.count("*"), "f1": F.try_divide(2 * hits, F.sum(p) + F.sum(y))}[metric]
+    got = scored.groupBy("__variant").agg(score.cast("double").alias("score"))
+    got = got.agg(F.map_from_entries(F.collect_list(F.struct("__variant", "score"))).alias("m"))  # a row a feature
+    each = F.transform(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(c).alias("feature")) for i, c in enumerate(feature_cols)]), lambda x: F.struct(
+        (F.try_element_at("m", x["i"]) - F.try_element_at("m", F.lit(-1))).alias("less"), x["feature"].alias("feature"), F.try_element_at("m", x["i"]).alias("permuted")))
+    out = got.select(F.try_element_at("m", F.lit(-1)).alias("base"), F.posexplode(F.array_sort(each)))
+    return out.select("col.feature", "base", "col.permuted", (-F.col("col.less")).alias("importance"), (F.col("pos") + 1).alias("rank"))
+
+
 def sampled_shapley(model, df: DataFrame, key: str, feature_cols: list[str], background: DataFrame,
                     permutations: int = 8, seed: int = 42, max_background: int = 10_000) -> DataFrame:
     """EX2: (key, feature, contribution) plus a ``__base__`` row per key.
