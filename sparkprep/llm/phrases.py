@@ -22,11 +22,13 @@ IS_GAP, IS_STOP = np.zeros(256, bool), np.zeros(256, bool)
 IS_GAP[[0x20, 0x09]] = True
 IS_STOP[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _COUNT = "lang string, phrase string, n long"
-#: A row of a relation: the words of a block (joined by spaces) with their hashes and languages; the block's
-#: occurrences in order of piece and position (word, whether the next one follows in the piece, group of the phrase that starts here or -1).
-_BLOCK = "langs array<string>, words string, lang_of binary, run binary, link binary, grp binary"
-_NAMES = ["lang", "phrase", "n", "langs", "words", "lang_of", "run", "link", "grp"]
+#: A row of a relation, a block of texts: its languages with the word occurrences of each, its words joined by
+#: spaces and the language of each, and the occurrences in order of piece and position: the word, whether the next
+#: occurrence follows it in the piece (bits), and the group of the phrase that starts here (0: none; of words: empty).
+_BLOCK = "langs array<string>, sizes array<long>, words string, lang_of binary, run binary, link binary, grp binary"
+_NAMES = ["langs", "sizes", "words", "lang_of", "run", "link", "grp"]
 _LANG_MULT = U64(0x9E6C63D0876A9A47)
+_HASH_BITS = 48
 
 
 def _occurrences(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -49,12 +51,12 @@ def _occurrences(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _phrase_hash(words: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
-    """Hash of phrases of one length from their words' hashes (a column a position) and languages'."""
+    """48-bit hash of phrases of one length from their words' hashes (a column a position) and languages'."""
     with np.errstate(over="ignore"):
         total = lang * _LANG_MULT
         for j, w in enumerate(words):
             total = total + w * WORD_MULT[j]
-    return mix(total)
+    return mix(total) >> U64(64 - _HASH_BITS)
 
 
 def _hashes(values: list[str]) -> np.ndarray:
@@ -62,15 +64,8 @@ def _hashes(values: list[str]) -> np.ndarray:
     return word_hashes(b, offsets[:-1], offsets[1:])
 
 
-def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
-    """Four places of each hash among ``size`` (a power of two) bits."""
-    with np.errstate(over="ignore"):
-        step = (h >> U64(32)) | U64(1)
-        return [(mix(h + U64(j) * step) & U64(size - 1)).astype(np.int64) for j in range(4)]
-
-
 class FrequentFilter:
-    """Bits that tell which phrases may be frequent: all frequent ones, and few others."""
+    """Bits that tell which hashes may be of frequent phrases: all of theirs, and few others."""
 
     def __init__(self, words: np.ndarray):
         self.words = words
@@ -82,136 +77,259 @@ class FrequentFilter:
         return ok
 
 
-def frequent_filter(frequent: DataFrame, most_bits: int = 1 << 28) -> FrequentFilter:
-    """The filter of ``frequent`` (lang, phrase; a written table): 16 bits a
-    phrase, at most ``most_bits`` (32 MB) whatever their number. Tasks turn
-    phrases into bits; those of one 64-bit word are joined before the driver
-    gets at most ``most_bits`` / 64 words."""
+def _bits(h: np.ndarray, size: int) -> list[np.ndarray]:
+    """Four places of each hash among ``size`` (a power of two) bits."""
+    with np.errstate(over="ignore"):
+        first, step = mix(h + U64(1)), mix(h + U64(2)) | U64(1)
+        return [((first + U64(j) * step) & U64(size - 1)).astype(np.int64) for j in range(4)]
+
+
+def frequent_filter(hashes: DataFrame, most_bits: int = 1 << 28) -> FrequentFilter:
+    """The filter of ``hashes`` (h long; a written table): 16 bits a hash, at
+    most ``most_bits`` (32 MB) whatever their number. Tasks turn hashes into
+    bits; those of one 64-bit word are joined before the driver gets at most
+    ``most_bits`` / 64 words."""
     size = 1 << 10
-    while size < min(16 * frequent.count(), most_bits):
+    while size < min(16 * hashes.count(), most_bits):
         size *= 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            phrases = [p.split(" ") for p in batch["phrase"].to_pylist()]
-            lang = _hashes(batch["lang"].to_pylist())
-            h = np.zeros(len(phrases), np.uint64)
-            size_of = np.array([len(p) for p in phrases], np.int64)
-            for m in np.unique(size_of):
-                k = np.flatnonzero(size_of == m)
-                flat = _hashes([w for i in k.tolist() for w in phrases[i]]).reshape(-1, m)
-                h[k] = _phrase_hash(list(flat.T), lang[k])
-            at = np.unique(np.concatenate(_bits(h, size))) if len(h) else np.zeros(0, np.int64)
+            at = np.unique(np.concatenate(_bits(batch["h"].to_numpy().view(np.uint64), size)))
             slot, first = np.unique(at >> 6, return_index=True)
             bits = np.bitwise_or.reduceat(U64(1) << (at & 63).astype(U64), first) if len(at) else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(bits.view(np.int64))], ["slot", "bits"])
 
-    found = frequent.select("lang", "phrase").mapInArrow(K.tidy(run), "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = hashes.select("h").mapInArrow(K.tidy(run), "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     words = np.zeros(size // 64, np.uint64)
     words[found["slot"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return FrequentFilter(words)
 
 
-def _rows(counts: tuple | None, block: tuple | None) -> pa.RecordBatch:
-    """A batch of a count for each group of a block, and the block's relation as one more row."""
-    lang, phrase, n = counts
-    more = 0 if block is None else 1
-    pad = lambda values, kind: pa.array([None] * len(phrase) + values, kind)
-    cols = [pa.concat_arrays([lang, pa.nulls(more, pa.string())]), pa.concat_arrays([phrase, pa.nulls(more, pa.string())]),
-            pa.concat_arrays([n, pa.nulls(more, pa.int64())])]
-    langs, words, *arrays = block if block is not None else (None,) * 6
-    cols += [pad([langs] * more, pa.list_(pa.string())), pad([words] * more, pa.string())] + [pad([a.tobytes()] * more if more else [], pa.binary()) for a in arrays]
-    return pa.RecordBatch.from_arrays(cols, _NAMES)
-
-
-def _first_level(docs: DataFrame) -> DataFrame:
-    """Occurrences of all words, and their counts by block."""
+def _narrow(x: np.ndarray) -> bytes:
+    """Numbers from 0 as bytes: a first byte tells their width."""
+    kind = np.uint16 if x.max(initial=0) < 1 << 16 else np.uint32
+    return bytes([np.dtype(kind).itemsize]) + x.astype(kind).tobytes()
+
+
+def _wide(raw: memoryview) -> np.ndarray:
+    return np.frombuffer(raw, {2: np.uint16, 4: np.uint32}[raw[0]], offset=1).astype(np.int64) if len(raw) else None
+
+
+class _Block:
+    """A row of a relation."""
+
+    def __init__(self, batch: pa.RecordBatch, r: int):
+        get = lambda c: memoryview(batch[c][r].as_buffer())
+        self.langs, self.sizes, self.text = batch["langs"][r].as_py(), batch["sizes"][r].as_py(), batch["words"][r].as_py()
+        self.words = self.text.split(" ")
+        self.lang_of, self.run, grp = _wide(get("lang_of")), _wide(get("run")), _wide(get("grp"))
+        self.link = np.unpackbits(np.frombuffer(get("link"), np.uint8), count=len(self.run)).astype(bool)
+        self.grp = self.run if grp is None else grp - 1
+
+    def groups(self) -> tuple[np.ndarray, np.ndarray]:
+        """The place of an occurrence of each group, and how many it has."""
+        place = np.flatnonzero(self.grp >= 0)
+        at = np.zeros(int(self.grp.max(initial=-1)) + 1, np.int64)
+        at[self.grp[place]] = place
+        return at, np.bincount(self.grp[place], minlength=len(at))
+
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the phrases of ``length`` words at the given places."""
+        h = _hashes(self.words)
+        return _phrase_hash([h[self.run[at + j]] for j in range(length)], _hashes(self.langs)[self.lang_of[self.run[at]]])
+
+    def only(self, keep: FrequentFilter, length: int) -> None:
+        """Semi-join: groups that the filter doesn't know lose their occurrences."""
+        at, _ = self.groups()
+        known = np.append(keep.has(self.hashes(at, length)), False)  # the last element answers for -1
+        self.grp = np.where(known[self.grp], self.grp, -1)
+
+    def extend(self) -> None:
+        """Merge-join of the occurrences with those that start one word on:
+        groups of phrases one word longer."""
+        i = np.flatnonzero((self.grp[:-1] >= 0) & (self.grp[1:] >= 0) & self.link[:-1])
+        _, new = np.unique(self.grp[i] * (int(self.grp.max(initial=0)) + 1) + self.grp[i + 1], return_inverse=True)
+        self.grp = np.full(len(self.run), -1, np.int64)
+        self.grp[i] = new
+
+    def row(self, length: int) -> tuple | None:
+        """The block without the words in no occurrence; None if there are no others."""
+        i = np.flatnonzero(self.grp >= 0)
+        if not len(i):
+            return None
+        edge = np.zeros(len(self.run) + 1, np.int64)
+        edge[i] += 1
+        edge[i + length] -= 1
+        inside = np.cumsum(edge[:-1]) > 0
+        used, run = np.unique(self.run[inside], return_inverse=True)
+        grp = self.grp[inside]
+        grp[grp >= 0] = np.unique(grp[grp >= 0], return_inverse=True)[1]
+        link = (self.link & np.append(inside[1:], False))[inside]
+        return self.langs, self.sizes, " ".join([self.words[k] for k in used.tolist()]), self.lang_of[used], run, link, grp
+
+
+def _relation(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows (langs, sizes, text, lang_of, run, link, grp) as a batch."""
+    kinds = [pa.list_(pa.string()), pa.list_(pa.int64()), pa.string()] + [pa.binary()] * 4
+    packed = [(a, b, c, _narrow(d), _narrow(e), np.packbits(f).tobytes(), b"" if g is None else _narrow(g + 1)) for a, b, c, d, e, f, g in rows]
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in packed], kind) for k, kind in enumerate(kinds)], _NAMES)
+
+
+def _word_occurrences(docs: DataFrame, limit: int = 1 << 20) -> DataFrame:
+    """The relation of all words, in blocks of about ``limit`` bytes of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             b, offsets = utf8(batch["text"])
             lang = batch["lang"].dictionary_encode()
             code, langs = lang.indices.to_numpy(zero_copy_only=False).astype(np.int64), lang.dictionary.to_pylist()
-            for lo, hi in chunks(offsets):
+            for lo, hi in chunks(offsets, limit):
                 own = b[offsets[lo]:offsets[hi]]
                 own = np.where((own >= 65) & (own <= 90), own | 32, own).astype(np.uint8)
                 s, e, row, link = _occurrences(own, offsets[lo:hi + 1] - offsets[lo])
                 if not len(s):
                     continue
-                ids, first, _ = word_ids(own, s, e)
+                ids, _, _ = word_ids(own, s, e)
+                mine = code[lo:hi][row]
                 # a word of two languages is two symbols
-                key, at, run_, n = np.unique(ids * len(langs) + code[lo:hi][row], return_index=True, return_inverse=True, return_counts=True)
+                key, at, symbol = np.unique(ids * len(langs) + mine, return_index=True, return_inverse=True)
                 raw = own.tobytes()
-                word, lang_of = [raw[i:j].decode() for i, j in zip(s[at].tolist(), e[at].tolist())], (key % len(langs)).astype(np.int32)
-                counts = (pa.array(langs, pa.string()).take(pa.array(lang_of)), pa.array(word, pa.string()), pa.array(n.astype(np.int64)))
-                run_ = run_.astype(np.int32)
-                yield _rows(counts, (langs, " ".join(word), lang_of, run_, link, run_))
-
-    return docs.select("text", "lang").mapInArrow(K.tidy(run), f"{_COUNT}, {_BLOCK}")
+                text = " ".join([raw[i:j].decode() for i, j in zip(s[at].tolist(), e[at].tolist())])
+                yield _relation([(langs, np.bincount(mine, minlength=len(langs)).tolist(), text, key % len(langs), symbol, link, None)])
+
+    return docs.select("text", "lang").mapInArrow(K.tidy(run), _BLOCK)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], length: int, known: FrequentFilter | None) -> Iterator[_Block]:
+    """Blocks whose groups are phrases of ``length`` words, from a relation of
+    phrases one word shorter (of words: itself) of which ``known`` tells the frequent ones."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            x = _Block(batch, r)
+            if length > 1:
+                if known is not None:
+                    x.only(known, length - 1)
+                x.extend()
+            yield x
+
+
+def _joined(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h, back = np.unique(h, return_inverse=True)
+    return h, np.bincount(back, weights=n, minlength=len(h)).astype(np.int64)
+
+
+def _packed(x: np.ndarray, width: int) -> bytes:
+    """Numbers byte by byte: all lowest bytes first, so that high ones compress."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def _unpacked(raw: memoryview, width: int) -> np.ndarray:
+    planes = np.frombuffer(raw, np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def frequent_hashes(relation: DataFrame, length: int, known: FrequentFilter | None, min_count: int, ranges: int, held: int = 1 << 18) -> DataFrame:
+    """Group count by hash: (h) of the groups that occur ``min_count`` times or
+    more. Tasks add up their blocks' groups, ``held`` of them at a time, and
+    send them packed by range of the hash, about 5 bytes each; counts from
+    ``min_count`` on are alike. A range's groups meet in one task, which grows
+    with neither the input (``ranges`` does) nor a group's size."""
+    shift, top = U64(_HASH_BITS - (ranges.bit_length() - 1)), min(min_count, (1 << 16) - 1)
+
+    def send(h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        cut = np.searchsorted(h, np.arange(ranges + 1, dtype=np.uint64) << shift)
+        rows = [(k, _packed(np.diff(h[i:j], prepend=U64(0)), 8), _packed(n[i:j], 2)) for k, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if j > i]
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["part", "h", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, n, more, size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
+        for x in _blocks(batches, length, known):
+            at, k = x.groups()
+            more.append((x.hashes(at, length), k))
+            size += len(at)
+            if size > held // 4:
+                h, n = _joined(np.concatenate([h, *[a for a, _ in more]]), np.concatenate([n, *[b for _, b in more]]))
+                more, size = [], 0
+                if len(h) > held:
+                    yield send(h, np.minimum(n, top))
+                    h, n = h[:0], n[:0]
+        h, n = _joined(np.concatenate([h, *[a for a, _ in more]]), np.concatenate([n, *[b for _, b in more]]))
+        yield send(h, np.minimum(n, top))
+
+    def add(table: pa.Table) -> pa.Table:
+        h, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in table.to_batches():
+            own = [np.cumsum(_unpacked(memoryview(x.as_buffer()), 8), dtype=np.uint64) for x in batch["h"]]
+            many = [_unpacked(memoryview(x.as_buffer()), 2).astype(np.int64) for x in batch["n"]]
+            h, n = _joined(np.concatenate([h, *own]), np.concatenate([n, *many]))
+        return pa.table({"h": h[n >= top].view(np.int64)})
+
+    sent = relation.select(*_NAMES).mapInArrow(K.tidy(count), "part int, h binary, n binary")
+    return sent.groupBy("part").applyInArrow(add, "h long")
+
+
+def _semi_joined(relation: DataFrame, length: int, known: FrequentFilter | None, keep: FrequentFilter) -> DataFrame:
+    """The relation of the frequent phrases of ``length`` words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in _blocks(batches, length, known):
+            x.only(keep, length)
+            row = x.row(length)
+            if row is not None:
+                yield _relation([row])
 
-def _longer(run_: np.ndarray, link: np.ndarray, grp: np.ndarray, alive: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Merge-join of the occurrences of live groups with those that start one
-    word on: starts, and the new group of each."""
-    grp = np.where((grp >= 0) & alive[grp], grp, -1).astype(np.int64)
-    i = np.flatnonzero((grp[:-1] >= 0) & (grp[1:] >= 0) & link[:-1])
-    _, first, new, n = np.unique(grp[i] * (int(grp.max(initial=0)) + 1) + grp[i + 1], return_index=True, return_inverse=True, return_counts=True)
-    return i, i[first], new, n
+    return relation.select(*_NAMES).mapInArrow(K.tidy(run), _BLOCK)
 
 
-def _next_level(relation: DataFrame, keep: FrequentFilter, length: int, last: bool) -> DataFrame:
-    """Phrases of ``length`` words from the relation of those one word shorter."""
+def _group_counts(relation: DataFrame, length: int, keep: FrequentFilter | None = None) -> DataFrame:
+    """(lang, phrase, n) of the groups of each block; of words, those that ``keep`` knows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                get = lambda c, kind: np.frombuffer(batch[c][r].as_buffer(), kind)  # noqa: B023, E731
-                langs, text = batch["langs"][r].as_py(), batch["words"][r].as_py()
-                word = text.split(" ")
-                lang_of, run_, link, grp = get("lang_of", np.int32), get("run", np.int32), get("link", bool), get("grp", np.int32)
-                h, lang_h = _hashes(word), _hashes(langs)[lang_of]
-                at = np.zeros(int(grp.max(initial=-1)) + 1, np.int64)
-                place = np.flatnonzero(grp >= 0)
-                at[grp[place[::-1]]] = place[::-1]
-                alive = keep.has(_phrase_hash([h[run_[at + j]] for j in range(length - 1)], lang_h[run_[at]]))
-                i, first, new, n = _longer(run_, link, grp, alive)
-                if not len(i):
-                    continue
-                texts = pa.array(word, pa.string())
-                spelled = pc.binary_join_element_wise(*[texts.take(pa.array(run_[first + j])) for j in range(length)], " ")
-                counts = (pa.array(langs, pa.string()).take(pa.array(lang_of[run_[first]])), spelled, pa.array(n.astype(np.int64)))
-                if last:
-                    yield _rows(counts, None)
-                    continue
-                edge = np.zeros(len(run_) + 1, np.int64)
-                edge[i] += 1
-                edge[i + length] -= 1
-                inside = np.cumsum(edge[:-1]) > 0
-                grp = np.full(len(run_), -1, np.int32)
-                grp[i] = new
-                link = link & np.append(inside[1:], False)
-                yield _rows(counts, (langs, text, lang_of, run_[inside], link[inside], grp[inside]))
+                x = _Block(batch, r)
+                at, n = x.groups()
+                if keep is not None:
+                    known = keep.has(x.hashes(at, length))
+                    at, n = at[known], n[known]
+                words = pa.array(x.words, pa.string())
+                spelled = pc.binary_join_element_wise(*[words.take(pa.array(x.run[at + j])) for j in range(length)], " ")
+                lang = pa.array(x.langs, pa.string()).take(pa.array(x.lang_of[x.run[at]]))
+                yield pa.RecordBatch.from_arrays([lang, spelled, pa.array(n)], ["lang", "phrase", "n"])
 
-    return relation.select(*_NAMES[3:]).mapInArrow(K.tidy(run), f"{_COUNT}, {_BLOCK}")
+    return relation.select(*_NAMES).mapInArrow(K.tidy(run), _COUNT)
 
 
-def phrase_counts(docs: DataFrame, min_count: int = 100, longest: int = 5) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, min_count: int = 100, longest: int = 5, range_words: int = 1 << 20) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of 1 to ``longest`` words that
     occur ``min_count`` times or more in their language, and (lang, n) of all
-    word occurrences. Each length's relation and counts are written, and read
-    for the next one. Only phrases both of whose shorter parts pass the filter
-    of frequent ones are joined; whoever passes by chance is counted, and out."""
-    level = materialise(_first_level(docs), "phrases1")
-    totals = materialise(level.filter("phrase is not null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    found = []
+    word occurrences.
+
+    The relation of all words is written. For each length the relation of
+    phrases one word shorter is merge-joined, its groups are counted by hash,
+    the occurrences of frequent groups are written (of words, picked out on
+    reading), and their phrases counted by themselves, which is what counts:
+    hashes that meet, and bits of the filter, only let a few more through.
+    Hashes are counted in a range for every ``range_words`` word occurrences."""
+    relation = materialise(_word_occurrences(docs), "occurrences1")
+    sizes = relation.select(F.explode(F.arrays_zip("langs", "sizes")).alias("x"))
+    totals = materialise(sizes.groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.sizes").alias("n")), "totals")
+    words = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ranges = 1 << max(0, int(words // range_words)).bit_length()
+    frequent, known = None, None
     for length in range(1, longest + 1):
-        counts = level.filter("phrase is not null").groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-        found.append(materialise(counts.select("lang", "phrase", F.lit(length).alias("words"), "f"), f"frequent{length}"))
-        if length < longest:
-            level = materialise(_next_level(level.filter("run is not null"), frequent_filter(found[-1]), length + 1, length + 1 == longest), f"phrases{length + 1}")
-    frequent = found[0]
-    for more in found[1:]:
-        frequent = frequent.unionByName(more)
+        keep = frequent_filter(materialise(frequent_hashes(relation, length, known, min_count, ranges), f"hashes{length}"))
+        if length == 1:
+            known, counts = keep, _group_counts(relation, 1, keep)
+        else:
+            relation, known = materialise(_semi_joined(relation, length, known, keep), f"occurrences{length}"), None
+            counts = _group_counts(relation, length)
+        counts = counts.groupBy("lang", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
+        level = materialise(counts.select("lang", "phrase", F.lit(length).alias("words"), "f"), f"frequent{length}")
+        frequent = level if frequent is None else frequent.unionByName(level)
     return frequent, totals
 
 

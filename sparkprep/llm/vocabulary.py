@@ -16,7 +16,7 @@ def _slices(start: np.ndarray, end: np.ndarray, limit: int):
         i = j
 
 
-def word_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 4 << 20) -> np.ndarray:
+def word_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
     """64-bit hash of each word, alike wherever it lies."""
     out = np.zeros(len(start), np.uint64)
     for i, j in _slices(start, end, limit):
@@ -24,7 +24,7 @@ def word_hashes(b: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int =
     return out
 
 
-def _bytes_agree(b: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray, limit: int = 4 << 20) -> bool:
+def _bytes_agree(b: np.ndarray, start: np.ndarray, end: np.ndarray, like: np.ndarray, limit: int = 1 << 20) -> bool:
     """Whether each word has the bytes of the word numbered in ``like``."""
     size = end - start
     if np.any(size != size[like]):

@@ -76,13 +76,24 @@ def test_filter_full_of_bits_loses_and_adds_nothing(spark, monkeypatch):
 
 
 def test_filter_holds_what_it_was_given(spark):
-    given = spark.createDataFrame([("en", f"w{i} x{i % 7}", 1) for i in range(500)] + [("de", "one", 1), ("de", "a b c", 1)], "lang string, phrase string, f long")
-    keep = phrases.frequent_filter(given.repartition(3))
-    h = phrases._hashes([f"w{i}" for i in range(2000)]), phrases._hashes([f"x{i % 7}" for i in range(2000)])
-    hit = keep.has(phrases._phrase_hash(list(h), np.repeat(phrases._hashes(["en"]), 2000)))
-    assert hit[:500].all() and hit[500:].mean() < 0.05
-    assert keep.has(phrases._phrase_hash([phrases._hashes([x]) for x in "abc"], phrases._hashes(["de"]))).all()
+    lang = np.repeat(phrases._hashes(["en"]), 2000)
+    h = phrases._phrase_hash([phrases._hashes([f"w{i}" for i in range(2000)]), phrases._hashes([f"x{i % 7}" for i in range(2000)])], lang)
+    given = spark.createDataFrame([(int(x),) for x in h[:500]], "h long").repartition(3)
+    keep = phrases.frequent_filter(given)
+    assert keep.has(h[:500]).all() and keep.has(h[500:]).mean() < 0.02
     assert len(phrases.frequent_filter(given, most_bits=1 << 10).words) == 16
+    assert not phrases.frequent_filter(given.limit(0)).has(h).any()
+
+
+@pytest.mark.parametrize("held", [8, 1 << 20])
+def test_group_count_by_hash(spark, held):
+    """Every word with enough occurrences is found, over many ranges and flushes, and hardly another."""
+    words = [f"w{i}" for i in range(300) for _ in range(i % 6 + 1)]
+    df = spark.createDataFrame([(" ".join(words[k::7]), "en") for k in range(7)], "text string, lang string").repartition(4)
+    relation = phrases._word_occurrences(df, limit=64)
+    got = {r.h for r in phrases.frequent_hashes(relation, 1, None, 4, 16, held).collect()}
+    own = phrases._phrase_hash([phrases._hashes([f"w{i}" for i in range(300)])], np.repeat(phrases._hashes(["en"]), 300))
+    assert got == {int(own[i]) for i in range(300) if i % 6 + 1 >= 4}
 
 
 def test_odd_rows(spark):
