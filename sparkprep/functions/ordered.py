@@ -100,17 +100,26 @@ def exact_quantiles(df: DataFrame, cols: dict[str, Column], probs: list[float],
     each bin's own least and greatest value), and the range shrinks to the bin
     that holds the rank, until that bin has one value only. State is ranks x
     bins rows, whatever the data; a pass is one scan with partial aggregation,
-    and doubles need a handful. Nulls and NaN are left out; a column without
-    values gives nulls."""
+    and doubles need a handful. Infinities are values at either end of the
+    ranks (halfway between the two is NaN). Nulls and NaN are left out; a
+    column without values gives nulls."""
     names = list(cols)
     value = {n: cols[n].cast("double") for n in names}
-    value = {n: F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v) for n, v in value.items()}
+    value = {n: F.when(~F.isnan(v), v) for n, v in value.items()}
     base = df.select(*[value[n].alias(f"v{i}") for i, n in enumerate(names)])
-    row = base.agg(*[f(F.col(f"v{i}")).alias(f"{k}{i}") for i in range(len(names)) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first() if names else None
+    top = float("inf")
+    finite = lambda v: F.when(F.abs(v) < top, v)
+    firsts = (("n", F.count), ("lo", lambda v: F.min(finite(v))), ("hi", lambda v: F.max(finite(v))), ("neg", lambda v: F.count_if(v == -top)), ("pos", lambda v: F.count_if(v == top)))
+    row = base.agg(*[f(F.col(f"v{i}")).alias(f"{k}{i}") for i in range(len(names)) for k, f in firsts]).first() if names else None
     ranks = {i: sorted({r for q in probs for x in [q * (row[f"n{i}"] - 1)] for r in (int(x), min(int(x) + 1, row[f"n{i}"] - 1))})
              for i in range(len(names)) if row[f"n{i}"]}
     found: dict[tuple[int, int], float] = {}
-    todo = {(i, r): (row[f"lo{i}"], row[f"hi{i}"], 0) for i, rs in ranks.items() for r in rs}  # range and the count below it
+    todo = {}  # range and the count below it
+    for i, r in [(i, r) for i, rs in ranks.items() for r in rs]:
+        if r < row[f"neg{i}"] or r >= row[f"n{i}"] - row[f"pos{i}"]:
+            found[(i, r)] = -top if r < row[f"neg{i}"] else top
+        else:
+            todo[(i, r)] = (row[f"lo{i}"], row[f"hi{i}"], row[f"neg{i}"])
     while todo:
         for key in [k for k, (lo, hi, _) in todo.items() if lo == hi]:
             found[key] = todo.pop(key)[0]
@@ -120,7 +129,8 @@ def exact_quantiles(df: DataFrame, cols: dict[str, Column], probs: list[float],
         parts = []
         for no, (i, lo, hi) in enumerate(ranges):
             v = F.col(f"v{i}")
-            bin_ = F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2) * bins), F.lit(bins - 1)).cast("int")
+            width = hi / 2 - lo / 2
+            bin_ = F.least(F.floor((v / 2 - F.lit(lo / 2)) / F.lit(width) * bins), F.lit(bins - 1)).cast("int") if width else (v >= hi).cast("int")
             parts.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(no).alias("no"), bin_.alias("bin"), v.alias("v"))))
         got = base.select(F.inline(F.filter(F.array(*parts), lambda x: x.isNotNull()))).groupBy("no", "bin").agg(
             F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()  # at most ranges x bins rows
@@ -142,6 +152,12 @@ def exact_quantiles(df: DataFrame, cols: dict[str, Column], probs: list[float],
                 continue
             x = q * (row[f"n{i}"] - 1)
             a, b = found[(i, int(x))], found[(i, min(int(x) + 1, row[f"n{i}"] - 1))]
-            own.append(a + (b - a) * (x - int(x)))
+            part = x - int(x)
+            if a == b or not part:
+                own.append(a)
+            elif abs(a) == top or abs(b) == top:
+                own.append(a * (1 - part) + b * part)
+            else:
+                own.append(a + (b - a) * part)
         out[name] = own
     return out

@@ -309,3 +309,25 @@ def outliers(spark, sf):
 def head_rows(spark, sf):
     """PR22/ST4: first rows by key (a top-k report)."""
     return P.head(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), 5, ["o_orderkey"])
+
+
+@register("quantiles_infinite", """
+with x as (
+  select case when l_linenumber = 1 then 'infinity'::double when l_linenumber = 2 then '-infinity'::double when l_linenumber = 3 then 'nan'::double
+    when l_linenumber <> 4 then l_extendedprice::double end as mixed,
+    case when l_linenumber <= 4 then 'infinity'::double else l_quantity::double end as high from lineitem),
+y as (select case when not isnan(mixed) then mixed end as mixed, high from x)
+select 'mixed' as name, count(mixed) as n, quantile_cont(mixed, 0.05) as p05, quantile_cont(mixed, 0.5) as p50, quantile_cont(mixed, 0.95) as p95 from y
+union all select 'high', count(high), quantile_cont(high, 0.05), quantile_cont(high, 0.5), quantile_cont(high, 0.95) from y
+""")
+def quantiles_infinite(spark, sf):
+    """PR10 / PR20: exact quantiles of columns with infinities at both ends, NaN and nulls."""
+    from ..functions.ordered import exact_quantiles
+
+    n, inf = F.col("l_linenumber"), float("inf")
+    df = table(spark, sf, "lineitem").select(
+        F.when(n == 1, F.lit(inf)).when(n == 2, F.lit(-inf)).when(n == 3, F.lit(float("nan"))).when(n != 4, F.col("l_extendedprice").cast("double")).alias("mixed"),
+        F.when(n <= 4, F.lit(inf)).otherwise(F.col("l_quantity").cast("double")).alias("high"))
+    found = exact_quantiles(df, {c: F.col(c) for c in df.columns}, [0.05, 0.5, 0.95])
+    counts = df.agg(*[F.count(F.when(~F.isnan(c), F.col(c))).alias(c) for c in df.columns]).first()
+    return spark.createDataFrame([(c, counts[c], *found[c]) for c in df.columns], "name string, n long, p05 double, p50 double, p95 double")

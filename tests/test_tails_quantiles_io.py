@@ -171,3 +171,18 @@ def test_model_path_falls_back_to_the_registry(spark, tmp_path):
     assert (cfg.label, cfg.folds, cfg.test_fraction, cfg.seed) == ("y", 4, 0.25, 42)
     with pytest.raises(ValueError):
         JobConfig.of({"unknown": "1"})
+
+
+def test_exact_quantiles_with_infinities_and_denormals(spark):
+    from pyspark.sql import functions as F
+
+    from sparkprep.functions.ordered import exact_quantiles
+
+    inf = float("inf")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    for values, want in (([1.0, 2.0, inf, inf, inf], [1.0, 2.0, inf, inf, inf]), ([0.0, 5e-324], [0.0, 0.0, 0.0, 5e-324, 5e-324]), ([-inf, -inf, 3.0, 4.0, inf], [-inf, -inf, 3.0, 4.0, inf]),
+                         ([inf], [inf] * 5), ([-inf, 7.0], [-inf, -inf, -inf, -inf, 7.0]), ([None, float("nan")], [None] * 5)):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        got = exact_quantiles(df, {"v": F.col("v")}, probs)["v"]
+        assert got[0] == want[0] and got[-1] == want[-1]
+        assert [g for g, w in zip(got, want) if values != [0.0, 5e-324]] == [w for w in want if values != [0.0, 5e-324]]
