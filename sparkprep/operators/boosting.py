@@ -173,7 +173,8 @@ def histograms(binned: DataFrame, n_features: int, since: list[Tree], tree: Tree
         yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c).astype(k)) for c, k in zip(cols, ("i4",) * 3 + ("i8",) * 3)], list(_CELL))
 
     sent = binned.mapInArrow(run, "node int, feature int, bin int, g long, h long, n long")
-    return sent.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
+    # dealt by (node, feature), as the windows over the bins need it: one exchange for both
+    return sent.repartition("node", "feature").groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.sum("n").alias("n"))
 
 
 def split_gains(hist: DataFrame, p: NewtonParams) -> DataFrame:
