@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .store import materialise, small_or_shuffled
 
 DIMS = 4096
 #: Rows whose dense vectors are in memory at a time.
@@ -65,7 +66,7 @@ class Centroids:
     the cosine below which a text of that length that is nearest to the
     language belongs to no learned language."""
 
-    langs: list[str]       # of each centroid
+    langs: list[str]       # of each centroid, sorted
     centre: np.ndarray     # (centroids, DIMS)
     idf: np.ndarray
     names: list[str]       # of the languages, sorted
@@ -73,8 +74,8 @@ class Centroids:
 
     def best(self, vectors: np.ndarray) -> np.ndarray:
         """(rows, languages) cosine with the nearest centroid of each language."""
-        sim = vectors @ self.centre.T
-        return np.stack([sim[:, [x == name for x in self.langs]].max(axis=1) for name in self.names], axis=1)
+        first = [i for i, lang in enumerate(self.langs) if not i or lang != self.langs[i - 1]]
+        return np.maximum.reduceat(vectors @ self.centre.T, first, axis=1)
 
     def least(self, top: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The bound of language ``top`` at ``size`` bytes: linear in the
@@ -88,11 +89,13 @@ class Centroids:
 
 
 def _pieces(texts: list[str], length: int, most: int = 4) -> list[str]:
-    """Up to ``most`` adjoining pieces of ``length`` bytes of each text that has them, from its beginning."""
+    """Up to ``most`` pieces of ``length`` bytes of each text that has them, evenly spread over the whole text."""
     out = []
     for text in texts:
-        raw = text[:most * length].encode()
-        out += [raw[i:i + length].decode("utf-8", "ignore") for i in range(0, min(len(raw), most * length) - length + 1, length)]
+        raw = text.encode()
+        n = min(most, len(raw) // length)
+        starts = [(2 * i + 1) * len(raw) // (2 * n) - length // 2 for i in range(n)]
+        out += [raw[i:i + length].decode("utf-8", "ignore") for i in starts]
     return [x for x in out if has_letter(x)]
 
 
@@ -134,7 +137,7 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return c
 
 
-def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, max_langs: int = 200,
+def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4,
                   quantile: float = 0.01, margin: float = 0.9, foreign: float = 0.1) -> Centroids:
     """``labelled`` (id long, text, lang): document frequencies come from all of
     its rows, the clustered centroids from about ``per_lang`` rows a language
@@ -144,7 +147,7 @@ def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, m
     these of several lengths give each language's bounds (``_bounds``). A language with a text or two learns its bounds from
     those. Null langs and texts without a letter teach nothing. With no
     labelled rows there are no centroids."""
-    labelled = labelled.filter("lang is not null and text is not null")
+    labelled = labelled.select("id", "text", "lang").filter("lang is not null and text is not null")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, rows = np.zeros(DIMS, np.int64), 0
@@ -161,17 +164,15 @@ def fit_centroids(labelled: DataFrame, per_lang: int = 300, clusters: int = 4, m
     for gram, n in found:
         df[gram + 1] = n
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    counts = sorted(((r[1], r[0]) for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()), reverse=True)
-    if not counts:
-        return Centroids([], np.zeros((0, DIMS), np.float32), idf.astype(np.float32), [], np.zeros((0, len(LENGTHS))))
-    share = F.lit(0.0)
-    for n, lang in counts:
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.5 * per_lang / n))).otherwise(share)
+    rates = labelled.groupBy(F.col("lang").alias("of")).agg(F.least(F.lit(1.0), F.lit(1.5 * per_lang) / F.count("*")).alias("rate"))
     draw = F.pmod(F.xxhash64("id", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(draw < share).select("lang", "text", draw.alias("draw")).collect()
+    drawn = labelled.join(small_or_shuffled(materialise(rates, "rates")), F.col("lang") == F.col("of")).filter(draw < F.col("rate"))
+    by_lang: dict[str, list] = {}
+    for r in drawn.select("lang", "text", draw.alias("draw")).collect():
+        by_lang.setdefault(r.lang, []).append(r)
     langs, centres, held = [], [], {}
-    for lang in sorted({r.lang for r in sample}):
-        texts = [r.text for r in sorted((r for r in sample if r.lang == lang), key=lambda r: (r.draw, r.text)) if has_letter(r.text)]
+    for lang, sample in sorted(by_lang.items()):
+        texts = [r.text for r in sorted(sample, key=lambda r: (r.draw, r.text)) if has_letter(r.text)]
         if not texts:
             continue
         x = np.concatenate(list(_text_vectors([t for i, t in enumerate(texts) if i % 3 != 2], idf.astype(np.float32))))

@@ -96,3 +96,15 @@ def test_langid_rejects_unlearned_latin_text(spark):
     short = docs.select(F.substring("text", 1, 40).alias("text")).filter("length(text) = 40")
     kept = langid.identify(short, model).filter("not rejected").count()
     assert langid.identify(docs, model).filter("rejected").count() == 0 and kept >= 0.99 * short.count()
+
+
+def test_every_language_is_learned(spark):
+    rows = [(40 * i + j, " ".join(f"w{i:03d}{chr(97 + i % 26)}{chr(97 + i // 26)}q" for _ in range(5 + j)), f"l{i:03d}") for i in range(250) for j in range(1 + 2 * (i < 3))]
+    model = langid.fit_centroids(spark.createDataFrame(rows, "id long, text string, lang string").selectExpr("*", "0 as rate", "'x' as of"))
+    assert model.names == sorted({r[2] for r in rows}) and set(model.langs) == set(model.names)
+
+
+def test_bounds_come_from_whole_texts():
+    pieces = langid._pieces(["a" * 100 + "b" * 100 + "c" * 100 + "d" * 100], 50)
+    assert pieces == ["a" * 50, "b" * 50, "c" * 50, "d" * 50] and langid._pieces(["ab"], 8) == []
+    assert all(x.strip("é") == "" and x for x in langid._pieces(["é" * 101], 33))
