@@ -22,11 +22,28 @@ _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>", re.S)
 _ATTR = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
+_SELF_CLOSING = re.compile(r"(?:^|[\s\"'])/\s*\Z|=\s*(?:\"[^\"]*\"|'[^']*')\s*/\s*\Z|(?:^|\s)[^\s=\"']+/\s*\Z")
+
+
+def _inline(tag: str) -> bool:
+    return tag in INLINE or ":" in tag  # elements within svg and math are named svg:path, math:mi
+
+
+def _foreign(stack: list[tuple[str, frozenset[str], int]]) -> str:
+    """svg or math if the innermost open element lies within one, unless within its HTML content (foreignObject)."""
+    for t, _, _ in reversed(stack):
+        if t in ("svg", "math"):
+            return t
+        if t in ("svg:foreignobject", "svg:desc", "math:annotation-xml"):
+            break
+    return ""
 
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea template iframe noembed noframes xmp svg math".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style title textarea template iframe noembed noframes".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr svg math".split())
+#: HTML elements that end an open svg or math element, as the HTML standard lists them.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -44,13 +61,17 @@ def parse(page: str | None) -> list[Block]:
     """DOM leaf blocks: runs of text between boundaries of block elements, with
     character references decoded and white space turned into single spaces;
     empty ones are left out. Content of scripts, styles and the like is not
-    text. Unclosed and unmatched tags are taken as browsers mostly do."""
+    text; that of math and svg elements is text within its line, that of xmp a
+    block as it stands. Only elements within svg and math can close
+    themselves by a slash. Unclosed and unmatched tags are taken as browsers
+    mostly do."""
     page = page or ""
     blocks: list[Block] = []
     stack: list[tuple[str, frozenset[str], int]] = []
     run: list[str] = []
     link_runs: list[int] = []
     number = at = 0
+    any_foreign = False
 
     def flush() -> None:
         if run:
@@ -63,7 +84,7 @@ def parse(page: str | None) -> list[Block]:
             link_runs.clear()
 
     def pop_to(i: int) -> None:
-        if any(t not in INLINE for t, _, _ in stack[i:]):
+        if not all(_inline(t) for t, _, _ in stack[i:]):
             flush()
         del stack[i:]
 
@@ -85,35 +106,52 @@ def parse(page: str | None) -> list[Block]:
             continue
         tag, closing, attrs = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
         if closing:
+            if stack and stack[-1][0].startswith("svg:"):
+                run.append(" ")
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if stack[i][0].rpartition(":")[2] == tag:
                     pop_to(i)
                     break
-                if tag in INLINE and stack[i][0] not in INLINE:
+                if tag in INLINE and not _inline(stack[i][0]):
                     break  # an inline end tag doesn't close blocks
             else:
                 if tag not in INLINE:
                     flush()
             continue
-        if tag in VOID:
+        foreign = _foreign(stack) if any_foreign else ""
+        any_foreign = any_foreign or tag in ("svg", "math")
+        if foreign and tag in BREAKOUT:
+            foreign = ""
+            pop_to(max(i for i, x in enumerate(stack) if x[0] in ("svg", "math")))
+        closed = bool((foreign or tag in ("svg", "math")) and _SELF_CLOSING.search(attrs))
+        if tag in VOID and not foreign:
             if tag == "hr":
                 flush()
             elif tag == "br":
                 run.append(" ")
             continue
-        if tag in RAW:
-            if not attrs.rstrip().endswith("/"):
+        if tag in RAW or tag == "xmp" and not foreign:
+            if not closed:
                 end = re.compile(rf"</{re.escape(tag)}\s*/?>", re.I).search(page, at)
+                if tag == "xmp":
+                    flush()
+                    stack.append((tag, frozenset(), number := number + 1))
+                    say(html.escape(page[at:end.start() if end else len(page)]))
+                    pop_to(len(stack) - 1)
                 at = end.end() if end else len(page)
             run.append(" ")
             continue
-        if tag not in INLINE:
+        if foreign:
+            if foreign == "svg":
+                run.append(" ")
+            tag = f"{foreign}:{tag}"
+        if not _inline(tag):
             flush()
             for i in range(len(stack) - 1, -1, -1):  # an open paragraph ends where a block begins
                 if stack[i][0] == "p":
                     del stack[i:]
                     break
-                if stack[i][0] not in INLINE:
+                if not _inline(stack[i][0]):
                     break
             if tag in CLOSES:
                 for i in range(len(stack) - 1, -1, -1):
@@ -124,7 +162,7 @@ def parse(page: str | None) -> list[Block]:
                         break
         marks = frozenset(w for x in _ATTR.finditer(attrs) for w in _TOKEN.findall((x[2] or x[3] or x[4] or "").lower()))
         number += 1
-        if not attrs.rstrip().endswith("/"):
+        if not closed:
             stack.append((tag, marks, number))
     flush()
     return blocks
@@ -154,7 +192,7 @@ def features(blocks: list[Block]) -> list[list[int]]:
     any_article = any("article" in b.tags or "main" in b.tags for b in blocks)
     for i, b in enumerate(blocks):
         n, words = len(b.text), b.text.count(" ") + 1
-        leaf = next((t for t in reversed(b.tags) if t not in INLINE), "")
+        leaf = next((t for t in reversed(b.tags) if not _inline(t)), "")
         size = min(words.bit_length(), 9)
         density = min(4, 4 * b.linked // max(1, n))
         end = "." if b.text[-1] in ".!?…\"”»" else ":" if b.text[-1] == ":" else "-"
@@ -166,9 +204,8 @@ def features(blocks: list[Block]) -> list[list[int]]:
         f.append(f"marks={bool(b.marks)}")
         if b.text[0] in "©®" or "©" in b.text:
             f.append("copyright")
-        capitals = sum(map(str.isupper, b.text[:200]))
-        f.append(f"capitals={min(3, 8 * capitals // min(n, 200))}")
-        f.append(f"digits={min(3, 8 * sum(map(str.isdigit, b.text[:200])) // min(n, 200))}")
+        f.append(f"capitals={min(3, 8 * sum(map(str.isupper, b.text)) // n)}")
+        f.append(f"digits={min(3, 8 * sum(map(str.isdigit, b.text)) // n)}")
         if i:
             p = blocks[i - 1]
             f.append(f"same={p.inside[-1:] == b.inside[-1:]} {p.inside[:-1] == b.inside[:-1]}")
@@ -376,11 +413,14 @@ def training_page(texts: list[str], extra: list[str], rng: random.Random) -> tup
     return blocks, labels
 
 
-def train_extractor(pages: DataFrame, most: int = 200, layouts: int = 3, seed: int = 5) -> CRF:
+def train_extractor(pages: DataFrame, most: int = 200, layouts: int = 3, seed: int = 5, most_blocks: int = 120, most_texts: int = 40) -> CRF:
     """CRF from ``most`` pages at most (the documented bound of the fit; drawn
     by a hash of page_id), labelled by ``weak_labels`` as they are and, so that
     it does not lean on one site's markup, with their texts set in ``layouts``
-    random layouts each."""
+    random layouts each. Two further bounds of the fit: a page with more than
+    ``most_blocks`` blocks teaches by its first and last halves of that many,
+    and a random layout holds at most ``most_texts`` texts, evenly spread over
+    the page's. Extraction itself has no bounds."""
     draw = F.xxhash64("page_id", F.lit(seed))
     known = pages.filter("html is not null and page_id is not null")
     ids = known.select("page_id").orderBy(draw, "page_id").limit(most).distinct()  # narrow: only ids are gathered
@@ -393,10 +433,11 @@ def train_extractor(pages: DataFrame, most: int = 200, layouts: int = 3, seed: i
         if blocks:
             known.append((blocks, labels))
     extra = [b.text for blocks, _ in known for b in blocks]
-    made = [training_page([b.text for b, y in zip(blocks, labels) if y][:40], extra, rng)
+    spread = lambda x: [x[i] for i in sorted(set(np.linspace(0, len(x) - 1, min(len(x), most_texts)).astype(int).tolist()))]
+    made = [training_page(spread([b.text for b, y in zip(blocks, labels) if y]), extra, rng)
             for blocks, labels in known if any(labels) for _ in range(layouts)]
-    # long pages teach by their beginnings and ends only here, in training
-    cut = lambda s: s if len(s[0]) <= 120 else (s[0][:60] + s[0][-60:], s[1][:60] + s[1][-60:])
+    half = max(1, most_blocks // 2)
+    cut = lambda s: s if len(s[0]) <= most_blocks else (s[0][:half] + s[0][-half:], s[1][:half] + s[1][-half:])
     return fit_crf([cut(s) for s in known + made])
 
 

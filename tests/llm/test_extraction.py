@@ -67,6 +67,31 @@ def test_odd_pages(spark, model):
     assert X.extract_text(df, blank).count() == len(rows)
 
 
+@pytest.mark.parametrize("page, texts", [
+    ("<p>before <math><mi>x</mi><mo>=</mo><mn>2</mn></math> after</p>", ["before x=2 after"]),
+    ("<p>a <svg><path d='m/'/>icon</svg> b</p><p>c", ["a icon b", "c"]),
+    ("<p>a</p><svg><g><p>rest</p><p>more</p>", ["a", "rest", "more"]),
+    ("<math><mi>x</mi><p>after", ["x", "after"]),
+    ("<xmp><b>1 &lt; 2</b></xmp><p>x</p>", ["<b>1 &lt; 2</b>", "x"]),
+    ("<xmp>open", ["open"]),
+    ("<p>a<script src='a.js'/>var x=1;</script>b</p>", ["a b"]),
+    ("<svg><style/><text>A</text><text>B</text></svg><p>z", ["A B", "z"]),
+    ("<svg><foreignObject><p>in</p><p>two</p></foreignObject></svg>", ["in", "two"]),
+])
+def test_nothing_else_is_dropped(page, texts):
+    assert [b.text for b in X.parse(page)] == texts
+
+
+def test_slashes_close_no_html_element():
+    inside, link = X.parse("<section data-u=/foo/>t</section><a href=/x/>link</a>")
+    assert inside.tags == ("section",) and link.linked == 4
+
+
+def test_shares_are_of_whole_blocks():
+    late, plain = X.parse(f"<p>{'word ' * 60}{'7' * 900}</p>"), X.parse(f"<p>{'word ' * 60}{'x' * 900}</p>")
+    assert X.features(late) != X.features(plain)
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(0)
     blocks = X.parse("".join(f"<p>word {'x' * i}</p>" for i in range(8)))
