@@ -141,39 +141,56 @@ def mix_copies(units: DataFrame, seed: int = 11, bucket_rows: int = 4096, fan_in
     return done if done is not None else units.select("rank", "u", F.lit(0).alias("up")).limit(0)
 
 
-def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 11) -> DataFrame:
+def mix_sources(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: float = 3.0, seed: int = 11, chunk: int = 4096) -> DataFrame:
     """Every row of ``docs`` (doc_id, text, source, ...) with what a mix takes
     of it: docs' own columns plus mix_size, mix_source_size, mix_target and
-    mix_copies (names that docs already has are overwritten).
-
-    mix_copies is floor(target/source size) or one more, decided by
-    ``mix_copies``; it never exceeds ceil(most). Rows that agree in doc_id,
-    source and size are one unit and get equal copies. A null text has size 0;
-    documents of size 0 take part with 0 words and get floor copies; a source
-    of size 0 has target 0; an empty table gives an empty table. A null
-    doc_id is a value like any other."""
+    mix_copies (names that docs already has are overwritten; any other name is
+    kept).
+
+    Equal rows form one unit. A unit of r rows expects r*target/source size
+    copies; the fraction of that number is rounded by ``mix_copies``, and the
+    whole is dealt to the rows evenly, so that copies of equal rows differ by
+    one at most and never exceed ceil(most). Equal rows are aggregated before
+    they are shuffled and dealt out again in runs of ``chunk`` rows. A null
+    text has size 0; documents of size 0 take part with 0 words and get floor
+    copies; a source of size 0 has target 0; an empty table gives an empty
+    table. A null doc_id is a value like any other."""
+    spark = docs.sparkSession
     own = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
     docs = docs.drop(*own)
+    maps = {f.name for f in docs.schema.fields if "map<" in f.dataType.simpleString()}
+    content = F.xxhash64(*[F.to_json(F.struct(c)) if c in maps else F.col(c) for c in docs.columns])
+    key = ["doc_id", "source", "size", "content"]
+    keyed = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), content.alias("content"), F.struct(*docs.columns).alias("row"))
     # narrow, written once: the word counts feed the statistics and the units
-    sized = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-                        .groupBy("doc_id", "source", "size").agg(F.count("*").alias("rows")), "sizes")
+    sized = materialise(keyed.groupBy(*key).agg(F.count("*").alias("rows")), "sizes")
     stats = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
     targets = materialise(source_targets(stats, cycle, most), "targets")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    expected = F.when(F.col("source_size") > 0, F.col("rows") * (F.col("target") / F.col("source_size"))).otherwise(F.lit(0.0))
     units = sized.join(small_or_shuffled(targets), sized["source"].eqNullSafe(targets["source"])).select(
-        sized["doc_id"], sized["source"], "size", "rank", "source_size", "target", rate.alias("rate"),
-        F.xxhash64(sized["doc_id"], "size", F.lit("unit")).alias("u"), (F.col("size") * F.col("rows")).cast("double").alias("words"))
-    floor = F.floor("rate")
-    fraction = F.col("rate") - floor
-    ups = mix_copies(units.select("rank", "u", "words", fraction.alias("p")), seed).groupBy("rank", "u").agg(F.max("up").alias("up"))
-    decided = units.join(ups, ["rank", "u"], "left").select(
-        F.col("doc_id").alias("mix_d"), F.col("source").alias("mix_s"), F.col("size").alias("mix_z"),
-        F.col("source_size").cast("long").alias("mix_source_size"), F.col("target").alias("mix_target"),
-        (floor + F.coalesce("up", F.lit(0))).cast("int").alias("mix_copies"))
-    out = docs.withColumn("mix_size", word_count(F.col("text")))
-    same = (F.col("doc_id").eqNullSafe(F.col("mix_d")) & F.col("source").eqNullSafe(F.col("mix_s"))
-            & (F.col("mix_size") == F.col("mix_z")))
-    return out.join(decided, same).drop("mix_d", "mix_s", "mix_z").select(*docs.columns, *own)
+        *[sized[c] for c in key], "rows", "rank", "source_size", "target", expected.alias("expected"), F.xxhash64("doc_id", "size", "content", F.lit("unit")).alias("u"))
+    whole = F.floor("expected")
+    ups = mix_copies(units.select("rank", "u", F.col("size").cast("double").alias("words"), (F.col("expected") - whole).alias("p")), seed)
+    decided = units.join(ups.groupBy("rank", "u").agg(F.max("up").alias("up")), ["rank", "u"], "left").select(
+        *[F.col(c).alias(f"unit_{c}") for c in key], "rows", F.col("source_size").cast("long").alias("mix_source_size"), F.col("target").alias("mix_target"),
+        (whole + F.coalesce("up", F.lit(0))).alias("copies"))
+
+    def same(names):
+        on = F.lit(True)
+        for c in names:
+            on = on & F.col(c).eqNullSafe(F.col(f"unit_{c}"))
+        return on
+
+    result = lambda df, copies: df.select("row.*", F.col("size").alias("mix_size"), "mix_source_size", "mix_target", copies.cast("int").alias("mix_copies"))
+    single = result(keyed.join(decided.filter("rows = 1"), same(key)), F.col("copies"))
+    again = sized.filter("rows > 1")
+    ids = small_or_shuffled(materialise(again.select(F.col("doc_id").alias("unit_doc_id")).distinct(), "repeated"))
+    repeated = keyed.join(ids, same(["doc_id"]), "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+    repeated = repeated.join(decided.filter("rows > 1"), same(key)).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / chunk))))
+    repeated = repeated.repartition(partitions(spark), *key, "run").withColumn(
+        "no", F.explode(F.sequence(F.col("run") * chunk, F.least(F.col("rows"), (F.col("run") + 1) * chunk) - 1)))
+    each = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("no") < F.col("copies") % F.col("rows"), 1).otherwise(0)
+    return single.unionByName(result(repeated, each))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

@@ -140,6 +140,18 @@ def test_mixing_odd_rows(spark):
     assert mixed.columns == odd_docs(spark).columns and mixed.filter("mix_copies <> 'x'").count() == 0
 
 
+def test_mixing_repeated_rows_reach_their_targets(spark):
+    rows = [(1, "one two", "s")] * 60 + [(2, "three four", "t")] * 40 + [(3, "x y z", "t"), (3, "x y z", None), (3, "z y x", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "'m' as mix_d", "1 as row", "2 as unit_doc_id", "map('a', source) as size")
+    for chunk in (7, 4096):
+        got = mixing.mix_sources(df, chunk=chunk).collect()
+        mix = _check_mix([(r[2], r[1]) for r in rows], [(r.source, r.mix_size, r.mix_source_size, r.mix_target, r.mix_copies * r.mix_size) for r in got])
+        assert all(abs(taken - target) <= largest for taken, target, largest in mix.values())
+        assert max(r.mix_copies for r in got if r.doc_id == 1) - min(r.mix_copies for r in got if r.doc_id == 1) <= 1
+        assert {(r.mix_d, r.row, r.unit_doc_id, r.size["a"] == r.source) for r in got} == {("m", 1, 2, True)}
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_sources(df.repartition(5)).collect()))
+
+
 def test_mixing_tree_levels(spark):
     units = spark.range(4000).select(F.lit(0).alias("rank"), F.xxhash64("id").alias("u"), (F.col("id") % 50 + 1).cast("double").alias("words"), F.lit(0.37).alias("p"))
     got = mixing.mix_copies(units, bucket_rows=20, fan_in=4).join(units, "u")
@@ -159,6 +171,8 @@ def test_chat_round_trip_and_flags(spark):
         assert r.learned == [x for _, role, x in own if role == "assistant"]
     valid = {r.conv_id: r.valid for r in chat.chat_documents(df).collect()}
     assert all(valid[c] for c in range(9)) and not any(valid[c] for c in (20, 21, 22, None, 23))
+    bad = {r.conv_id: r.first_bad for r in chat.chat_documents(df).collect()}
+    assert all((bad[c] is None) == valid[c] for c in bad) and [bad[c] for c in (20, 21, 22, 23)] == [1, 1, 1, 1]
     segs = chat.chat_segments(df).orderBy("conv_id", "no", "part").collect()
     text = collections.defaultdict(str)
     for s in segs:
