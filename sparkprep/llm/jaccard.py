@@ -294,10 +294,10 @@ def similarity_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, **optio
 
 def one_of_each_group(docs: DataFrame, threshold: float = 0.8, n: int = 5, **options) -> DataFrame:
     """``docs`` less all but the first document of each component (its own
-    columns). Documents without words all stay."""
+    columns, whatever their names). Documents without words all stay."""
     _, classes = similarity_classes(docs, threshold, n, **options)
-    heads = classes.select("head.k", "head.node").distinct().withColumnsRenamed({"k": "similar_k", "node": "similar_node"})
-    keyed = docs.withColumns({"similar_k": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)), "similar_node": text_node()})
-    blank = F.coalesce(F.col("text"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z")
-    first = keyed.filter(~blank).join(heads, ["similar_k", "similar_node"], "left_semi").dropDuplicates(["similar_k", "similar_node"])
-    return first.unionByName(keyed.filter(blank)).select(*docs.columns)
+    heads = classes.select("head.k", "head.node").distinct()
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("k"), text_node().alias("node"),
+                        F.coalesce(F.col("text"), F.lit("")).rlike(r"^[\x20\x09-\x0D]*\z").alias("blank"), F.struct(*docs.columns).alias("row"))
+    first = keyed.filter("not blank").join(heads, ["k", "node"], "left_semi").dropDuplicates(["k", "node"])
+    return first.unionByName(keyed.filter("blank")).select("row.*")

@@ -434,8 +434,12 @@ def remove_repeats(docs: DataFrame, window: int = 100, gram: int = 20, keep_text
     for anchors, for the surroundings asked for, and for the result. Leading
     bytes with more than ``hot`` surroundings are compared by window hashes,
     which go to all tasks."""
-    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "k", "marks", "more"]
+    own = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     names = [c for c in docs.columns if c not in [*own, "text"]]
+    if {"k", "marks", "more"} & set(names):  # names of the work below
+        packed = docs.select("doc_id", "text", F.struct(*names).alias("rest"))
+        cut = remove_repeats(packed, window, gram, keep_text, hot)
+        return cut.select("rest.*", *own[:5 if keep_text else 4])
     spark = docs.sparkSession
     p = partitions(spark)
     dealt = docs.select(*names, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LOW)).alias("k"), "text").repartition(p, "k")

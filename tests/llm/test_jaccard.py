@@ -132,3 +132,11 @@ def test_common_counts():
         for j in range(30):
             if i != j:
                 assert got[i, j] == len(np.intersect1d(sets[i], sets[j]))
+
+
+def test_groups_keep_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    for c in ("similar_k", "similar_node", "k", "node", "row", "blank"):
+        df = df.selectExpr("*", f"10 * doc_id as {c}")
+    got = jaccard.one_of_each_group(df)
+    assert got.columns == df.columns and sorted(tuple(r) for r in got.collect()) == [(d, t, *[10 * d] * 6) for d, t in ((1, "a b c d e f"), (3, None))]

@@ -108,3 +108,12 @@ def test_hot_lines_equal_brute_force(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     for hot in (0, 3, 40):
         assert got(suffixes.remove_repeats(df, hot=hot)) == brute(rows), hot
+
+
+def test_columns_of_the_same_names_stay(spark):
+    df = spark.createDataFrame([(1, "x" * 30), (2, "abc " * 60)], "doc_id long, text string").selectExpr("*", "1 as k", "2 as marks", "3 as more", "4 as rest")
+    got = suffixes.remove_repeats(df, keep_text=True)
+    assert {(r.k, r.marks, r.more, r.rest) for r in got.collect()} == {(1, 2, 3, 4)}
+    assert got.columns == ["doc_id", "k", "marks", "more", "rest", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+    assert sorted(tuple(r) for r in got.select("doc_id", "n_removed", "kept_text").collect()) == sorted(
+        tuple(r) for r in suffixes.remove_repeats(df.select("doc_id", "text"), keep_text=True).select("doc_id", "n_removed", "kept_text").collect())
