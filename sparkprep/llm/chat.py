@@ -75,15 +75,17 @@ def chat_segments(turns: DataFrame, template: ChatTemplate = ChatTemplate()) ->
 
 def chat_documents(turns: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """One row per conversation: conv_id, formatted, spans (array of start,
-    length in code points of every segment under the loss mask, in order) and
-    valid (each turn was allowed and the last state accepts)."""
+    length in code points of every segment under the loss mask, in order),
+    valid (each turn was allowed and the last state accepts) and first_bad
+    (number, from 1, of the first turn that was not allowed or, where all
+    were, of a last turn whose state does not accept; null if valid)."""
     t = chat_turns(turns, template)
     before, after = template.head_parts
     head = F.concat(F.lit(before), template.escape(F.col("role")), F.lit(after))
     t = t.select("conv_id", "no", F.struct("no", head.alias("head"), template.escape(F.col("text")).alias("body"),
                                            F.col("role").isin(*template.learn).alias("loss")).alias("s"),
-                 (F.col("step_ok") & F.coalesce("ends_ok", F.lit(True))).alias("ok"))
-    g = t.groupBy("conv_id").agg(F.sort_array(F.collect_list("s")).alias("s"), F.min("ok").alias("valid"))
+                 F.when(~(F.col("step_ok") & F.coalesce("ends_ok", F.lit(True))), F.col("no").cast("long")).alias("bad"))
+    g = t.groupBy("conv_id").agg(F.sort_array(F.collect_list("s")).alias("s"), F.min("bad").alias("first_bad"))
     tail = template.tail
     size = lambda x: F.char_length(x["head"]) + F.char_length(x["body"]) + F.lit(len(tail))
     empty = F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,length:int>>))")
@@ -92,16 +94,16 @@ def chat_documents(turns: DataFrame, template: ChatTemplate = ChatTemplate()) ->
         F.when(x["loss"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.char_length(x["head"])).alias("start"), F.char_length(x["body"]).alias("length")))))
         .otherwise(acc["spans"]).alias("spans")))
     text = F.concat_ws("", F.transform("s", lambda x: F.concat(x["head"], x["body"], F.lit(tail))))
-    return g.select("conv_id", text.alias("formatted"), walk["spans"].alias("spans"), "valid")
+    return g.select("conv_id", text.alias("formatted"), walk["spans"].alias("spans"), F.col("first_bad").isNull().alias("valid"), "first_bad")
 
 
 def read_back(documents: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:
     """Parse ``chat_documents`` again: conv_id, turns (array of role, text),
-    learned (array of the unescaped texts under the mask), formatted."""
+    learned (array of the unescaped texts under the mask), formatted, valid, first_bad."""
     before, after = template.head_parts
     chunks = F.filter(F.split("formatted", f"\\Q{template.tail}\\E", -1), lambda c: c != "")
     turn = lambda c: F.struct(
         template.unescape(F.substring(F.substring_index(c, after, 1), F.lit(len(before) + 1), F.char_length(c))).alias("role"),
         template.unescape(F.substring(c, F.char_length(F.substring_index(c, after, 1)) + F.lit(len(after) + 1), F.char_length(c))).alias("text"))
     learned = F.transform("spans", lambda s: template.unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"])))
-    return documents.select("conv_id", F.transform(chunks, turn).alias("turns"), learned.alias("learned"), "formatted", "valid")
+    return documents.select("conv_id", F.transform(chunks, turn).alias("turns"), learned.alias("learned"), "formatted", "valid", "first_bad")

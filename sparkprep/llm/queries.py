@@ -96,20 +96,27 @@ _OP9 = r"""
 with c as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
-  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
-select conv_id, count(*) as n_turns,
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+o as (select *, row_number() over w as no, coalesce(lag(role) over w, '') as state, lead(conv_id) over w is null and lead(role) over w is null as last
+  from c window w as (partition by conv_id order by turn nulls first, role, text)),
+b as (select conv_id, min(no) as first_bad from o where not (case
+    when no = 1 then role in ('system', 'user') when state in ('system', 'assistant') then role = 'user' when state = 'user' then role = 'assistant' else false end)
+  or (last and role <> 'assistant') group by conv_id)
+select c.conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
   coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
   sum(14 + length(replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c'))
-         + length(replace(replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c')))::bigint as formatted_chars
-from c group by conv_id
+         + length(replace(replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c')))::bigint as formatted_chars,
+  any_value(first_bad) is null as valid, any_value(first_bad)::bigint as first_bad
+from c left join b on c.conv_id is not distinct from b.conv_id group by c.conv_id
 """
 
 
 @register("op9_chat", _OP9)
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations formatted, and digests of what is read back from the formatted text."""
+    """All conversations formatted, digests of what is read back from the
+    formatted text, and the turn automaton's verdict (valid, first_bad)."""
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     row = lambda no, role: F.struct(F.lit(PLANTED_ID).cast("long").alias("conv_id"), F.lit(no).cast("long").alias("turn"),
                                     F.lit(role).alias("role"), F.lit(PLANTED_TEXT).alias("text"))
@@ -119,7 +126,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     learned = F.concat_ws("", "learned")
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(line, 256).alias("turns_sha256"),
                        F.char_length(learned).cast("long").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
-                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+                       F.char_length("formatted").cast("long").alias("formatted_chars"), "valid", "first_bad")
 
 
 @register("op10_jaccard_join")
