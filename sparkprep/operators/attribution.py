@@ -83,13 +83,13 @@ def newton_ensemble(model: NewtonModel) -> Ensemble:
     return Ensemble(trees, [1.0] * len(trees), model.base)
 
 
-def spark_ensemble(pipeline_model: PipelineModel) -> Ensemble:
+def spark_ensemble(pipeline_model: PipelineModel, spark: SparkSession | None = None) -> Ensemble:
     """The ensemble of a pipeline whose last stage is a fitted forest or
     boosted trees with continuous features: the probability of class 1 of a
     forest, the margin of boosted trees. Nodes are read from the model's own
     saved form, a table of nodes."""
     clf = pipeline_model.stages[-1]
-    spark = SparkSession.getActiveSession()
+    spark = spark or SparkSession.getActiveSession()
     path = scratch_path(spark, f"ensemble-{uuid.uuid4().hex}")
     clf.write().save(path)
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()  # one row a node of the model

@@ -24,19 +24,23 @@ def _safe_div(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
-    """EV1 + EV2: accuracy, precision, recall, f1 of class 1, and the counts."""
-    c = _counts(df, label, pred)
+def binary_metrics_of_counts(c: DataFrame, *keep: str) -> DataFrame:
+    """EV1 + EV2 from rows of confusion counts (tp, fp, tn, fn), with the columns ``keep``."""
     prec = _safe_div(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _safe_div(F.col("tp"), F.col("tp") + F.col("fn"))
     return c.select(
-        "tp", "fp", "tn", "fn",
+        *keep, "tp", "fp", "tn", "fn",
         _safe_div(F.col("tp") + F.col("tn"), F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("accuracy"),
         prec.alias("precision"), rec.alias("recall"),
         _safe_div(F.lit(2) * F.col("tp"), F.lit(2) * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),
     )
 
 
+def binary_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
+    """EV1 + EV2: accuracy, precision, recall, f1 of class 1, and the counts."""
+    return binary_metrics_of_counts(_counts(df, label, pred))
+
+
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """EV3: the zero-filled 2x2 matrix as rows (actual, predicted, count)."""
     c = _counts(df, label, pred)

@@ -1,7 +1,7 @@
 """Registered rows-only queries for model fitting, selection, scoring and
 explanation (MO3-MO9, EV6, EX1, EX2, SC1). Single fits, importances, scoring
-and attributions run at full size; grids, selection and the workflow keep a
-few small trees (README, open points). Every query trains on the whole table."""
+and attributions run at full size, the grid too, on three of its points;
+selection and the workflow keep a few small trees (README, open points). Every query trains on the whole table."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from ..operators import explain as X
 from ..operators import score as SC
 from ..operators import split as S
 from ..operators import train as T
+from ..operators import tuning as U
 from ..sources.tables import table
 from .features import FeatureEngineer
 from .q_features import flagship_frame, flagship_spec
@@ -67,18 +68,12 @@ def rf_test_counts(spark, sf):
 
 @register("cv_grid")
 def cv_grid(spark, sf):
-    """MO6 + MO7: 3-fold CV (hash folds) over a 2-point forest grid, F1 of class 1."""
+    """MO6 + MO7: F1 of class 1 by 3-fold CV (hash folds) for the cloud grid's forests of 100, 200
+    and 300 trees at depth 10 and least split 2; one staged fit of 300 trees a fold serves all three."""
     train, _ = _lineitem_split(spark, sf)
-    from pyspark.ml import Pipeline
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    clf = T.make_classifier("random_forest", numTrees=5, maxDepth=3)
-    grid = ParamGridBuilder().addGrid(clf.maxDepth, [2, 3]).build()
-    data = T.with_folds(train, ["l_orderkey", "l_linenumber"], 3)
-    cv = CrossValidator(estimator=Pipeline(stages=[T.assembler(FEATS), clf]), estimatorParamMaps=grid,
-                        evaluator=T.f1_evaluator(), numFolds=3, foldCol="fold", parallelism=2, seed=42)
-    model = cv.fit(data)
-    rows = [(int(pm[clf.maxDepth]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, mean_f1 double")
+    points = [p for p in U.grid_points("random_forest", "cloud") if p["maxDepth"] == 10 and p["minInstancesPerNode"] == 2]
+    found = U.staged_search("random_forest", train, FEATS, "label", points, ["l_orderkey", "l_linenumber"], folds=3, parallelism=3)
+    return spark.createDataFrame([(r.params["numTrees"], r.params["maxDepth"], r.mean_f1) for r in found], "num_trees int, max_depth int, mean_f1 double")
 
 
 @register("model_select")
