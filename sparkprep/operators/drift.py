@@ -16,8 +16,13 @@ running sums, and p-values are JVM-side expressions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.exprs import chi2_sf, ks_asymptotic_p, long_form, metric_name_col, normal_two_sided_p, numeric_columns, q
 from ..functions.ordered import running_sums
@@ -26,6 +31,53 @@ from ..session import cut_lineage
 SMALL_REFERENCE_ROWS = 1000
 NUMERIC_MIN_DISTINCT = 5  # numeric columns need more distinct values than this for numeric tests
 STD_FLOOR = 0.001
+#: Sample sizes (smaller, larger) up to which the Kolmogorov-Smirnov p-value is exact.
+EXACT_SIZES = (1000, 10_000)
+
+
+def exact_ks_p(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) for two samples without ties, exactly: the orders of the
+    pooled sample are the lattice paths from (0, 0) to (n1, n2), all equally
+    likely; those that never leave the band where the distribution functions
+    differ by less than d are counted row by row, as running sums. The
+    absolute error is below 1e-9."""
+    n1, n2 = sorted((int(n1), int(n2)))
+    if n1 == 0:
+        return math.nan
+    g = math.gcd(n1, n2)
+    gap, j = round(d * (n1 // g * n2)), np.arange(n2 + 1) * (n1 // g)
+    if gap <= 0:
+        return 1.0
+    u, scale = (j < gap).astype(float), 0.0
+    for i in range(1, n1 + 1):
+        inside = np.abs(i * (n2 // g) - j) < gap
+        u = np.cumsum(u * inside) * inside
+        top = u.max()
+        if top == 0:
+            return 1.0
+        u /= top
+        scale += math.log(top)
+    if u[-1] == 0:
+        return 1.0
+    paths = math.lgamma(n1 + n2 + 1) - math.lgamma(n1 + 1) - math.lgamma(n2 + 1)
+    return min(1.0, max(0.0, -math.expm1(min(0.0, math.log(u[-1]) + scale - paths))))
+
+
+def _is_small(n1, n2) -> bool:
+    return min(n1, n2) <= EXACT_SIZES[0] and max(n1, n2) <= EXACT_SIZES[1]
+
+
+@F.pandas_udf(DoubleType())
+def _exact_ks_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+    return pd.Series([exact_ks_p(x, a, b) if x == x and _is_small(a, b) else None for x, a, b in zip(d, n1, n2)], dtype="float64")
+
+
+def ks_p(d: Column, n1: Column, n2: Column) -> Column:
+    """The two-sample p-value: exact for sizes up to ``EXACT_SIZES``,
+    asymptotic beyond. One row a column of the tables compared, so the Python
+    worker's share is some additions over two sample sizes."""
+    small = (F.least(n1, n2) <= EXACT_SIZES[0]) & (F.greatest(n1, n2) <= EXACT_SIZES[1])
+    return F.when(small, _exact_ks_p(d.cast("double"), n1.cast("long"), n2.cast("long"))).otherwise(ks_asymptotic_p(d, n1, n2))
 
 
 def _value_counts(ref: DataFrame, cur: DataFrame, col: str, cast: str) -> DataFrame:
@@ -41,13 +93,14 @@ def _ecdf(ref: DataFrame, cur: DataFrame, col: str, with_next: bool = False) ->
     return cum
 
 
-def ks_test(ref: DataFrame, cur: DataFrame, col: str, alpha: float = 0.05) -> DataFrame:
-    """DR2: D = max |F_ref - F_cur| over all distinct values; asymptotic p."""
+def ks_test(ref: DataFrame, cur: DataFrame, col: str, alpha: float = 0.05, exact: bool = True) -> DataFrame:
+    """DR2: D = max |F_ref - F_cur| over all distinct values; p as in ``ks_p``
+    or, unless ``exact``, asymptotic at any size."""
     e = _ecdf(ref, cur, col)
     tot = e.agg(F.sum("c_ref").alias("n1"), F.sum("c_cur").alias("n2")).first()
     n1, n2 = tot["n1"], tot["n2"]
     stat = e.agg(F.max(F.abs(F.col("cum_ref") / F.lit(float(n1)) - F.col("cum_cur") / F.lit(float(n2)))).alias("statistic"))
-    p = ks_asymptotic_p(F.col("statistic"), F.lit(n1), F.lit(n2))
+    p = (ks_p if exact else ks_asymptotic_p)(F.col("statistic"), F.lit(n1), F.lit(n2))
     return stat.select(F.lit(col).alias("column_name"), F.lit("ks").alias("test"), "statistic", p.alias("p_value"),
                        F.lit(alpha).alias("threshold"), (p < alpha).alias("drifted"),
                        F.lit(n1).cast("bigint").alias("n_ref"), F.lit(n2).cast("bigint").alias("n_cur"))
@@ -137,11 +190,12 @@ def unmatched_columns(ref: DataFrame, cur: DataFrame) -> list[tuple[str, str]]:
 
 def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
                  small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None,
-                 alpha: float = 0.05, distance: float = 0.1) -> DataFrame:
+                 alpha: float = 0.05, distance: float = 0.1, exact: bool = True) -> DataFrame:
     """DR1-DR7 per column: one row per compared column (the intersection of
     both frames' columns, DR9). The preset rule takes the small-sample tests up
     to ``small_reference`` reference rows; ``tests`` names a column's test
-    outright (ks, wasserstein, chisquare, z or jensenshannon).
+    outright (ks, wasserstein, chisquare, z or jensenshannon). The p-value of
+    ks is as in ``ks_p`` or, unless ``exact``, asymptotic at any size.
 
     DR7: a numeric column with more than 5 distinct values (as text, over both
     frames) gets a numeric test, a column of exactly two the z-test on small
@@ -202,7 +256,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     test = F.col("test")
     statistic = (F.when(test == "ks", F.col("ks")).when(test == "wasserstein", F.col("w") / F.col("spread"))
                  .when(test == "jensenshannon", F.col("js")).when(test == "chisquare", F.col("chi")).otherwise(F.coalesce(z, F.lit(0.0))))
-    p_value = (F.when(test == "ks", ks_asymptotic_p(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+    p_value = (F.when(test == "ks", (ks_p if exact else ks_asymptotic_p)(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
                .when(test == "chisquare", chi2_sf(F.col("chi"), F.col("k") - 1))
                .when(test == "z", F.coalesce(normal_two_sided_p(z), F.lit(1.0))))
     by_p = test.isin("ks", "chisquare", "z")

@@ -113,3 +113,35 @@ def test_salted_lookup_join_equals_plain_join(spark):
     a = lookup_join(big, small, ["lvl"], "left", salts=8)  # salted shuffle path
     b = big.join(small, ["lvl"], "left")
     assert sorted(map(tuple, a.select("id", "lvl", "v").collect())) == sorted(map(tuple, b.select("id", "lvl", "v").collect()))
+
+
+def test_exact_ks_p_counts_all_orders():
+    import itertools
+
+    from sparkprep.operators.drift import exact_ks_p
+
+    for n1, n2 in ((1, 1), (2, 5), (4, 6), (5, 5), (3, 7)):
+        found = []
+        for own in itertools.combinations(range(n1 + n2), n1):
+            a = b = 0
+            most = 0.0
+            for k in range(n1 + n2):
+                a, b = (a + 1, b) if k in own else (a, b + 1)
+                most = max(most, abs(a / n1 - b / n2))
+            found.append(most)
+        for d in sorted(set(found)):
+            share = sum(x > d - 1e-9 for x in found) / len(found)
+            assert exact_ks_p(d, n1, n2) == pytest.approx(share, abs=1e-12) and exact_ks_p(d, n2, n1) == pytest.approx(share, abs=1e-12)
+    assert exact_ks_p(0.0, 900, 9000) == 1.0 and exact_ks_p(1.0, 900, 9000) == pytest.approx(0, abs=1e-9)
+
+
+def test_exact_and_asymptotic_ks_p_meet(spark):
+    from sparkprep.functions.exprs import ks_asymptotic_p
+    from sparkprep.operators.drift import ks_p
+
+    rows = spark.createDataFrame([(d, n1, n2) for n1, n2 in ((1000, 10000), (800, 900)) for d in (0.01, 0.03, 0.05, 0.1)] + [(0.05, 1001, 1002), (None, 10, 10)], "d double, n1 long, n2 long")
+    for r in rows.select("d", "n1", ks_p(F.col("d"), F.col("n1"), F.col("n2")).alias("p"), ks_asymptotic_p(F.col("d"), F.col("n1"), F.col("n2")).alias("far")).collect():
+        if r.d is None:
+            assert r.p is None or r.p != r.p
+        else:
+            assert r.p == pytest.approx(r.far, abs=0 if r.n1 == 1001 else 0.02)
