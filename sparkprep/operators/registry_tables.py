@@ -8,6 +8,7 @@ latest model = ``max_by(path, version)`` with a numeric version.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
 import uuid
 
@@ -90,13 +91,41 @@ def _registry(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet; False if it does. On a
+    local path the operating system decides, elsewhere the file system's own
+    create without overwrite (atomic on HDFS and stores with conditional puts)."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    fs.mkdirs(p.getParent())
+    if fs.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+            return True
+        except FileExistsError:
+            return False
+    try:
+        fs.create(p, False).close()
+        return True
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+
+
 def register_model(spark: SparkSession, base: str, name: str, model_path: str, run_id: str) -> int:
-    """IO11: append a new version (previous max + 1) of ``name``."""
+    """IO11: append a new version (previous max + 1) of ``name``. The number is
+    taken by creating its version file, so that of several writers each gets
+    its own; a writer that dies before its row is appended leaves a gap."""
     reg = _registry(spark, base)
     latest = 0
     if reg is not None:
         latest = reg.filter(F.col("model") == name).agg(F.max("version")).first()[0] or 0
     version = int(latest) + 1
+    folder = hashlib.sha256(name.encode()).hexdigest()
+    while not claim(spark, os.path.join(base, "registry_versions", folder, str(version))):
+        version += 1
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     spark.createDataFrame([(name, version, model_path, run_id, now)], REGISTRY_SCHEMA).write.mode("append").parquet(
         os.path.join(base, "registry"))
