@@ -47,6 +47,16 @@ def best_by_metric(runs: DataFrame, metric: str, tie_cols: list[str] | None = No
     return r.orderBy(F.desc(metric), *(tie_cols or [])).limit(1)
 
 
+def _append(df: DataFrame, base: str, name: str) -> None:
+    """Add rows in a folder of their own below the table: writers that append
+    to one folder at once would remove each other's unfinished files."""
+    df.write.parquet(os.path.join(base, name, f"rows-{uuid.uuid4().hex}"))
+
+
+def _read(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(os.path.join(base, name))
+
+
 def log_metrics(spark: SparkSession, base: str, experiment: str, run_id: str, run_name: str,
                 metrics: dict[str, float]) -> DataFrame:
     """IO13: append (experiment, run, metric, value, ts) rows; non-numeric
@@ -55,7 +65,7 @@ def log_metrics(spark: SparkSession, base: str, experiment: str, run_id: str, ru
     rows = [(experiment, run_id, run_name, k, float(v), now) for k, v in metrics.items()
             if isinstance(v, (int, float)) and not isinstance(v, bool) or isinstance(v, bool)]
     df = spark.createDataFrame(rows, METRICS_SCHEMA)
-    df.write.mode("append").parquet(os.path.join(base, "metrics"))
+    _append(df, base, "metrics")
     return df
 
 
@@ -65,30 +75,29 @@ def log_metrics_frame(metrics: DataFrame, base: str, experiment: str, run_id: st
     out = metrics.select(F.lit(experiment).alias("experiment"), F.lit(run_id).alias("run_id"),
                          F.lit(run_name).alias("run_name"), F.col("metric").alias("name"),
                          F.col("value").cast("double").alias("value"), F.current_timestamp().cast("timestamp").alias("ts"))
-    out.filter(F.col("value").isNotNull()).write.mode("append").parquet(os.path.join(base, "metrics"))
+    _append(out.filter(F.col("value").isNotNull()), base, "metrics")
 
 
 def log_params(spark: SparkSession, base: str, experiment: str, run_id: str, run_name: str, params: dict) -> DataFrame:
     """IO13: parameters as strings."""
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     df = spark.createDataFrame([(experiment, run_id, run_name, k, str(v), now) for k, v in params.items()], PARAMS_SCHEMA)
-    df.write.mode("append").parquet(os.path.join(base, "params"))
+    _append(df, base, "params")
     return df
 
 
 def read_metrics(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(METRICS_SCHEMA).parquet(os.path.join(base, "metrics"))
+    return _read(spark, base, "metrics", METRICS_SCHEMA)
 
 
 def read_params(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.schema(PARAMS_SCHEMA).parquet(os.path.join(base, "params"))
+    return _read(spark, base, "params", PARAMS_SCHEMA)
 
 
 def _registry(spark: SparkSession, base: str) -> DataFrame | None:
-    path = os.path.join(base, "registry")
-    if not path_exists(spark, path):
+    if not path_exists(spark, os.path.join(base, "registry")):
         return None
-    return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    return _read(spark, base, "registry", REGISTRY_SCHEMA)
 
 
 def claim(spark: SparkSession, path: str) -> bool:
@@ -127,8 +136,7 @@ def register_model(spark: SparkSession, base: str, name: str, model_path: str, r
     while not claim(spark, os.path.join(base, "registry_versions", folder, str(version))):
         version += 1
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(name, version, model_path, run_id, now)], REGISTRY_SCHEMA).write.mode("append").parquet(
-        os.path.join(base, "registry"))
+    _append(spark.createDataFrame([(name, version, model_path, run_id, now)], REGISTRY_SCHEMA), base, "registry")
     return version
 
 
