@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ..functions.exprs import chi2_sf, ks_asymptotic_p, long_form, metric_name_col, normal_two_sided_p, numeric_columns, q
+from ..functions.exprs import chi2_sf, ks_asymptotic_p, metric_name_col, normal_two_sided_p, numeric_columns, q
 from ..functions.ordered import running_sums
 from ..session import cut_lineage
 
@@ -188,6 +188,31 @@ def unmatched_columns(ref: DataFrame, cur: DataFrame) -> list[tuple[str, str]]:
             + [(c, "current") for c in cur.columns if c not in set(ref.columns)])
 
 
+def reference_profile(ref: DataFrame, cols: list[str]) -> tuple[int, dict[str, float]]:
+    """Rows of the reference, and the spread of each of its numeric columns among ``cols``."""
+    nums = [c for c in numeric_columns(ref) if c in cols]
+    row = ref.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(q(c).cast("double")).alias(f"s{i}") for i, c in enumerate(nums)]).first()
+    return row["n"], {c: max(row[f"s{i}"] or 0.0, STD_FLOOR) for i, c in enumerate(nums)}
+
+
+def level_counts(df: DataFrame, cols: list[str], numeric: list[str], side: str) -> DataFrame:
+    """(column_name, x, v, c_ref, c_cur): how often each value occurs, as the
+    count of ``side`` (ref or cur). Values of ``numeric`` columns are doubles
+    ``x`` (long ones beyond 2^53 may fall together), others texts ``v``; nulls
+    are not counted."""
+    def entry(c):
+        x, v = (q(c).try_cast("double"), F.lit(None).cast("string")) if c in numeric else (F.lit(None).cast("double"), q(c).cast("string"))
+        return F.struct(F.lit(c).alias("column_name"), x.alias("x"), v.alias("v"))
+
+    long = df.select(F.inline(F.array(*[entry(c) for c in cols]))).filter(F.coalesce(F.col("v"), F.col("x").cast("string")).isNotNull())
+    return long.groupBy("column_name", "x", "v").agg(*[(F.count(F.lit(1)) if s == side else F.lit(0).cast("long")).alias(f"c_{s}") for s in ("ref", "cur")])
+
+
+def add_counts(counts: DataFrame) -> DataFrame:
+    """Rows of ``level_counts`` of several frames, together."""
+    return counts.groupBy("column_name", "x", "v").agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+
+
 def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
                  small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None,
                  alpha: float = 0.05, distance: float = 0.1, exact: bool = True) -> DataFrame:
@@ -197,8 +222,8 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     outright (ks, wasserstein, chisquare, z or jensenshannon). The p-value of
     ks is as in ``ks_p`` or, unless ``exact``, asymptotic at any size.
 
-    DR7: a numeric column with more than 5 distinct values (as text, over both
-    frames) gets a numeric test, a column of exactly two the z-test on small
+    DR7: a numeric column with more than 5 distinct values (over both frames)
+    gets a numeric test, a column of exactly two the z-test on small
     references, any other a test of shares.
 
     All columns go together: one pass counts every (column, value) on both
@@ -206,23 +231,28 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     aggregates over that table, so the number of jobs does not depend on the
     number of columns. Only a few scalars per column reach the driver."""
     cols = cols or [c for c in ref.columns if c in set(cur.columns)]
+    rows, spread = reference_profile(ref, cols)
+    nums = list(spread)
+    counts = cut_lineage(add_counts(level_counts(ref, cols, nums, "ref").unionByName(level_counts(cur, cols, nums, "cur"))))
+    return drift_of_counts(counts, cols, rows, spread, small_reference, tests, alpha, distance, exact)
+
+
+def drift_of_counts(counts: DataFrame, cols: list[str], rows: int, spread: dict[str, float],
+                    small_reference: int = SMALL_REFERENCE_ROWS, tests: dict[str, str] | None = None,
+                    alpha: float = 0.05, distance: float = 0.1, exact: bool = True) -> DataFrame:
+    """``column_drift`` from written counts of both sides (``add_counts``) and
+    the reference's profile."""
     tests = tests or {}
-    spark = ref.sparkSession
-    side = lambda df, a, b: long_form(df.select(*[q(c) for c in cols]), cols, val="v").select("column_name", "v", F.lit(a).alias("r"), F.lit(b).alias("c"))
-    counts = cut_lineage(side(ref, 1, 0).unionByName(side(cur, 0, 1)).filter(F.col("v").isNotNull())
-                         .groupBy("column_name", "v").agg(F.sum("r").alias("c_ref"), F.sum("c").alias("c_cur")))
+    spark = counts.sparkSession
     found = {r["column_name"]: r for r in counts.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("levels"), F.sum("c_ref").alias("n1"), F.sum("c_cur").alias("n2")).collect()}
-    nums = [c for c in numeric_columns(ref) if c in cols]
-    row = ref.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(q(c).cast("double")).alias(f"s{i}") for i, c in enumerate(nums)]).first()
-    spread = {c: max(row[f"s{i}"] or 0.0, STD_FLOOR) for i, c in enumerate(nums)}
-    small = row["n"] <= small_reference
+    small = rows <= small_reference
     plan = []
     for c in cols:
         levels = found[c]["levels"] if c in found else 0
         if c in tests:
             test = tests[c]
-        elif c in nums and levels > NUMERIC_MIN_DISTINCT:
+        elif c in spread and levels > NUMERIC_MIN_DISTINCT:
             test = "ks" if small else "wasserstein"
         else:
             test = ("z" if levels == 2 else "chisquare") if small else "jensenshannon"
@@ -233,13 +263,13 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols: list[str] | None = None,
     ordered = ("ks", "wasserstein")
 
     numeric = counts.join(planned.filter(F.col("test").isin(*ordered)).select("column_name"), "column_name", "left_semi")
-    numeric = numeric.groupBy("column_name", F.col("v").cast("double").alias("x")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
+    numeric = numeric.groupBy("column_name", F.coalesce(F.col("x"), F.col("v").cast("double")).alias("x")).agg(F.sum("c_ref").alias("c_ref"), F.sum("c_cur").alias("c_cur"))
     steps = running_sums(numeric, "x", {"ref": F.col("c_ref"), "cur": F.col("c_cur")}, partition_cols=["column_name"], with_next=True).join(planned, "column_name")
     gap = F.abs(share("cum_ref", "n_ref") - share("cum_cur", "n_cur"))
     numeric = steps.groupBy("column_name").agg(
         F.max(gap).alias("ks"), F.coalesce(F.sum(gap * (F.col("next_key") - F.col("x"))), F.lit(0.0)).alias("w"))
 
-    levels = counts.join(planned.filter(~F.col("test").isin(*ordered)), "column_name")
+    levels = counts.join(planned.filter(~F.col("test").isin(*ordered)), "column_name").withColumn("v", F.coalesce("v", F.col("x").cast("string")))
     p, c = share("c_ref", "n_ref"), share("c_cur", "n_cur")
     kl = lambda x: F.when(x > 0, x * F.log(x / ((p + c) / 2.0))).otherwise(F.lit(0.0))
     expected = F.col("c_ref") * share("n_cur", "n_ref")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import long_form, q
 from ..functions.joins import lookup_join
+from ..session import cut_lineage
+from .bind import number_rows
 
 
 # --------------------------------------------------------------------------- target encoding (EN1-EN3)
@@ -193,3 +195,56 @@ def index_one_hot_vector(df: DataFrame, col: str, handle_invalid: str = "keep")
     out = idx.transform(df)
     ohe = OneHotEncoder(inputCol=f"{col}_index", outputCol=f"{col}_ohe", dropLast=True).fit(out)
     return ohe.transform(out).drop(col, f"{col}_index")
+
+
+# --------------------------------------------------------------------------- levels as a table (EN4, EN6 for many levels)
+
+
+def level_dictionary(df: DataFrame, cols: list[str], order: str = "frequency") -> DataFrame:
+    """(column_name, level, n, level_index): the levels of each column, numbered
+    from 0 by frequency (most frequent first, ties by level: EN6) or by
+    ``order="level"`` (EN4). The numbers come from one distributed sort of the
+    distinct levels; no level reaches the driver, so there is no bound on their
+    number. Nulls are no level. The table is written once."""
+    counts = _levels_table(df, cols).filter(F.col("level").isNotNull()).withColumnRenamed("count", "n")
+    by = [F.col("column_name"), F.col("level")] if order == "level" else [F.col("column_name"), F.col("n").desc(), F.col("level")]
+    numbered = number_rows(counts, by, "__no")
+    first = numbered.groupBy("column_name").agg(F.min("__no").alias("__first"))
+    return cut_lineage(numbered.join(first, "column_name").select("column_name", "level", "n", (F.col("__no") - F.col("__first")).alias("level_index")))
+
+
+def dropped_level(levels: DataFrame, drop: str | None = "last") -> DataFrame:
+    """The (column_name, level_index) that stands for all zeros: the last one
+    (EN6), the first one (EN4) or none."""
+    pick = {"last": F.max("level_index"), "first": F.min("level_index"), None: F.lit(None).cast("long")}[drop]
+    return levels.groupBy("column_name").agg(pick.alias("dropped"))
+
+
+def one_hot_long(df: DataFrame, key: str, levels: DataFrame, cols: list[str], drop: str | None = "last") -> DataFrame:
+    """One-hot in long form: (key, column_name, level_index, value 1.0), a row
+    for each non-zero place. Nulls, levels that the dictionary lacks and the
+    dropped level have no row. Rows meet the dictionary in one join, which
+    Spark broadcasts or shuffles by its bytes; adaptive execution splits a hot
+    level."""
+    kept = levels.join(dropped_level(levels, drop), "column_name").filter(~F.col("level_index").eqNullSafe(F.col("dropped")))
+    lf = long_form(df, cols, ids=[key], val="level").filter(F.col("level").isNotNull())
+    out = lookup_join(lf, kept.select("column_name", "level", "level_index"), ["column_name", "level"], "inner")
+    return out.select(q(key), "column_name", "level_index", F.lit(1.0).alias("value"))
+
+
+def one_hot_sparse(df: DataFrame, col: str, levels: DataFrame, out: str | None = None) -> DataFrame:
+    """``df`` with ``<col>_ohe``, a sparse vector as wide as the dictionary's
+    levels of ``col`` less one: the last level, nulls and unknown levels are
+    all zeros (EN6). One number per row is kept, whatever the width. Columns of
+    ``df`` named ``__level`` or ``__index`` are errors."""
+    clash = {"__level", "__index"} & set(df.columns)
+    if clash:
+        raise ValueError(f"columns named {sorted(clash)}")
+    own = levels.filter(F.col("column_name") == col).select(F.col("level").alias("__level"), F.col("level_index").cast("double").alias("__index"))
+    size = own.count()
+    if size < 2:
+        raise ValueError(f"column {col} has fewer than two levels; leave it as it is (EN7)")
+    x = df.withColumn("__level", q(col).cast("string"))
+    x = lookup_join(x, own, "__level", "left").withColumn("__index", F.coalesce("__index", F.lit(float(size - 1))))
+    encoder = OneHotEncoder(inputCol="__index", outputCol=out or f"{col}_ohe", dropLast=True).fit(own)
+    return encoder.transform(x).select(*[q(c) for c in df.columns], q(out or f"{col}_ohe"))

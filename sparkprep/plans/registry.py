@@ -34,5 +34,5 @@ def load_all() -> None:
     """Import the modules that register queries."""
     import importlib
 
-    for name in ("q_clean", "q_profile", "q_encode", "q_features", "q_model", "q_drift", "q_train", "q_boost", "q_io"):
+    for name in ("q_clean", "q_profile", "q_encode", "q_features", "q_model", "q_drift", "q_train", "q_boost", "q_io", "q_streams"):
         importlib.import_module(f"{__package__}.{name}")
