@@ -90,7 +90,7 @@ def _group_rare(df: DataFrame, spec: FeatureSpec, levels: list) -> DataFrame:
 
 
 def _materialize(stats: DataFrame) -> DataFrame:
-    """Compute the fitted level table once, in the shared checkpoint folder."""
+    """Compute a frame that is read again once, in the shared checkpoint folder."""
     from ..session import cut_lineage
 
     return cut_lineage(stats)
@@ -118,6 +118,9 @@ class FeatureEngineer(Estimator, MLReadable, MLWritable):
         rare levels (they are part of the model's state)."""
         spec = self.spec
         st = FittedState()
+        # the fit reads its input several times: what it needs of the prepared rows is written once
+        used = {spec.target, spec.rare_col, *spec.numeric_cols, *spec.te_cols, *spec.ohe_cols, *spec.fills, (spec.conditional_drop or {}).get("col")}
+        x = _materialize(x.select(*[q(c) for c in x.columns if c in used]))
 
         # 1. rare levels (nulls never a level)
         if spec.rare_col:
