@@ -35,7 +35,7 @@ def csv_roundtrip(spark, sf):
         F.when(F.col("o_orderpriority") == PLACEHOLDER, F.lit("NA")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
     path = _scratch(spark, "csv")
     csv_table_sink(o, path, mode="overwrite")
-    return read_csv(spark, path, schema=ORDERS_DDL)
+    return read_csv(spark, path, schema=ORDERS_DDL, multi_line=False)
 
 
 _QUOTED = """'he said "' || o_orderstatus || '", then' || chr(10) || o_orderpriority"""
@@ -60,7 +60,7 @@ def csv_infer_nulls(spark, sf):
         F.expr("o_orderkey % 2 = 0").alias("even"))
     path = _scratch(spark, "csvn")
     o.write.option("header", True).csv(path)
-    return read_csv(spark, path)
+    return read_csv(spark, path, multi_line=False)
 
 
 @register("registry_best_run", """select cast(o_orderstatus as varchar) as run_name, avg(o_totalprice) as value from orders

@@ -54,14 +54,17 @@ def read_csv(
     sep: str = ",",
     header: bool = True,
     pandas_nulls: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """IO1/IO2: header CSV as pandas writes and reads it: doubled quotes, and
-    line ends inside quotes. A declared schema is preferred (no inference
+    """IO1/IO2: header CSV as pandas writes and reads it, with doubled quotes
+    and line ends inside quotes. Such a file can't be split, so one task reads
+    all of it; where no value holds a line end, ``multi_line=False`` lets Spark
+    split files. A declared schema is preferred (no inference
     pass). Without one, columns are read as strings, pandas' missing tokens
     become NULL first, and each column then gets the narrowest of bigint,
     double and boolean that holds all its values, found in one aggregation."""
     reader = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-              .option("quote", '"').option("escape", '"').option("multiLine", True))
+              .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
     if schema is not None:
         df = reader.schema(schema).csv(path)
         return null_tokens_to_null(df) if pandas_nulls else df
