@@ -56,7 +56,8 @@ def _index_new(spark: SparkSession, target: str, index: str, keys: list[str]) ->
     rows = spark.read.option("basePath", target).parquet(*new).select(F.input_file_name().alias("file"), q(keys[0]).alias("k"), _hash(keys).alias("h"))
     entries = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("k").isNull()).alias("nulls"), F.min("k").alias("lo"), F.max("k").alias("hi"))
     entries = entries.withColumn("words", F.ceil(F.col("n") / KEYS_PER_WORD))
-    words = rows.join(entries.select("file", "words"), "file").groupBy("file", _slot(F.col("h"), F.col("words")).alias("slot")).agg(F.bit_or(_mask(F.col("h"))).alias("word"))
+    # a row a file, as in the listing above: broadcast, as a join dealt by file would give one task all rows of a file
+    words = rows.join(F.broadcast(entries.select("file", "words")), "file").groupBy("file", _slot(F.col("h"), F.col("words")).alias("slot")).agg(F.bit_or(_mask(F.col("h"))).alias("word"))
     words.write.mode("append").parquet(f"{index}/words")
     empty = spark.createDataFrame([(f,) for f in new], "file string")
     empty.join(entries, "file", "left").write.mode("append").parquet(f"{index}/files")
