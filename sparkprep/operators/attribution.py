@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -87,8 +88,18 @@ def spark_ensemble(pipeline_model: PipelineModel, spark: SparkSession | None = N
     """The ensemble of a pipeline whose last stage is a fitted forest or
     boosted trees with continuous features: the probability of class 1 of a
     forest, the margin of boosted trees. Nodes are read from the model's own
-    saved form, a table of nodes."""
+    saved form, a table of nodes. Splits of bins become splits of the values
+    that a bucketizer ahead of the trees puts into them."""
     clf = pipeline_model.stages[-1]
+    binner = pipeline_model.stages[0]
+    bounds = binner.getSplitsArray() if isinstance(binner, Bucketizer) else None
+
+    def threshold(feature: int, t: float) -> float:
+        if bounds is None:
+            return t
+        upper = bounds[feature][min(math.floor(t) + 1, len(bounds[feature]) - 1)]
+        return upper if upper == math.inf else math.nextafter(upper, -math.inf)
+
     spark = spark or SparkSession.getActiveSession()
     path = scratch_path(spark, f"ensemble-{uuid.uuid4().hex}")
     clf.write().save(path)
@@ -104,13 +115,16 @@ def spark_ensemble(pipeline_model: PipelineModel, spark: SparkSession | None = N
         for k in sorted(own):
             r = own[k]
             stats = list(r["impurityStats"])
+            # rows of a node: counted bins stand for several each, and boosted trees' statistics begin with the sum of weights
+            cover = float(r["rawCount"]) if bounds is None else stats[0]
             value = (stats[1] / sum(stats) if sum(stats) else 0.0) if forest else r["prediction"]
             if r["leftChild"] < 0:
-                nodes.append(Node(-1, 0.0, -1, -1, value, float(r["rawCount"])))
+                nodes.append(Node(-1, 0.0, -1, -1, value, cover))
                 continue
             if r["split"]["numCategories"] != -1:
                 raise ValueError("splits on categories have no threshold; index categories as continuous features")
-            nodes.append(Node(r["split"]["featureIndex"], r["split"]["leftCategoriesOrThreshold"][0], number[r["leftChild"]], number[r["rightChild"]], 0.0, float(r["rawCount"])))
+            f = r["split"]["featureIndex"]
+            nodes.append(Node(f, threshold(f, r["split"]["leftCategoriesOrThreshold"][0]), number[r["leftChild"]], number[r["rightChild"]], 0.0, cover))
         trees.append(nodes)
     return Ensemble(trees, [1 / len(trees)] * len(trees) if forest else list(clf.treeWeights))
 
