@@ -4,9 +4,10 @@ Points of a grid that differ only in the number of trees or rounds share one
 fit a fold, of the largest size. Its first k trees are the ensemble of size k:
 exactly so for boosting, whose rounds depend on earlier ones only; a forest's
 first k trees are a forest of k trees, though of other bags than a fit of k
-trees would draw. The held-out fold is read once for all sizes: rows go down
-the trees in Arrow batches, and each batch gives its confusion counts for
-every size, so nothing but counts is shuffled. The reference's grids of 27
+trees would draw. The held-out fold is read once for all sizes: rows between
+the same thresholds reach the same leaves, so they are counted first, and each
+such cell goes down the trees once, in Arrow batches that give their confusion
+counts for every size. The reference's grids of 27
 points then take 9 fits a fold, not 27.
 """
 
@@ -23,11 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import q
-from ..session import cut_lineage
 from .attribution import Ensemble, Node, newton_ensemble, spark_ensemble
 from .boosting import NewtonParams, fit_newton
 from .evaluate import binary_metrics_of_counts
-from .train import SEED, grid_for, make_classifier, retrain, with_folds
+from .train import SEED, grid_for, make_classifier, retrain, with_folds, written_rows
 
 #: The parameter that counts trees or rounds, by kind of model.
 SIZE = {"random_forest": "numTrees", "gradient_boosting": "maxIter", "boosting_depth6": "maxIter", "newton_boosting": "rounds"}
@@ -63,24 +63,39 @@ def staged_counts(df: DataFrame, features: list[str], label: str, ensemble: Ense
     label is not 0 or 1 are left out; null features are NaN; an empty frame
     gives zeros."""
     stages = sorted(set(sizes))
+    names = [f"x{i}" for i in range(len(features))]
+    # the thresholds of each feature; its cell k holds the values above k of them
+    cuts = [np.array(sorted({n.threshold for t in ensemble.trees for n in t if n.feature == i})) for i in range(len(features))]
+
+    def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [batch[c].to_numpy(zero_copy_only=False).astype(float) for c in names]
+            at = [pa.array(np.where(np.isnan(v), -1, np.searchsorted(c, v)).astype(np.int32)) for v, c in zip(x, cuts)]
+            yield pa.RecordBatch.from_arrays([batch["y"], *at], ["y", *names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = [_Tree(t) for t in ensemble.trees]
+        # a value of each cell, the largest; cell -1 holds the missing ones
+        values = [np.concatenate([c, [np.inf, np.nan]]) for c in cuts]
         total = np.zeros((len(stages), 4), np.int64)
         for batch in batches:
-            y = batch["y"].to_numpy(zero_copy_only=False) == 1
-            x = np.stack([batch[f"x{i}"].to_numpy(zero_copy_only=False).astype(float) for i in range(len(features))], axis=1)
+            y, n = batch["y"].to_numpy(zero_copy_only=False) == 1, batch["n"].to_numpy()
+            x = np.stack([v[batch[c].to_numpy()] for c, v in zip(names, values)], axis=1) if names else np.zeros((len(y), 0))
             margin, done = np.full(len(y), ensemble.base), 0
             for i, size in enumerate(stages):
                 for t in range(done, min(size, len(trees))):
                     margin += trees[t].reached(x) * (1.0 if votes else ensemble.weights[t])
                 done = max(done, min(size, len(trees)))
                 yes = 2 * margin > done if votes else margin > 0
-                total[i] += [(y & yes).sum(), (~y & yes).sum(), (~y & ~yes).sum(), (y & ~yes).sum()]
+                total[i] += [n[y & yes].sum(), n[~y & yes].sum(), n[~y & ~yes].sum(), n[y & ~yes].sum()]
         yield pa.RecordBatch.from_arrays([pa.array(stages, pa.int32()), *(pa.array(c) for c in total.T)], ["size", "tp", "fp", "tn", "fn"])
 
     rows = df.filter(q(label).isin(0, 1)).select(q(label).cast("double").alias("y"), *[q(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)])
-    counted = rows.mapInArrow(run, "size int, tp long, fp long, tn long, fn long")
+    cells = rows.mapInArrow(cell, ", ".join(["y double", *[f"{c} int" for c in names]])).groupBy("y", *names).agg(F.count(F.lit(1)).alias("n"))
+    # dealt anew: few cells would otherwise all go down the trees in one task
+    cells = cells.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    kind = "size int, tp long, fp long, tn long, fn long"
+    counted = cells.mapInArrow(run, kind).unionByName(df.sparkSession.createDataFrame([(s, 0, 0, 0, 0) for s in stages], kind))
     return counted.groupBy("size").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")])
 
 
@@ -120,7 +135,7 @@ def staged_search(kind: str, train: DataFrame, features: list[str], label: str,
     one row of counts a size."""
     size = SIZE[kind]
     default = NewtonParams().rounds if kind == "newton_boosting" else getattr(make_classifier(kind), f"get{size[0].upper()}{size[1:]}")()
-    data = cut_lineage(with_folds(train, key_cols, folds, seed).select(*features, label, "fold"))
+    data = written_rows(with_folds(train, key_cols, folds, seed), [*features, label, "fold"])
     shared: dict[tuple, set[int]] = {}
     rest_of = lambda p: tuple(sorted((k, v) for k, v in p.items() if k != size))
     for p in points:
