@@ -1,11 +1,13 @@
 """Second-order (Newton) gradient boosting of regression trees for a 0/1 label
 (MO5), as Spark aggregations.
 
-Features are put into quantile bins once, and the binned table is written.
+Features are put into quantile bins once, rows with the same label and bins
+are counted, as they share their margins in every round, and that table is written.
 A tree grows level by level: tasks send their rows down the tree and add up
 the gradients and hessians of the log loss by (node, feature, bin), one
-aggregation joins these sums, windows over that small table find each node's
-best split, and only the chosen splits reach the driver.
+shuffle joins these sums by (node, feature), whose best split is found there,
+and only these splits reach the driver, which takes the best of each node.
+``split_gains`` gives all splits with their gains, as a table.
 
 Gradients and hessians are rounded to whole multiples of 2^-30 before they are
 summed, so sums are exact and a fit gives the same trees however the rows are
@@ -22,14 +24,17 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ShortType, StructField, StructType
 
 from ..functions.exprs import q
 from ..session import scratch_path
+from .train import written_rows
 
 UNIT = float(1 << 30)
+#: Counted rows a task of a fit gets.
+TASK_CELLS = 50_000
 _CELL = ("node", "feature", "bin", "g", "h", "n")
 
 
@@ -67,35 +72,47 @@ Tree = dict[int, Split]
 
 
 class _Flat:
-    """A tree as arrays by node number, for whole batches of binned rows."""
+    """A tree as arrays by node number, for whole batches of binned rows. A
+    leaf leads to itself."""
 
     def __init__(self, tree: Tree):
         top = 2 * max(tree, default=0) + 2
-        self.feature, self.bin = np.full(top, -1), np.zeros(top, np.int64)
-        self.missing_left, self.value = np.zeros(top, bool), np.zeros(top)
+        self.levels = max(tree, default=0).bit_length()
+        # columns of ``_sides``: twice the feature, plus 1 where missing values go right
+        self.column, self.bin = np.zeros(top, np.int64), np.full(top, _ABOVE, np.int64)
+        self.left, self.value = np.arange(top), np.zeros(top)
         for k, s in tree.items():
-            self.feature[k], self.bin[k], self.missing_left[k] = s.feature, s.bin, s.missing_left
+            self.column[k], self.bin[k], self.left[k] = 2 * s.feature + (not s.missing_left), s.bin, 2 * k
             self.value[2 * k], self.value[2 * k + 1] = s.left_value, s.right_value
 
-    def nodes(self, b: np.ndarray) -> np.ndarray:
-        """The leaf of each row of ``b`` (rows x features)."""
-        at = np.ones(len(b), np.int64)
-        while True:
-            i = np.flatnonzero(self.feature[at] >= 0)
-            if not len(i):
-                return at
-            k = at[i]
-            v = b[i, self.feature[k]]
-            at[i] = 2 * k + np.where(np.where(v < 0, self.missing_left[k], v <= self.bin[k]), 0, 1)
+    def nodes(self, sides: np.ndarray) -> np.ndarray:
+        """The leaf of each row of ``sides``."""
+        n = sides.shape[1]
+        at, row, flat = np.ones(n, np.int64), np.arange(n), sides.ravel()
+        for _ in range(self.levels):
+            at = self.left[at] + (flat[self.column[at] * n + row] > self.bin[at])
+        return at
+
+
+#: More than any bin.
+_ABOVE = 1 << 20
+
+
+def _sides(b: np.ndarray) -> np.ndarray:
+    """(2 x features, rows): each feature's bins with missing ones below all others, then above."""
+    out = np.empty((2 * b.shape[1], len(b)), np.int64)
+    out[::2] = b.T
+    out[1::2] = np.where(b.T < 0, _ABOVE + 1, b.T)
+    return out
 
 
 def _bins_of(batch: pa.RecordBatch, n_features: int) -> np.ndarray:
     return np.stack([batch[f"b{i}"].to_numpy() for i in range(n_features)], axis=1).astype(np.int64) if n_features else np.zeros((batch.num_rows, 0), np.int64)
 
 
-def _added(margin: np.ndarray, b: np.ndarray, trees: list[_Flat]) -> np.ndarray:
+def _added(margin: np.ndarray, sides: np.ndarray, trees: list[_Flat]) -> np.ndarray:
     for t in trees:
-        margin = margin + t.value[t.nodes(b)]
+        margin = margin + t.value[t.nodes(sides)]
     return margin
 
 
@@ -105,7 +122,7 @@ def with_margins(binned: DataFrame, trees: list[Tree], n_features: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = _added(batch["margin"].to_numpy(), _bins_of(batch, n_features), flat)
+            margin = _added(batch["margin"].to_numpy(), _sides(_bins_of(batch, n_features)), flat)
             yield batch.set_column(batch.schema.get_field_index("margin"), "margin", pa.array(margin))
 
     return binned.mapInArrow(run, binned.schema)
@@ -156,8 +173,9 @@ def histograms(binned: DataFrame, n_features: int, since: list[Tree], tree: Tree
         cells: dict[int, tuple[int, int, int]] = {}
         for batch in batches:
             b = _bins_of(batch, n_features)
-            g, h = gradients(batch["label"].to_numpy(), _added(batch["margin"].to_numpy(), b, flat))
-            node = grown.nodes(b)
+            sides = _sides(b)
+            g, h = gradients(batch["label"].to_numpy(), _added(batch["margin"].to_numpy(), sides, flat))
+            node = grown.nodes(sides)
             i = np.flatnonzero(node >= (1 << level))
             for f in range(n_features):
                 key, back, n = np.unique((node[i] * n_features + f) * (1 << 16) + b[i, f] + 1, return_inverse=True, return_counts=True)
@@ -201,6 +219,76 @@ def best_splits(gains: DataFrame) -> DataFrame:
         F.expr("max_by(struct(*), struct(gain, -feature, -bin, missing_left)) as s")).selectExpr("s.*")
 
 
+def _sums(key: np.ndarray, x: np.ndarray, size: int) -> np.ndarray:
+    """Exact sums of the whole numbers ``x`` by ``key``: in two parts, as
+    doubles hold them only up to 2^53."""
+    high = np.bincount(key, weights=x >> 24, minlength=size).astype(np.int64)
+    return (high << 24) + np.bincount(key, weights=x & ((1 << 24) - 1), minlength=size).astype(np.int64)
+
+
+def _best_of(g: np.ndarray, h: np.ndarray, n: np.ndarray, p: NewtonParams) -> tuple | None:
+    """The split of most gain of one (node, feature), as ``split_gains`` and
+    ``best_splits`` find it, from its sums by bin (missing values first):
+    bin, missing_left, gain, then g, h and n on the left and on the right."""
+    below = [np.cumsum(x[1:]) for x in (g, h, n)]
+    best = None
+    for missing_left in (True, False) if n[0] else (True,):
+        left = [b + x[0] * missing_left for b, x in zip(below, (g, h, n))]
+        right = [x.sum() - a for a, x in zip(left, (g, h, n))]
+        score = lambda a, b: (a / UNIT) * (a / UNIT) / (b / UNIT + p.l2)
+        with np.errstate(all="ignore"):
+            gain = 0.5 * (score(left[0], left[1]) + score(right[0], right[1]) - score(g.sum(), h.sum())) - p.min_gain
+        least = p.min_child_hessian * UNIT
+        ok = (n[1:] > 0) & (left[2] > 0) & (right[2] > 0) & (left[1] >= least) & (right[1] >= least) & (gain > 0)
+        if ok.any():
+            k = int(np.argmax(np.where(ok, gain, -np.inf)))
+            if best is None or (gain[k], -k) > (best[2], -best[0]):
+                best = (k, missing_left, float(gain[k]), *[int(x[k]) for x in (*left, *right)])
+    return best
+
+
+_FOUND = "node int, feature int, bin int, missing_left boolean, gain double, left_g long, left_h long, left_n long, right_g long, right_h long, right_n long"
+
+
+def level_splits(counted: DataFrame, n_features: int, since: list[Tree], tree: Tree, level: int, p: NewtonParams) -> DataFrame:
+    """The best split of each (node, feature) of ``level`` that has one with a
+    gain above 0. ``counted`` has binned rows that stand for ``n`` rows each.
+    Tasks send the sums of a (node, feature) as one row of arrays, bins + 2
+    long, so what is shuffled depends on tasks, nodes and features only."""
+    flat, grown, first, width = [_Flat(t) for t in since], _Flat(tree), 1 << level, p.bins + 1
+    size = first * width
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            b = _bins_of(batch, n_features)
+            sides, n = _sides(b), batch["n"].to_numpy()
+            g, h = gradients(batch["label"].to_numpy(), _added(batch["margin"].to_numpy(), sides, flat))
+            node = grown.nodes(sides) - first
+            i = np.flatnonzero(node >= 0)
+            if len(i) and total is None:
+                total = np.zeros((n_features, 3, size), np.int64)
+            for f in range(n_features if len(i) else 0):
+                key = node[i] * width + b[i, f] + 1
+                for c, x in enumerate((g * n, h * n, n)):
+                    total[f, c] += _sums(key, x[i], size)
+        if total is not None:
+            by = total.reshape(n_features, 3, first, width)
+            at = np.argwhere(by[:, 2].any(axis=2))
+            sums = [pa.array([by[f, c, k] for f, k in at], pa.list_(pa.int64())) for c in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(at[:, 1] + first, pa.int32()), pa.array(at[:, 0], pa.int32()), *sums], ["node", "feature", "g", "h", "n"])
+
+    def best(key: tuple, part: pa.Table) -> pa.Table:
+        sums = [np.sum([x.as_py() for x in part[c]], axis=0, dtype=np.int64) for c in "ghn"]
+        found = _best_of(*sums, p)
+        rows = [] if found is None else [{f.name: v for f, v in zip(kind, (key[0].as_py(), key[1].as_py(), *found))}]
+        return pa.Table.from_pylist(rows, kind)
+
+    kind = pa.schema([(w, {"int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64(), "long": pa.int64()}[t]) for w, t in (f.split() for f in _FOUND.split(", "))])
+    sent = counted.mapInArrow(run, "node int, feature int, g array<long>, h array<long>, n array<long>")
+    return sent.groupBy("node", "feature").applyInArrow(best, _FOUND)
+
+
 @dataclass
 class NewtonModel:
     """Fitted trees over binned features; ``base`` is the first margin."""
@@ -241,29 +329,35 @@ def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fit_newton(df: DataFrame, features: list[str], label: str = "label", params: NewtonParams = NewtonParams(), refresh: int = 10) -> NewtonModel:
+def fit_newton(df: DataFrame, features: list[str], label: str = "label", params: NewtonParams = NewtonParams(), refresh: int = 5) -> NewtonModel:
     """Fit on ``df`` (``label`` 0 or 1; rows with another or no label are left out).
 
-    The binned table with each row's margin is written, and written again
-    every ``refresh`` trees; the trees since are applied on reading. A level
-    is one job; the driver holds the splits of one tree, 2^depth - 1 at most,
-    and the fitted ones.
+    Rows are counted by label and bins. That table with each row's margin is
+    written, and written again every ``refresh`` trees; the trees since are
+    applied on reading. A level is one job; the driver holds the splits of one
+    tree, at most features x (2^depth - 1) to choose from, and the fitted ones.
 
     A frame without labelled rows gives a model without trees."""
     spark, n = df.sparkSession, len(features)
     df = df.filter(q(label).isin(0, 1))
     base = math.log(params.base_probability / (1 - params.base_probability))
     model = NewtonModel(features, bin_edges(df, features, params.bins), params, base)
-    table = _written(spark, to_bins(df, features, model.edges, [q(label).cast("double").alias("label"), F.lit(base).alias("margin")]), "binned")
+    binned = to_bins(df, features, model.edges, [q(label).cast("double").alias("label")])
+    counted = binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("margin", F.lit(base))
+    table = written_rows(counted, counted.columns, TASK_CELLS)
     since: list[Tree] = []
     for _ in range(params.rounds):
         tree: Tree = {}
         for level in range(params.depth):
-            found = best_splits(split_gains(histograms(table, n, since, tree, level), params)).collect()  # at most 2^level rows
-            for r in found:
+            best: dict[int, Row] = {}
+            for r in level_splits(table, n, since, tree, level, params).collect():  # at most features x 2^level rows
+                k = best.get(r["node"])
+                if k is None or (r["gain"], -r["feature"]) > (k["gain"], -k["feature"]):
+                    best[r["node"]] = r
+            for r in best.values():
                 value = lambda w: -params.step * (r[f"{w}_g"] / UNIT) / (r[f"{w}_h"] / UNIT + params.l2)  # noqa: B023, E731
                 tree[r["node"]] = Split(r["feature"], r["bin"], r["missing_left"], r["gain"], value("left"), value("right"), (r["left_n"], r["right_n"]))
-            if not found:
+            if not best:
                 break
         if not tree:
             break  # no split gains anything: later rounds would see the same sums
