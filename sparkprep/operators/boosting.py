@@ -7,6 +7,9 @@ A tree grows level by level: tasks send their rows down the tree and add up
 the gradients and hessians of the log loss by (node, feature, bin), one
 shuffle joins these sums by (node, feature), whose best split is found there,
 and only these splits reach the driver, which takes the best of each node.
+Up to ``LOCAL_CELLS`` different rows of bins are one task's from the first tree to
+the last, as a level then takes less time than a job of Spark's does; sums, and
+so the trees, are the same.
 ``split_gains`` gives all splits with their gains, as a table.
 
 Gradients and hessians are rounded to whole multiples of 2^-30 before they are
@@ -35,6 +38,8 @@ from .train import written_rows
 UNIT = float(1 << 30)
 #: Counted rows a task of a fit gets.
 TASK_CELLS = 50_000
+#: Different rows of bins that one task fits all trees on at most.
+LOCAL_CELLS = 2_000_000
 _CELL = ("node", "feature", "bin", "g", "h", "n")
 
 
@@ -289,6 +294,83 @@ def level_splits(counted: DataFrame, n_features: int, since: list[Tree], tree: T
     return sent.groupBy("node", "feature").applyInArrow(best, _FOUND)
 
 
+def _value(p: NewtonParams, g: int, h: int) -> float:
+    return -p.step * (g / UNIT) / (h / UNIT + p.l2)
+
+
+def _local_trees(bins: np.ndarray, n0: np.ndarray, n1: np.ndarray, p: NewtonParams, base: float) -> Iterator[Tree]:
+    """The trees on ``bins`` (features, cells; -1 is missing) that ``n0`` rows
+    of label 0 and ``n1`` of label 1 have. Of two children, the sums of the one with
+    fewer cells are added up; the other one's are what its parent has besides."""
+    b, n, width, margin = bins.astype(np.int64) + 1, n0 + n1, p.bins + 1, np.full(bins.shape[1], base)
+    # doubles hold the sums of up to 2^22 rows
+    add = (lambda key, x, size: np.bincount(key, weights=x, minlength=size).astype(np.int64)) if n.sum() < 1 << 22 else _sums
+    for _ in range(p.rounds):
+        (g0, h), (g1, _) = gradients(0.0, margin), gradients(1.0, margin)
+        sums, tree = (g0 * n0 + g1 * n1, h * n, n), {}
+        at, cells, node, heap = np.ones(len(n), np.int64), np.arange(len(n)), np.zeros(len(n), np.int64), [1]
+        hist = np.stack([[add(own, x, width)[None] for x in sums] for own in b]) if len(b) else np.zeros((0, 3, 1, width), np.int64)
+        value = np.zeros(2 << p.depth)
+        for level in range(p.depth):
+            split = []
+            for k, number in enumerate(heap):
+                found = [(f, s) for f in range(len(b)) if hist[f, 2, k].any() and (s := _best_of(*hist[f, :, k], p))]
+                if found:
+                    f, (cut, missing_left, gain, lg, lh, ln, rg, rh, rn) = max(found, key=lambda t: (t[1][2], -t[0]))
+                    tree[number] = Split(f, cut, missing_left, gain, _value(p, lg, lh), _value(p, rg, rh), (ln, rn))
+                    value[2 * number], value[2 * number + 1] = tree[number].left_value, tree[number].right_value
+                    split.append(k)
+            if not split:
+                break
+            rank = np.full(len(heap), -1)
+            rank[split] = np.arange(len(split))
+            s = [tree[heap[k]] for k in split]
+            keep = rank[node] >= 0
+            cells, parent = cells[keep], rank[node[keep]]
+            own = b[np.array([x.feature for x in s])[parent], cells]
+            right = np.where(own == 0, np.array([not x.missing_left for x in s])[parent], own > np.array([x.bin for x in s])[parent] + 1)
+            at[cells] = 2 * at[cells] + right
+            node = 2 * parent + right
+            heap = [c for k in split for c in (2 * heap[k], 2 * heap[k] + 1)]
+            if level + 1 < p.depth:
+                many = np.bincount(node, minlength=len(heap)).reshape(-1, 2)
+                less = (many[:, 1] < many[:, 0]).astype(np.int64)
+                few = np.flatnonzero(right == less[parent])
+                key, some = parent[few] * width, cells[few]
+                part = np.stack([[add(key + own[some], x[some], len(split) * width).reshape(-1, width) for x in sums] for own in b])
+                whole, hist = hist[:, :, split], np.empty((len(b), 3, len(heap), width), np.int64)
+                to = 2 * np.arange(len(split))
+                hist[:, :, to + less], hist[:, :, to + 1 - less] = part, whole - part
+        if not tree:
+            return  # no split gains anything: later rounds would see the same sums
+        yield tree
+        margin = margin + value[at]
+
+
+def _fit_local(binned: DataFrame, n_features: int, p: NewtonParams, base: float) -> list[Tree] | None:
+    """All trees by one task; None if ``binned`` has too many different rows of bins."""
+    spark, names = binned.sparkSession, [f"b{i}" for i in range(n_features)]
+    counted = _written(spark, binned.groupBy(*names).agg(F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1")), "cells")
+    if counted.count() > LOCAL_CELLS:
+        return None
+    got = {c: v.to_numpy() for c, v in zip(counted.columns, counted.toArrow().columns)}  # at most LOCAL_CELLS rows
+    bins = np.stack([got[c] for c in names]) if names else np.zeros((0, len(got["n0"])), np.int16)
+    held = spark.sparkContext.broadcast((bins, got["n0"], got["n1"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in (k for b in batches for k in b["id"].to_pylist()):
+            for i, tree in enumerate(_local_trees(*held.value, p, base)):
+                yield pa.RecordBatch.from_pydict({"no": [i], "tree": [json.dumps({str(k): asdict(s) for k, s in tree.items()})]}, pa.schema([("no", pa.int32()), ("tree", pa.string())]))
+
+    rows = spark.range(0, 1, 1, 1).mapInArrow(run, "no int, tree string").collect()  # a row a tree
+    held.unpersist()
+    return [_tree_of(json.loads(r["tree"])) for r in sorted(rows, key=lambda r: r["no"])]
+
+
+def _tree_of(body: dict) -> Tree:
+    return {int(k): Split(**{**s, "cover": tuple(s["cover"])}) for k, s in body.items()}
+
+
 @dataclass
 class NewtonModel:
     """Fitted trees over binned features; ``base`` is the first margin."""
@@ -319,8 +401,7 @@ class NewtonModel:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> NewtonModel:
         body = json.loads(spark.read.text(path).first()[0])
-        trees = [{int(k): Split(**{**s, "cover": tuple(s["cover"])}) for k, s in t.items()} for t in body["trees"]]
-        return cls(body["features"], body["edges"], NewtonParams(**body["params"]), body["base"], trees)
+        return cls(body["features"], body["edges"], NewtonParams(**body["params"]), body["base"], [_tree_of(t) for t in body["trees"]])
 
 
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -332,7 +413,8 @@ def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def fit_newton(df: DataFrame, features: list[str], label: str = "label", params: NewtonParams = NewtonParams(), refresh: int = 5) -> NewtonModel:
     """Fit on ``df`` (``label`` 0 or 1; rows with another or no label are left out).
 
-    Rows are counted by label and bins. That table with each row's margin is
+    Rows are counted by bins, and one task grows the trees (``_fit_local``). Beyond
+    ``LOCAL_CELLS`` they are counted by label and bins. That table with each row's margin is
     written, and written again every ``refresh`` trees; the trees since are
     applied on reading. A level is one job; the driver holds the splits of one
     tree, at most features x (2^depth - 1) to choose from, and the fitted ones.
@@ -343,6 +425,10 @@ def fit_newton(df: DataFrame, features: list[str], label: str = "label", params:
     base = math.log(params.base_probability / (1 - params.base_probability))
     model = NewtonModel(features, bin_edges(df, features, params.bins), params, base)
     binned = to_bins(df, features, model.edges, [q(label).cast("double").alias("label")])
+    trees = _fit_local(binned, n, params, base) if n else None
+    if trees is not None:
+        model.trees = trees
+        return model
     counted = binned.groupBy(*binned.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("margin", F.lit(base))
     table = written_rows(counted, counted.columns, TASK_CELLS)
     since: list[Tree] = []
@@ -355,7 +441,7 @@ def fit_newton(df: DataFrame, features: list[str], label: str = "label", params:
                 if k is None or (r["gain"], -r["feature"]) > (k["gain"], -k["feature"]):
                     best[r["node"]] = r
             for r in best.values():
-                value = lambda w: -params.step * (r[f"{w}_g"] / UNIT) / (r[f"{w}_h"] / UNIT + params.l2)  # noqa: B023, E731
+                value = lambda w: _value(params, r[f"{w}_g"], r[f"{w}_h"])  # noqa: B023, E731
                 tree[r["node"]] = Split(r["feature"], r["bin"], r["missing_left"], r["gain"], value("left"), value("right"), (r["left_n"], r["right_n"]))
             if not best:
                 break
