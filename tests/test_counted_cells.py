@@ -30,6 +30,83 @@ def _counts(pred):
     return tuple(pred.agg(F.count_if(y & p), F.count_if(~y & p), F.count_if(~y & ~p), F.count_if(y & ~p)).first())
 
 
+def test_cells_count_all_rows_by_fold(data):
+    found = K.count_cells(data, COLS, "label", 8, 3)
+    rows = data.select(*COLS, "label", "fold").collect()
+    for s, c in enumerate(found):
+        want = {}
+        for r in rows:
+            key = tuple(int(np.searchsorted(p, r[x])) for p, x in zip(c.points, COLS))
+            at = want.setdefault(key, [0] * 4)
+            at[int(r.label) + 2 * (r.fold == s - 1)] += 1
+        got = {tuple(k): [int(v) for v in n] for k, n in zip(c.bins.T.tolist(), np.stack([c.n0, c.n1, c.h0, c.h1]).T)}
+        assert got == want and [len(p) for p in c.points] == [6, 4, 7]
+    assert (found[0].h0 + found[0].h1).sum() == 0 and (found[0].n0 + found[0].n1).sum() == 2000
+
+
+def test_sketches_keep_ranks(monkeypatch):
+    monkeypatch.setattr(K, "POINTS", 500)
+    v = np.random.default_rng(3).normal(size=20_000)
+    parts = [K._compressed(p, None, 500) for p in np.array_split(v, 4)]
+    assert all(len(p[0]) <= 500 and p[1].sum() == 5000 for p in parts)
+    for k, t in enumerate(K._thresholds(*[np.concatenate(p) for p in zip(*parts)], 32), 1):
+        assert abs((v <= t).mean() - k / 32) < 0.005
+
+
+@pytest.mark.parametrize("odd", [None, math.nan, math.inf])
+def test_what_cannot_be_counted_is_left(data, odd):
+    assert K.count_cells(data.withColumn("b", F.when(F.col("id") != 5, F.col("b")).otherwise(odd)), COLS, "label", 32) is None
+    assert K.count_cells(data.withColumn("label", F.when(F.col("id") != 5, F.col("label")).otherwise(odd)), COLS, "label", 32) is None
+
+
+def test_a_split_has_the_most_gain():
+    rng = np.random.default_rng(5)
+    bins, n = rng.integers(0, 6, (3, 80)).astype(np.int16), rng.poisson(2, (2, 80))
+    tree, (leaf,) = K.grow(bins, [6] * 3, n, K.gini, 2, 4, held=bins, marks=(2,))
+    impurity = lambda s: 1 - sum(x * x for x in s) / sum(s) ** 2
+    whole, best = n.sum(axis=1), 0
+    for f in range(3):
+        for t in range(5):
+            left = n[:, bins[f] <= t].sum(axis=1)
+            if min(left.sum(), (whole - left).sum()) >= 4:
+                best = max(best, impurity(whole) - (left.sum() * impurity(left) + (whole - left).sum() * impurity(whole - left)) / whole.sum())
+    assert tree.gain[0] == pytest.approx(best)
+    for k in np.unique(leaf):
+        assert tree.left[k] < 0 and tree.sums[:, k].tolist() == n[:, leaf == k].sum(axis=1).tolist()
+
+
+def test_forests_of_a_grid_are_separate_fits(data):
+    cells, spark = K.count_cells(data, COLS, "label", 32, 3), data.sparkSession
+    points = [{"numTrees": n, "maxDepth": d, "minInstancesPerNode": m} for n in (2, 5, 25) for d in (3, 9) for m in (1, 4)]
+    got = {(r.fold, r.point): (r.tp, r.fp, r.tn, r.fn) for r in K.search(K.RandomForestClassifier, cells[1:], [K._settings(T.make_classifier("random_forest", **p)) for p in points], spark).collect()}
+    assert len(got) == 36
+    for i in (0, 3, 6, 9):
+        model = PipelineModel([T.assembler(COLS), K.fit(T.make_classifier("random_forest", **points[i]), cells[2], spark)])
+        assert got[1, i] == _counts(model.transform(data.filter("fold = 1")))
+
+
+def test_boosted_grid_equals_staged_fits(data, monkeypatch):
+    points = [{"maxDepth": 2, "stepSize": s, "maxIter": n} for s in (0.1, 0.5) for n in (2, 4)]
+    few = data.withColumn("c", F.floor("c"))
+    want = U.staged_search("gradient_boosting", few, COLS, "label", points, ["id"])
+    monkeypatch.setattr(T, "COUNT_FROM", 1)
+    assert [r.f1 for r in U.staged_search("gradient_boosting", few, COLS, "label", points, ["id"])] == [r.f1 for r in want]
+
+
+def test_counted_forest_is_a_model_of_sparks(data, tmp_path):
+    model = T.retrain("random_forest", data, COLS, "label", {"numTrees": 30, "maxDepth": 6}, count_from=0)
+    clf = model.stages[-1]
+    assert clf.getNumTrees == 30 and clf.getMaxDepth() == 6 and clf.featureImportances.toArray().sum() == pytest.approx(1)
+    root = A.spark_ensemble(model).trees
+    assert len({t[0].cover for t in root}) > 1 and all(abs(t[0].cover - 2000) < 250 for t in root)  # bags
+    model.save(str(tmp_path / "m"))
+    back = PipelineModel.load(str(tmp_path / "m"))
+    assert _counts(back.transform(data)) == _counts(model.transform(data))
+    plain = T.retrain("random_forest", data, COLS, "label", {"numTrees": 30, "maxDepth": 6}, count_from=10**9)
+    hit = [sum(_counts(m.transform(data))[::2]) / 2000 for m in (model, plain)]
+    assert abs(hit[0] - hit[1]) < 0.02 and hit[0] > 0.85
+
+
 def test_newton_trees_of_one_task_are_those_of_many(data, monkeypatch):
     holes = data.withColumn("b", F.when(F.col("id") % 13 > 0, F.col("b")))
     p = B.NewtonParams(rounds=3, depth=4)
@@ -48,3 +125,9 @@ def test_newton_sums_of_many_rows():
     for a, b in zip(few, many):  # without a penalty, values don't depend on how often rows repeat
         assert a.keys() == b.keys() and all(a[k].left_value == pytest.approx(b[k].left_value, abs=1e-6) for k in a)
     assert p.rounds == len(many)
+
+
+def test_written_split_is_the_same(data):
+    odd = data.withColumn("label", F.when(F.col("id") % 10 > 0, F.col("label"))).unionByName(data.filter("id < 40"))
+    a, b = (sorted(map(str, S.stratified_split(odd, "label", ["id"], 0.3, 1, digits=1, write=w).collect())) for w in (False, True))
+    assert a == b and len(a) == 2040
