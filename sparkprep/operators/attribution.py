@@ -12,7 +12,8 @@ the number of features on the path. Values plus the base (the expectation
 with no feature known) add up to the ensemble's output.
 
 Rows are handled in Arrow batches, whole arrays at a time; nothing is
-shuffled. The ensemble travels with the task: its size is that of the fitted
+shuffled. Rows between the same thresholds have the same values, so a task
+with more rows than there are such cells works out the cells' values once. The ensemble travels with the task: its size is that of the fitted
 model, which the driver holds anyway.
 """
 
@@ -182,14 +183,23 @@ def _leaf_tables(z: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Cells between thresholds whose values a task holds at most.
+CELLS_MOST = 300_000
+
+
 class Attributor:
     """Shapley values of batches of rows, leaf by leaf. A leaf holds a table of
-    2^m rows for the m features on its path, so m is at most ``most``."""
+    2^m rows for the m features on its path, so m is at most ``most``. Once it
+    has seen as many rows as there are cells between thresholds, it looks rows
+    up in a table of the cells' values."""
 
     def __init__(self, ensemble: Ensemble, n_features: int, most: int = 16):
         self.n_features = n_features
         self.base = ensemble.base
         self.leaves = []
+        # the thresholds of each feature; its cell k holds the values above k of them, the last one the missing ones
+        self.cuts = [np.array(sorted({n.threshold for t in ensemble.trees for n in t if n.feature == i})) for i in range(n_features)]
+        self.cells, self.seen, self.table = math.prod(len(c) + 2 for c in self.cuts), 0, None
         for nodes, weight in zip(ensemble.trees, ensemble.weights):
             for p in _paths(nodes, weight):
                 f = sorted(p.share)
@@ -202,6 +212,19 @@ class Attributor:
 
     def values(self, x: np.ndarray) -> np.ndarray:
         """(rows, features) attributions of ``x`` (rows, features; NaN is missing)."""
+        if self.seen < self.cells or self.cells > CELLS_MOST:
+            self.seen += len(x)
+            return self._by_leaves(x)
+        if self.table is None:
+            # a value of each cell, the largest
+            each = np.meshgrid(*[np.concatenate([c, [np.inf, np.nan]]) for c in self.cuts], indexing="ij")
+            self.table = self._by_leaves(np.stack([v.ravel() for v in each], axis=1))
+        at = np.zeros(len(x), np.int64)
+        for i, c in enumerate(self.cuts):
+            at = at * (len(c) + 2) + np.where(np.isnan(x[:, i]), len(c) + 1, np.searchsorted(c, x[:, i]))
+        return self.table[at]
+
+    def _by_leaves(self, x: np.ndarray) -> np.ndarray:
         out = np.zeros((len(x), self.n_features))
         none = np.isnan(x)
         column = [np.ascontiguousarray(x[:, i]) for i in range(self.n_features)]
@@ -238,7 +261,10 @@ def tree_attributions(df: DataFrame, ensemble: Ensemble, key: list[str], feature
 
 def attribution_summary(attributions: DataFrame, feature_cols: list[str]) -> DataFrame:
     """(feature, mean_abs, mean, rank): the ranked summary over all rows."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), q(c).alias("v")) for c in feature_cols])
-    s = attributions.select(F.inline(pairs)).groupBy("feature").agg(F.avg(F.abs("v")).alias("mean_abs"), F.avg("v").alias("mean"))
+    if not feature_cols:
+        return attributions.sparkSession.createDataFrame([], "feature string, mean_abs double, mean double, rank int")
+    means = [f(q(c)).alias(f"{k}{i}") for i, c in enumerate(feature_cols) for k, f in (("a", lambda v: F.avg(F.abs(v))), ("m", F.avg))]
+    each = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"a{i}").alias("mean_abs"), F.col(f"m{i}").alias("mean")) for i, c in enumerate(feature_cols)])
+    s = attributions.agg(F.count(F.lit(1)).alias("n"), *means).filter("n > 0").select(F.inline(each))
     ahead = s.select(F.struct((-F.col("mean_abs")).alias("m"), F.col("feature").alias("f")).alias("o")).agg(F.sort_array(F.collect_list("o")).alias("all"))  # a row a feature
     return s.join(F.broadcast(ahead)).select("feature", "mean_abs", "mean", F.array_position(F.transform("all", lambda o: o["f"]), F.col("feature")).cast("int").alias("rank"))

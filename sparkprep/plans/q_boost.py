@@ -12,7 +12,7 @@ from ..operators import evaluate as V
 from ..operators import explain as X
 from ..session import cut_lineage
 from ..sources.tables import table
-from .q_train import FEATS, _lineitem_split
+from .q_train import FEATS, _is_large, _lineitem, _lineitem_split
 from .registry import register
 
 
@@ -103,9 +103,10 @@ def tree_attribution_summary(spark, sf):
     ensemble (100 rounds, depth 3) for every line."""
     from ..operators import train as T
 
-    train, test = _lineitem_split(spark, sf)
-    model = T.retrain("gradient_boosting", cut_lineage(train), FEATS, "label", {"maxIter": 100, "maxDepth": 3})
-    rows = A.tree_attributions(test, A.spark_ensemble(model), ["l_orderkey", "l_linenumber"], FEATS)
+    train, _ = _lineitem_split(spark, sf)
+    large = _is_large(spark, sf)
+    model = T.retrain("gradient_boosting", train if large else cut_lineage(train), FEATS, "label", {"maxIter": 100, "maxDepth": 3}, written=large)
+    rows = A.tree_attributions(_lineitem(spark, sf), A.spark_ensemble(model), ["l_orderkey", "l_linenumber"], FEATS)
     return A.attribution_summary(rows, FEATS)
 
 

@@ -131,3 +131,31 @@ def test_written_split_is_the_same(data):
     odd = data.withColumn("label", F.when(F.col("id") % 10 > 0, F.col("label"))).unionByName(data.filter("id < 40"))
     a, b = (sorted(map(str, S.stratified_split(odd, "label", ["id"], 0.3, 1, digits=1, write=w).collect())) for w in (False, True))
     assert a == b and len(a) == 2040
+
+
+def test_attributions_by_cells(data):
+    ens = A.spark_ensemble(T.retrain("gradient_boosting", data, COLS, "label", {"maxIter": 5, "maxDepth": 3}, count_from=0))
+    x = np.random.default_rng(2).choice([*range(-1, 9), 2.5, math.inf, math.nan], (500, 3))
+    work = A.Attributor(ens, 3)
+    want = work.values(x)
+    work.seen = work.cells
+    assert np.array_equal(work.values(x), want) and work.table is not None
+
+
+def test_grid_selection_and_attributions_are_whole(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(U, "staged_search", lambda kind, train, cols, label, points, *a, **k: seen.update(points=points) or [])
+    q_train.cv_grid(spark, "/root/testdata/sf0.001")
+    assert seen["points"] == U.grid_points("random_forest", "cloud") and len(seen["points"]) == 27
+    real = T.evaluate_candidates
+
+    def few(train, test, cols, candidates, folds, **more):
+        seen.update(candidates=candidates, folds=folds)
+        return real(train, test, cols, candidates={"random_forest": {"numTrees": 2, "maxDepth": 2}}, folds=folds, **more)
+
+    monkeypatch.setattr(T, "evaluate_candidates", few)
+    assert q_train.model_select(spark, "/root/testdata/sf0.001").count() > 0
+    assert seen["folds"] == 3 and seen["candidates"] == {"random_forest": {}, "gradient_boosting": {}, "boosting_depth6": {}, "not_a_model": {}}
+    monkeypatch.setattr(T, "retrain", lambda kind, data, cols, *a, f=T.retrain, **k: f(kind, data, cols, "label", {"maxIter": 2, "maxDepth": 2}))
+    monkeypatch.setattr(A, "attribution_summary", lambda rows, cols: rows)
+    assert q_boost.tree_attribution_summary(spark, "/root/testdata/sf0.001").count() == q_train._lineitem(spark, "/root/testdata/sf0.001").count()
