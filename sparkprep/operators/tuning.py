@@ -31,7 +31,7 @@ from .boosting import NewtonParams, fit_newton
 from .evaluate import binary_metrics_of_counts
 from . import counted
 from . import train as T
-from .train import SEED, grid_for, make_classifier, retrain, with_folds, written_rows
+from .train import SEED, grid_for, make_classifier, retrain, with_folds
 
 #: The parameter that counts trees or rounds, by kind of model.
 SIZE = {"random_forest": "numTrees", "gradient_boosting": "maxIter", "boosting_depth6": "maxIter", "newton_boosting": "rounds"}
@@ -151,10 +151,11 @@ def staged_search(kind: str, train: DataFrame, features: list[str], label: str,
     one row of counts a size."""
     size = SIZE[kind]
     default = NewtonParams().rounds if kind == "newton_boosting" else getattr(make_classifier(kind), f"get{size[0].upper()}{size[1:]}")()
-    data = written_rows(with_folds(train, key_cols, folds, seed), [*features, label, "fold"])
+    data = T.plain_rows(with_folds(train, key_cols, folds, seed), [*features, label, "fold"])
     f1 = _counted_f1(kind, data, features, label, points, folds)
     if f1:
         return [GridPoint(p, f) for p, f in zip(points, f1)]
+    data = T.dealt(data)
     shared: dict[tuple, set[int]] = {}
     rest_of = lambda p: tuple(sorted((k, v) for k, v in p.items() if k != size))
     for p in points:
